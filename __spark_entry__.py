@@ -14,19 +14,32 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import oracle_queries  # noqa: E402
 from salesmart.functions.clean import parse_date  # noqa: E402
-from salesmart.operators.dense import dense_ids  # noqa: E402
-from salesmart.operators.distinct import union_distinct  # noqa: E402
+from salesmart.operators.dense import dense_ids, with_dense_keys  # noqa: E402
+from salesmart.operators.distinct import first_per_key, union_distinct  # noqa: E402
 from salesmart.operators.facts import fact_sales_by_lookup  # noqa: E402
 from salesmart.operators.upsert import unseen_members  # noqa: E402
 from salesmart.plans.feed import unpad, write_feed  # noqa: E402
-from salesmart.plans.marts import MARTS  # noqa: E402
+from salesmart.plans.marts import MARTS, money  # noqa: E402
 from salesmart.plans.quality import CHECKS, dq_bad_rows  # noqa: E402
 from salesmart.plans.reports import REPORTS  # noqa: E402
 from salesmart.plans.warehouse import Warehouse, shared_warehouse  # noqa: E402
-from salesmart.schema import DATE_COLUMNS, ENTITIES, WAREHOUSE_TABLES  # noqa: E402
+from salesmart.schema import (  # noqa: E402
+    DATE_COLUMNS,
+    ENTITIES,
+    FOREIGN_KEYS,
+    PET_ATTRIBUTES,
+    WAREHOUSE_TABLES,
+)
 from salesmart.session import SETTINGS  # noqa: E402
 from salesmart.sinks.export import EXPORTS  # noqa: E402
-from salesmart.sinks.tables import LoadAudit, load_csv, read_staging, staged_sales  # noqa: E402
+from salesmart.sinks.tables import (  # noqa: E402
+    LoadAudit,
+    load_csv,
+    read_staging,
+    staged_sales,
+    write_fact,
+    write_mart,
+)
 from salesmart.sources.retail import retail_source  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -132,6 +145,46 @@ def _fact_sales_by_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact_sales_by_lookup(warehouse.plan("flat"), dense)
 
 
+def _dim_products_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products with dense ids of their own and of every lookup they refer to."""
+    read = _warehouse(spark, sf_dir).table
+    numbered = {d: dense_ids(read(d)) for d in set(FOREIGN_KEYS["dim_products"].values())}
+    products = read("dim_products")
+    foreign_keys = {fk: numbered[d] for fk, d in FOREIGN_KEYS["dim_products"].items()}
+    return with_dense_keys(products, foreign_keys, own=dense_ids(products))
+
+
+def _pet_first_sale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One sale per distinct pet: the one with the smallest source id."""
+    read = _warehouse(spark, sf_dir).table
+    customer = ENTITIES["customer"].key
+    per_customer = first_per_key(read("keyed").select(customer, "source_id"), [customer], ["source_id"])
+    pets = per_customer.join(read("members_customer").select(customer, *PET_ATTRIBUTES), customer)
+    return first_per_key(pets.drop(customer), list(PET_ATTRIBUTES), ["source_id"])
+
+
+def _stored(spark: SparkSession, sf_dir: str, name: str) -> str:
+    root = _warehouse(spark, sf_dir).root
+    if root is None:
+        raise ValueError("stored tables need a shared folder: set spark.checkpoint.dir")
+    return f"{root}/stored/{name}"
+
+
+def _write_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer mart as stored, sorted by country and customer."""
+    path = _stored(spark, sf_dir, "sales_by_customer")
+    write_mart(_table("sales_by_customer", spark, sf_dir), "sales_by_customer", path)
+    return spark.read.parquet(path)
+
+
+def _write_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales per year, read from the fact as stored, partitioned by year."""
+    path = _stored(spark, sf_dir, "fact_sales")
+    write_fact(_warehouse(spark, sf_dir).table("keyed"), path)
+    yearly = spark.read.parquet(path).groupBy("sale_year")
+    return yearly.agg(F.count("*").alias("row_count"), money(F.sum("total_price")).alias("revenue"))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Revenue by product category."""
     return _report(REPORTS["revenue_by_category"], spark, "/root/testdata/sf0.001")
@@ -144,7 +197,11 @@ def queries() -> dict[str, Query]:
         "load_audit": _load_audit,
         "clean_dates": _clean_dates,
         "dense_ids": _dense_ids,
+        "dim_products_dense": _dim_products_dense,
         "dim_upsert": _dim_upsert,
+        "pet_first_sale": _pet_first_sale,
+        "write_mart": _write_mart,
+        "write_fact": _write_fact,
         "fact_sales_by_lookup": _fact_sales_by_lookup,
         "dq_bad_rows": _bad_rows,
     }

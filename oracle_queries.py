@@ -13,17 +13,17 @@ flat AS (
     split_part(c.c_name, '#', 1) AS customer_first_name,
     split_part(c.c_name, '#', 2) AS customer_last_name,
     cast(18 + c.c_custkey % 60 AS bigint) AS customer_age,
-    concat(lower(c.c_name), '@example.com') AS customer_email,
+    lower(c.c_name) || '@example.com' AS customer_email,
     cn.n_name AS customer_country,
     CASE WHEN c.c_custkey % 11 = 0 THEN NULL
-         ELSE concat('P', cast(c.c_custkey % 900 AS varchar)) END AS customer_postal_code,
-    concat('Type-', cast(c.c_custkey % 6 AS varchar)) AS customer_pet_type,
-    concat('Pet-', cast(c.c_custkey % 50 AS varchar)) AS customer_pet_name,
+         ELSE 'P' || cast(c.c_custkey % 900 AS varchar) END AS customer_postal_code,
+    'Type-' || cast(c.c_custkey % 6 AS varchar) AS customer_pet_type,
+    'Pet-' || cast(c.c_custkey % 50 AS varchar) AS customer_pet_name,
     CASE WHEN c.c_custkey % 13 = 0 THEN NULL
-         ELSE concat('Breed-', cast(c.c_custkey % 7 AS varchar)) END AS customer_pet_breed,
+         ELSE 'Breed-' || cast(c.c_custkey % 7 AS varchar) END AS customer_pet_breed,
     'Desk' AS seller_first_name,
     o.o_orderpriority AS seller_last_name,
-    concat(lower(o.o_orderpriority), '.', lower(r.r_name), '@example.com') AS seller_email,
+    lower(o.o_orderpriority) || '.' || lower(r.r_name) || '@example.com' AS seller_email,
     CASE WHEN o.o_orderpriority = '4-NOT SPECIFIED' THEN NULL ELSE r.r_name END AS seller_country,
     cast(NULL AS varchar) AS seller_postal_code,
     p.p_name AS product_name,
@@ -36,13 +36,13 @@ flat AS (
     l.l_partkey AS sale_product_id,
     cast(l.l_quantity AS bigint) AS sale_quantity,
     cast(l.l_extendedprice AS decimal(14,2)) AS sale_total_price,
-    concat(c.c_mktsegment, ' ', cn.n_name) AS store_name,
+    c.c_mktsegment || ' ' || cn.n_name AS store_name,
     c.c_mktsegment AS store_location,
-    concat('City-', cn.n_name) AS store_city,
+    'City-' || cn.n_name AS store_city,
     r.r_name AS store_state,
     r.r_name AS store_country,
     cast(NULL AS varchar) AS store_phone,
-    concat(lower(c.c_mktsegment), '.', lower(cn.n_name), '@example.com') AS store_email,
+    lower(c.c_mktsegment) || '.' || lower(cn.n_name) || '@example.com' AS store_email,
     c.c_mktsegment AS pet_category,
     cast(p.p_size / 2.0 AS float) AS product_weight,
     CASE WHEN p.p_partkey % 97 = 0 THEN NULL
@@ -50,7 +50,7 @@ flat AS (
     cast(p.p_size AS varchar) AS product_size,
     p.p_brand AS product_brand,
     split_part(p.p_name, ' ', 2) AS product_material,
-    concat(p.p_name, ' ', p.p_brand) AS product_description,
+    p.p_name || ' ' || p.p_brand AS product_description,
     cast((10 + p.p_partkey % 41) / 10.0 AS decimal(2,1)) AS product_rating,
     p.p_partkey % 1000 AS product_reviews,
     strftime(date '1995-01-01' + cast(p.p_partkey % 365 AS int), '%m/%d/%Y')
@@ -58,11 +58,11 @@ flat AS (
     strftime(date '1997-01-01' + cast(p.p_partkey % 365 AS int), '%m/%d/%Y')
       AS product_expiry_date,
     su.s_name AS supplier_name,
-    concat('Contact ', su.s_name) AS supplier_contact,
-    concat(lower(su.s_name), '@example.com') AS supplier_email,
+    'Contact ' || su.s_name AS supplier_contact,
+    lower(su.s_name) || '@example.com' AS supplier_email,
     cast(NULL AS varchar) AS supplier_phone,
     cast(NULL AS varchar) AS supplier_address,
-    concat('City-', cast(su.s_suppkey % 10 AS varchar)) AS supplier_city,
+    'City-' || cast(su.s_suppkey % 10 AS varchar) AS supplier_city,
     sn.n_name AS supplier_country
   FROM lineitem l
   JOIN orders o ON l.l_orderkey = o.o_orderkey
@@ -308,7 +308,7 @@ DIMS = {
 
 FACT = """
   SELECT id AS source_id, customer_id, seller_id, product_id, date_id, store_id, supplier_id,
-         product_quantity, sale_quantity, sale_total_price AS total_price
+         product_quantity, product_price, sale_quantity, sale_total_price AS total_price
   FROM sales"""
 
 # Report -> (marts it reads, SELECT).
@@ -524,8 +524,11 @@ def _quality() -> dict[str, str]:
     }
 
 
-IMPOSSIBLE = "seller_last_name = '5-LOW' AND store_location = 'FURNITURE'"
-MALFORMED = "product_rating = 1.5"
+IMPOSSIBLE = (
+    "coalesce(seller_last_name = '5-LOW' AND store_location = 'FURNITURE' "
+    "AND sale_date IS NOT NULL, false)"
+)
+MALFORMED = "coalesce(product_rating = 1.5, false)"
 UNPADDED = r"regexp_replace({}, '(^|/)0', '\1', 'g')"
 
 
@@ -683,7 +686,7 @@ def _keys() -> dict[str, str]:
          {", ".join(
              f"CASE WHEN {anchor} IS NOT NULL THEN {name}_ids.dense_id END AS {name}_id"
              for name, (_, anchor) in ANCHORED.items())},
-         date_ids.dense_id AS date_id, product_quantity, sale_quantity,
+         date_ids.dense_id AS date_id, product_quantity, product_price, sale_quantity,
          sale_total_price AS total_price
   FROM keys
   {" ".join(f"LEFT JOIN {name}_ids ON {name}_ids.k = {name}_key" for name in ANCHORED)}
@@ -693,7 +696,28 @@ def _keys() -> dict[str, str]:
         "date_ids AS (SELECT id AS k, row_number() OVER (ORDER BY id) AS dense_id FROM "
         f"({DIMS['dim_dates']}))"
     )
+    refers = dict(FOREIGN_KEYS["dim_products"])
+    numbered = [
+        f"{d}_ids AS (SELECT id, row_number() OVER (ORDER BY id) AS n FROM ({DIMS[d]}))"
+        for d in sorted({"dim_products", *refers.values()})
+    ]
+    dense_products = f"""SELECT
+         (SELECT n FROM dim_products_ids i WHERE i.id = p.id) AS id, name, price, weight,
+         description, rating, reviews,
+         {", ".join(f"(SELECT n FROM {d}_ids i WHERE i.id = p.{fk}) AS {fk}"
+                    for fk, d in refers.items())}
+  FROM dim_products p"""
+    first_sale = """SELECT customer_pet_type AS pet_type, customer_pet_name AS pet_name,
+         customer_pet_breed AS pet_breed, pet_category, min(id) AS source_id
+  FROM clean GROUP BY ALL"""
     return {
+        "dim_products_dense": _with(FLAT, CLEAN, dense, *numbered) + dense_products,
+        "pet_first_sale": _with(FLAT, CLEAN) + first_sale,
+        "write_mart": _with(*SALES) + MARTS["sales_by_customer"],
+        "write_fact": _with(FLAT, CLEAN)
+        + f"""SELECT cast(year(sale_day) AS int) AS sale_year, count(*) AS row_count,
+         {money("sum(sale_total_price)")} AS revenue
+  FROM clean GROUP BY ALL""",
         "dense_ids": _with(FLAT, CLEAN, dense)
         + "SELECT row_number() OVER (ORDER BY id) AS dense_id, id, name FROM dim_products",
         "dim_upsert": _with(*SALES) + upsert,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,3 +41,22 @@ def dense_ids(
     return numbered.join(F.broadcast(offsets), "bucket").select(
         (F.col("offset") + F.col("position")).alias(name), *members.columns
     )
+
+
+def with_dense_keys(
+    table: DataFrame, foreign_keys: Mapping[str, DataFrame], own: DataFrame | None = None
+) -> DataFrame:
+    """Replace the hash keys of a table by dense ids.
+
+    ``foreign_keys`` gives, per column, the numbered members it refers to, with
+    the columns ``id`` and ``dense_id``; one table may serve several columns.
+    A reference to nothing stays NULL. ``own`` renumbers the table's ``id``.
+    """
+    columns = {**({"id": own} if own is not None else {}), **foreign_keys}
+    result = table
+    for column, members in columns.items():
+        ids = members.select(F.col("id").alias(column), F.col("dense_id").alias(f"{column}__dense"))
+        result = result.join(ids, column, "left")
+    return result.select(
+        *(F.col(f"{c}__dense").alias(c) if c in columns else F.col(c) for c in table.columns)
+    )

@@ -19,6 +19,7 @@ FACT_COLUMNS = (
     "store_id",
     "supplier_id",
     "product_quantity",
+    "product_price",
     "sale_quantity",
     "total_price",
 )
@@ -60,7 +61,6 @@ def fact_sales_by_lookup(flat: DataFrame, dense: Callable[[str], DataFrame]) ->
     sales = sales.join(days, sales["sale_date"] == days["date"], "left")
     return sales.select(
         F.col("id").alias("source_id"),
-        *FACT_COLUMNS[1:8],
-        "sale_quantity",
+        *FACT_COLUMNS[1:-1],
         F.col("sale_total_price").alias("total_price"),
     )

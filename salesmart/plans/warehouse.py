@@ -11,7 +11,7 @@ from salesmart.operators.dims import dimension
 from salesmart.operators.facts import fact_sales
 from salesmart.plans.marts import MARTS
 from salesmart.schema import DIMENSIONS, ENTITIES
-from salesmart.session import shared_folder
+from salesmart.session import shared_folder, size_shuffles
 from salesmart.sources.base import SalesSource
 
 
@@ -32,6 +32,7 @@ class Warehouse:
         self.root = root
         self._written: dict[str, DataFrame] = {}
         self._lock = RLock()
+        size_shuffles(spark, source.input_bytes)
 
     def plan(self, name: str) -> DataFrame:
         if name == "flat":

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Let AQE split a hot partition of a join even where that costs a shuffle
 # after it, and merge small shuffle partitions.
@@ -40,3 +40,32 @@ def shared_folder(spark: SparkSession) -> str | None:
     folder = tempfile.mkdtemp(prefix="salesmart-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
+
+
+# Input bytes behind one shuffle partition; AQE merges partitions that turn out small.
+BYTES_PER_PARTITION = 512 * 1024**2
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def plan_bytes(*frames: DataFrame) -> int:
+    """Size of the files behind plain scans, as the optimizer sees it."""
+    return sum(
+        int(f._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        for f in frames
+    )
+
+
+def initial_partitions(input_bytes: int, default: int) -> int:
+    return max(default, -(-input_bytes // BYTES_PER_PARTITION))
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
+    """Start shuffles of a large input with enough partitions to fit into memory.
+
+    The default number of partitions would give each hundreds of gigabytes at
+    100 TB. A number the user has set stays; small inputs change nothing.
+    """
+    default = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = initial_partitions(input_bytes, default)
+    if wanted > default and spark.conf.get(_INITIAL, None) is None:
+        spark.conf.set(_INITIAL, str(wanted))

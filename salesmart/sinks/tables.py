@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.operators.facts import fact_sales
+from salesmart.operators.upsert import unseen_members
 from salesmart.plans.quality import bad_row_reasons
 from salesmart.schema import FLAT_COLUMNS, MART_SCHEMAS, MART_SORT_KEYS
 from salesmart.sources.csv import CORRUPT, csv_files, plain_path, read_sales_csv
@@ -109,3 +110,9 @@ def write_fact(keyed: DataFrame, path: str) -> None:
 def write_dimension(dimension: DataFrame, path: str) -> None:
     """Replace a stored dimension."""
     dimension.write.mode("overwrite").parquet(path)
+
+
+def append_dimension(spark: SparkSession, members: DataFrame, path: str) -> None:
+    """Add the members a stored dimension does not have; a second run adds none."""
+    stored = spark.read.schema(members.schema).parquet(path)
+    unseen_members(members, stored).write.mode("append").parquet(path)

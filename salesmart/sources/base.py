@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from salesmart.functions.clean import clean_sales
 from salesmart.functions.keys import lookup_key, surrogate_key
 from salesmart.schema import ENTITIES, Entity
+from salesmart.session import plan_bytes
 
 MEASURES = {
     "source_id": "id",
     "sale_date": "sale_date",
     "product_quantity": "product_quantity",
+    "product_price": "product_price",
     "sale_quantity": "sale_quantity",
     "total_price": "sale_total_price",
 }
@@ -27,6 +29,7 @@ KEYED_COLUMNS = (
     "sale_date",
     "date_id",
     "product_quantity",
+    "product_price",
     "sale_quantity",
     "total_price",
 )
@@ -39,11 +42,13 @@ class SalesSource:
     ``flat``       the raw 50-column rows, one per sale
     ``keyed``      one narrow row per sale: member keys, dates, measures
     ``members``    entity, keyed rows -> distinct members that occur in a sale
+    ``input_bytes`` size of the files behind it
     """
 
     flat: DataFrame
     keyed: DataFrame
     members: Callable[[Entity, DataFrame], DataFrame]
+    input_bytes: int
 
 
 def attribute_columns(entity: Entity) -> list:
@@ -78,4 +83,4 @@ def from_flat(flat: DataFrame) -> SalesSource:
         members = clean.select(*attribute_columns(entity)).distinct()
         return members.select(member_key(entity), "*")
 
-    return SalesSource(flat, keyed, members)
+    return SalesSource(flat, keyed, members, plan_bytes(flat))

@@ -22,6 +22,9 @@ from salesmart.sources.base import (
     key_columns,
     member_key,
 )
+from salesmart.session import plan_bytes
+
+TABLES = ("lineitem", "orders", "customer", "part", "supplier", "nation", "region")
 
 # Flat columns by the table that owns them.
 CUSTOMER_COLUMNS = {
@@ -101,8 +104,8 @@ def _shape(columns: dict[str, str]) -> list:
 
 
 def retail_source(spark: SparkSession, path: str) -> SalesSource:
-    def read(table: str) -> DataFrame:
-        return spark.read.parquet(f"{path}/{table}.parquet")
+    scans = {t: spark.read.parquet(f"{path}/{t}.parquet") for t in TABLES}
+    read = scans.__getitem__
 
     nation = read("nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read("region").select("r_regionkey", "r_name")
@@ -148,7 +151,7 @@ def retail_source(spark: SparkSession, path: str) -> SalesSource:
     order_keys = clean_sales(orders_with(customer_keys)).select(
         "o_orderkey", *member_keys, *key_columns(ENTITIES["seller"]), *date_key_columns()
     )
-    part_keys = keyed_by(clean_sales(parts), ["p_partkey"], "product")
+    part_keys = keyed_by(clean_sales(parts), ["p_partkey", "product_price"], "product")
     supplier_keys = keyed_by(suppliers, ["s_suppkey"], "supplier")
     keyed = (
         sales(order_keys, part_keys, supplier_keys)
@@ -176,5 +179,5 @@ def retail_source(spark: SparkSession, path: str) -> SalesSource:
         sold = keyed_rows.select(entity.key).distinct()
         return owned.join(sold, entity.key, "left_semi")
 
-    return SalesSource(flat, keyed, members)
+    return SalesSource(flat, keyed, members, plan_bytes(*scans.values()))
 
