@@ -47,8 +47,8 @@ BYTES_PER_PARTITION = 512 * 1024**2
 _INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
-def plan_bytes(*frames: DataFrame) -> int:
-    """Size of the files behind plain scans, as the optimizer sees it."""
+def scan_bytes(*frames: DataFrame) -> int:
+    """Size of the files behind plain file scans, as the optimizer sees it."""
     return sum(
         int(f._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
         for f in frames

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from salesmart.functions.clean import clean_sales
 from salesmart.functions.keys import lookup_key, surrogate_key
 from salesmart.schema import ENTITIES, Entity
-from salesmart.session import plan_bytes
 
 MEASURES = {
     "source_id": "id",
@@ -42,7 +41,7 @@ class SalesSource:
     ``flat``       the raw 50-column rows, one per sale
     ``keyed``      one narrow row per sale: member keys, dates, measures
     ``members``    entity, keyed rows -> distinct members that occur in a sale
-    ``input_bytes`` size of the files behind it
+    ``input_bytes`` size of the files behind it, 0 if unknown
     """
 
     flat: DataFrame
@@ -72,7 +71,7 @@ def date_key_columns() -> list:
     return [F.col("sale_date"), lookup_key(F.col("sale_date")).alias("date_id")]
 
 
-def from_flat(flat: DataFrame) -> SalesSource:
+def from_flat(flat: DataFrame, input_bytes: int = 0) -> SalesSource:
     """Source over a flat table: everything is computed from its own columns."""
     clean = clean_sales(flat)
     keys = [c for e in ENTITIES.values() for c in key_columns(e)]
@@ -83,4 +82,4 @@ def from_flat(flat: DataFrame) -> SalesSource:
         members = clean.select(*attribute_columns(entity)).distinct()
         return members.select(member_key(entity), "*")
 
-    return SalesSource(flat, keyed, members, plan_bytes(flat))
+    return SalesSource(flat, keyed, members, input_bytes)

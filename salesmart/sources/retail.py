@@ -22,7 +22,7 @@ from salesmart.sources.base import (
     key_columns,
     member_key,
 )
-from salesmart.session import plan_bytes
+from salesmart.session import scan_bytes
 
 TABLES = ("lineitem", "orders", "customer", "part", "supplier", "nation", "region")
 
@@ -179,5 +179,5 @@ def retail_source(spark: SparkSession, path: str) -> SalesSource:
         sold = keyed_rows.select(entity.key).distinct()
         return owned.join(sold, entity.key, "left_semi")
 
-    return SalesSource(flat, keyed, members, plan_bytes(*scans.values()))
+    return SalesSource(flat, keyed, members, scan_bytes(*scans.values()))
 

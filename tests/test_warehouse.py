@@ -1,0 +1,151 @@
+from decimal import Decimal
+
+from conftest import rows
+from pyspark.sql import functions as F
+
+from salesmart.functions.clean import clean_sales, parse_date
+from salesmart.operators.distinct import first_per_key, union_distinct
+from salesmart.operators.facts import fact_sales_by_lookup
+from salesmart.operators.dense import dense_ids
+from salesmart.operators.upsert import unseen_members, upsert_dimension
+from salesmart.plans.warehouse import Warehouse
+from salesmart.schema import ENTITIES, WAREHOUSE_TABLES
+from salesmart.sources.base import from_flat
+from salesmart.sources.retail import retail_source
+
+
+def test_dates_padded_unpadded_and_impossible(spark):
+    texts = ["05/04/2021", "5/4/2021", "02/30/2021", "13/01/2021", "", "soon", None]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    parsed = frame.select("i", parse_date(F.col("t")).cast("string")).orderBy("i").collect()
+    assert [r[1] for r in parsed] == ["2021-05-04", "2021-05-04"] + [None] * 5
+
+
+def test_equal_days_written_differently_are_one_product(warehouse):
+    w = warehouse({}, {"product_release_date": "1/1/2020"})
+    assert w.plan("dim_products").count() == 1
+
+
+def test_union_distinct_equals_union(spark):
+    frame = spark.createDataFrame(
+        [("a", "b"), ("b", None), (None, "c"), ("a", "a")], "x string, y string"
+    )
+    union = frame.select("x").union(frame.select("y")).where("x is not null").distinct()
+    assert rows(union_distinct(frame, ["x", "y"])) == rows(union)
+
+
+def test_first_per_key_is_deterministic_and_keeps_null_keys(spark):
+    frame = spark.createDataFrame(
+        [("a", 2, "x"), ("a", 1, "z"), (None, 5, "n"), (None, 4, "m")], "k string, o int, v string"
+    )
+    for parts in (1, 4):
+        first = first_per_key(frame.repartition(parts), ["k"], ["o"])
+        assert rows(first) == sorted([("a", 1, "z"), (None, 4, "m")], key=repr)
+
+
+def test_lookups_list_every_place_once(warehouse):
+    w = warehouse(
+        {}, {"customer_country": None, "seller_country": "Chad", "store_city": "Lima"}
+    )
+    names = {r.name for r in w.plan("dim_countries").collect()}
+    assert names == {"Chad", "Peru", "Italy"}
+    assert {r.name for r in w.plan("dim_cities").collect()} == {"Rome", "Lima"}
+    assert w.plan("dim_countries").count() == 3
+
+
+def test_same_name_different_product_keeps_the_grain(warehouse):
+    w = warehouse({}, {"product_price": Decimal("11.00")}, {"product_brand": "Other"})
+    assert w.plan("dim_products").count() == 3
+    fact = w.plan("fact_sales").collect()
+    assert len(fact) == 3
+    assert len({r.product_id for r in fact}) == 3
+
+
+def test_null_product_attribute_still_finds_its_product(warehouse):
+    w = warehouse({"product_color": None}, {"product_material": None})
+    joined = w.plan("fact_sales").join(
+        w.plan("dim_products"), F.col("product_id") == F.col("id")
+    )
+    assert joined.count() == 2
+    assert {r.color_id is None for r in w.plan("dim_products").collect()} == {True, False}
+
+
+def test_same_email_different_attributes_are_two_customers(warehouse):
+    w = warehouse({}, {"customer_age": 31})
+    assert w.plan("dim_customers").count() == 2
+    assert w.plan("fact_sales").count() == 2
+    assert w.plan("fact_sales").select("customer_id").distinct().count() == 2
+
+
+def test_sale_without_anchor_has_no_member_but_the_member_exists(warehouse):
+    w = warehouse({"customer_email": None, "product_name": None, "store_email": None})
+    (sale,) = w.plan("fact_sales").collect()
+    assert (sale.customer_id, sale.product_id, sale.store_id) == (None, None, None)
+    assert sale.seller_id is not None and sale.supplier_id is not None
+    assert w.plan("dim_customers").count() == 1
+
+
+def test_customer_pet_reference(warehouse):
+    w = warehouse({}, {"customer_pet_breed": None, "customer_email": "b@example.com"})
+    pets = {r.id: r for r in w.plan("dim_pets").collect()}
+    assert len(pets) == 2
+    assert all(r.pet_id in pets for r in w.plan("dim_customers").collect())
+
+
+def test_identical_sales_stay_separate_rows(warehouse):
+    w = warehouse({}, {}, {})
+    assert w.plan("fact_sales").count() == 3
+    assert w.plan("dim_customers").count() == 1
+
+
+def test_lookup_joins_give_the_same_fact(warehouse):
+    w = warehouse(
+        {},
+        {"product_color": None, "seller_country": None},
+        {"customer_email": None, "sale_date": None},
+        {"customer_age": 44, "product_name": None},
+    )
+
+    def dense(name):
+        if name == "date":
+            return dense_ids(w.table("dim_dates"))
+        e = ENTITIES[name]
+        return dense_ids(w.table(f"members_{name}"), e.key, tuple(e.attributes))
+
+    by_lookup = fact_sales_by_lookup(w.plan("flat"), dense)
+    assert by_lookup.count() == 4
+    by_key = w.plan("fact_sales")
+    for fk in ("customer_id", "seller_id", "product_id", "date_id", "store_id", "supplier_id"):
+        # Same NULLs, and one dense id per hash key.
+        assert by_lookup.where(f"{fk} is null").count() == by_key.where(f"{fk} is null").count()
+        pairs = by_lookup.select("source_id", fk).distinct().count()
+        assert pairs == by_key.select("source_id", fk).distinct().count()
+
+
+def test_flat_and_shaped_sources_agree(spark, testdata, tmp_path):
+    shaped = Warehouse(spark, retail_source(spark, testdata), str(tmp_path / "shaped"))
+    flat = Warehouse(spark, from_flat(shaped.plan("flat")), str(tmp_path / "flat"))
+    for table in WAREHOUSE_TABLES:
+        a, b = shaped.plan(table), flat.plan(table)
+        assert a.columns == b.columns
+        assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty(), table
+
+
+def test_stored_and_lazy_warehouse_agree(warehouse, tmp_path):
+    changes = [{}, {"customer_age": 31}, {"sale_date": None}]
+    lazy, stored = warehouse(*changes), warehouse(*changes, root=str(tmp_path / "w"))
+    for name in ("sales_by_customer", "sales_by_store", "dim_products"):
+        assert rows(lazy.plan(name)) == rows(stored.plan(name))
+
+
+def test_upsert_adds_unseen_members_once(spark, warehouse):
+    old = warehouse({}).plan("dim_customers")
+    new = warehouse({}, {"customer_email": "new@example.com"}).plan("dim_customers")
+    assert unseen_members(new, old).count() == 1
+    merged = upsert_dimension(old, new)
+    assert merged.count() == 2
+    assert rows(upsert_dimension(merged, new)) == rows(merged)
+
+
+def test_clean_keeps_all_columns(flat):
+    assert clean_sales(flat({})).columns == flat({}).columns
