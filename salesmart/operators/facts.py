@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.functions.clean import clean_sales
+from salesmart.functions.keys import encode
 from salesmart.schema import ENTITIES
 
 FACT_COLUMNS = (
@@ -37,30 +38,33 @@ def fact_sales_by_lookup(flat: DataFrame, dense: Callable[[str], DataFrame]) ->
     """The same fact with ids looked up in the dimensions instead of computed.
 
     ``dense("product")`` gives the members of an entity with a column
-    ``dense_id``. Each join compares the whole natural key and lets NULL meet
-    NULL, so it finds one member per sale and keeps every sale.
+    ``dense_id``, ``dense("date")`` the days. Each join compares the whole
+    natural key, NULLs included, as one encoded text: it finds one member per
+    sale and keeps every sale, and two members never share a text, as they might
+    share a hash key.
     """
-    sales = clean_sales(flat)
+    clean = clean_sales(flat)
+    natural = {
+        e.name: F.when(
+            F.col(e.attributes[e.anchor]).isNotNull(),
+            encode(*(F.col(c) for c in e.attributes.values())),
+        ).alias(f"{e.name}_natural")
+        for e in ENTITIES.values()
+    }
+    sales = clean.select(
+        F.col("id").alias("source_id"),
+        "sale_date",
+        *natural.values(),
+        "product_quantity",
+        "product_price",
+        "sale_quantity",
+        F.col("sale_total_price").alias("total_price"),
+    )
     for entity in ENTITIES.values():
         members = dense(entity.name).select(
             F.col("dense_id").alias(entity.foreign_key),
-            *(F.col(a).alias(f"{entity.name}__{a}") for a in entity.attributes),
+            encode(*(F.col(a) for a in entity.attributes)).alias(f"{entity.name}_natural"),
         )
-        same = [
-            F.col(column).eqNullSafe(F.col(f"{entity.name}__{attribute}"))
-            for attribute, column in entity.attributes.items()
-        ]
-        anchored = F.col(entity.attributes[entity.anchor]).isNotNull()
-        condition = anchored
-        for test in same:
-            condition = condition & test
-        sales = sales.join(members, condition, "left").drop(
-            *(f"{entity.name}__{a}" for a in entity.attributes)
-        )
-    days = dense("date").select(F.col("dense_id").alias("date_id"), "date")
-    sales = sales.join(days, sales["sale_date"] == days["date"], "left")
-    return sales.select(
-        F.col("id").alias("source_id"),
-        *FACT_COLUMNS[1:-1],
-        F.col("sale_total_price").alias("total_price"),
-    )
+        sales = sales.join(members, f"{entity.name}_natural", "left")
+    days = dense("date").select(F.col("dense_id").alias("date_id"), F.col("date").alias("sale_date"))
+    return sales.join(days, "sale_date", "left").select(*FACT_COLUMNS)
