@@ -7,7 +7,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from salesmart.plans.warehouse import Warehouse
-from salesmart.schema import DIMENSIONS
+from salesmart.schema import DIMENSIONS, WAREHOUSE_TABLES
 from salesmart.session import build_session, scan_bytes, shared_folder
 from salesmart.sinks.jdbc import write_postgres
 from salesmart.sinks.tables import read_staging, staged_sales, write_dimension, write_fact
@@ -16,9 +16,13 @@ from salesmart.sources.jdbc import postgres, read_table
 
 
 def store_files(warehouse: Warehouse, target: str) -> None:
-    for name in DIMENSIONS:
-        write_dimension(warehouse.plan(name), f"{target}/{name}")
-    write_fact(warehouse.table("keyed"), f"{target}/fact_sales")
+    def write(name: str) -> None:
+        if name == "fact_sales":
+            write_fact(warehouse.table("keyed"), f"{target}/{name}")
+        else:
+            write_dimension(warehouse.plan(name), f"{target}/{name}")
+
+    warehouse.store(WAREHOUSE_TABLES, write)
 
 
 def store_postgres(warehouse: Warehouse) -> None:

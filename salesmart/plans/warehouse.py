@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from threading import RLock
+from collections import defaultdict
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from threading import Lock, RLock
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +18,9 @@ from salesmart.session import shared_folder, size_shuffles
 from salesmart.sources.base import SalesSource
 
 
+CONCURRENT_WRITES = 8
+
+
 class Warehouse:
     """Lazy plans over one sales input, each intermediate table written once.
 
@@ -31,7 +37,8 @@ class Warehouse:
         self.source = source
         self.root = root
         self._written: dict[str, DataFrame] = {}
-        self._lock = RLock()
+        self._locks: defaultdict[str, RLock] = defaultdict(RLock)
+        self._guard = Lock()
         size_shuffles(spark, source.input_bytes)
 
     def plan(self, name: str) -> DataFrame:
@@ -54,7 +61,9 @@ class Warehouse:
         # The fact only renames and blanks columns of the stored keyed rows.
         if self.root is None or name == "fact_sales":
             return self.plan(name)
-        with self._lock:
+        with self._guard:
+            lock = self._locks[name]
+        with lock:
             if name not in self._written:
                 path = f"{self.root}/{name}"
                 frame = self.plan(name)
@@ -62,6 +71,19 @@ class Warehouse:
                 self._written[name] = self.spark.read.schema(frame.schema).parquet(path)
             return self._written[name]
 
+    def store(self, names: Iterable[str], work: Callable[[str], object] | None = None) -> None:
+        """Write tables, several at a time.
+
+        Most are small and would leave the cluster idle one by one. What they
+        share is written first, so no two wait for each other.
+        """
+        if self.root:
+            self.table("keyed")
+        with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
+            if self.root:
+                list(pool.map(self.table, (f"members_{e}" for e in ENTITIES)))
+            list(pool.map(work or self.table, names))
+
 
 _OPEN: dict[tuple[str, str], Warehouse] = {}
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Let AQE split a hot partition of a join even where that costs a shuffle
 # after it, and merge small shuffle partitions.
@@ -55,6 +56,19 @@ def scan_bytes(*frames: DataFrame) -> int:
     )
 
 
+def sized_side(side: DataFrame, file_bytes: int, width: int = 1) -> DataFrame:
+    """Join side that is broadcast only if the files it is made of are small.
+
+    The optimizer multiplies the sizes of joined tables, so it takes a small
+    joined side for a huge one and may broadcast the sales instead. Beyond the
+    session's broadcast limit both sides are shuffled, and AQE splits hot keys.
+    ``width`` is how much wider the side's rows are than those in the files.
+    """
+    limit = side.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    small = file_bytes * width <= limit
+    return F.broadcast(side) if small else side.hint("merge")
+
+
 def initial_partitions(input_bytes: int, default: int) -> int:
     return max(default, -(-input_bytes // BYTES_PER_PARTITION))
 

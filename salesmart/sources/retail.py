@@ -22,10 +22,13 @@ from salesmart.sources.base import (
     key_columns,
     member_key,
 )
-from salesmart.session import scan_bytes
+from salesmart.session import scan_bytes, sized_side
 
 TABLES = ("lineitem", "orders", "customer", "part", "supplier", "nation", "region")
 
+# Row width of a shaped side against the columns stored in its compressed files.
+NARROW, WIDE = 1, 8
+
 # Flat columns by the table that owns them.
 CUSTOMER_COLUMNS = {
     "customer_first_name": "split_part(c_name, '#', 1)",
@@ -107,20 +110,30 @@ def retail_source(spark: SparkSession, path: str) -> SalesSource:
     scans = {t: spark.read.parquet(f"{path}/{t}.parquet") for t in TABLES}
     read = scans.__getitem__
 
+    def size(*tables: str) -> int:
+        return scan_bytes(*(scans[t] for t in tables))
+
     nation = read("nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read("region").select("r_regionkey", "r_name")
-    nation_region = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    nation_region = nation.join(
+        sized_side(region, size("region")), F.col("n_regionkey") == F.col("r_regionkey")
+    )
 
     # One frame per owning table: its join keys and its flat columns.
     customers = (
         read("customer")
-        .join(nation_region, F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(
+            sized_side(nation_region, size("nation", "region")),
+            F.col("c_nationkey") == F.col("n_nationkey"),
+        )
         .select("c_custkey", "r_name", *_shape(CUSTOMER_COLUMNS))
     )
     parts = read("part").select("p_partkey", *_shape(PART_COLUMNS))
     suppliers = (
         read("supplier")
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(
+            sized_side(nation, size("nation")), F.col("s_nationkey") == F.col("n_nationkey")
+        )
         .select("s_suppkey", *_shape(SUPPLIER_COLUMNS))
     )
     orders = read("orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
@@ -128,19 +141,32 @@ def retail_source(spark: SparkSession, path: str) -> SalesSource:
         "l_orderkey", "l_partkey", "l_suppkey", *_shape(LINE_COLUMNS)
     )
 
-    def orders_with(customer_columns: DataFrame) -> DataFrame:
-        joined = orders.join(customer_columns, F.col("o_custkey") == F.col("c_custkey"))
+    def orders_with(customer_columns: DataFrame, width: int) -> DataFrame:
+        joined = orders.join(
+            sized_side(customer_columns, size("customer"), width),
+            F.col("o_custkey") == F.col("c_custkey"),
+        )
         kept = [c for c in customer_columns.columns if c not in ("c_custkey", "r_name")]
         return joined.select("o_orderkey", *kept, *_shape(ORDER_COLUMNS))
 
-    def sales(order_columns: DataFrame, part_columns: DataFrame, supplier_columns: DataFrame):
+    def sales(orders_side: DataFrame, parts_side: DataFrame, suppliers_side: DataFrame, width: int):
         return (
-            lines.join(order_columns, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(part_columns, F.col("l_partkey") == F.col("p_partkey"))
-            .join(supplier_columns, F.col("l_suppkey") == F.col("s_suppkey"))
+            lines.join(
+                sized_side(orders_side, size("orders", "customer"), width),
+                F.col("l_orderkey") == F.col("o_orderkey"),
+            )
+            .join(
+                sized_side(parts_side, size("part"), width),
+                F.col("l_partkey") == F.col("p_partkey"),
+            )
+            .join(
+                sized_side(suppliers_side, size("supplier"), width),
+                F.col("l_suppkey") == F.col("s_suppkey"),
+            )
         )
 
-    flat = sales(orders_with(customers), parts, suppliers).select(*FLAT_COLUMNS)
+    # Flat rows carry all text columns, keyed rows a few numbers per side.
+    flat = sales(orders_with(customers, WIDE), parts, suppliers, WIDE).select(*FLAT_COLUMNS)
 
     def keyed_by(frame: DataFrame, keep: list[str], *entities: str) -> DataFrame:
         keys = [c for name in entities for c in key_columns(ENTITIES[name])]
@@ -148,18 +174,18 @@ def retail_source(spark: SparkSession, path: str) -> SalesSource:
 
     customer_keys = keyed_by(customers, ["c_custkey", "r_name"], "customer", "store")
     member_keys = [c for n in ("customer", "store") for c in (ENTITIES[n].key, ENTITIES[n].flag)]
-    order_keys = clean_sales(orders_with(customer_keys)).select(
+    order_keys = clean_sales(orders_with(customer_keys, NARROW)).select(
         "o_orderkey", *member_keys, *key_columns(ENTITIES["seller"]), *date_key_columns()
     )
     part_keys = keyed_by(clean_sales(parts), ["p_partkey", "product_price"], "product")
     supplier_keys = keyed_by(suppliers, ["s_suppkey"], "supplier")
     keyed = (
-        sales(order_keys, part_keys, supplier_keys)
+        sales(order_keys, part_keys, supplier_keys, NARROW)
         .withColumnsRenamed({"id": "source_id", "sale_total_price": "total_price"})
         .select(*KEYED_COLUMNS)
     )
 
-    sellers = orders_with(customers.select("c_custkey", "r_name"))
+    sellers = orders_with(customers.select("c_custkey", "r_name"), NARROW)
     owners = {
         "customer": customers,
         "seller": sellers,
