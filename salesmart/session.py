@@ -43,8 +43,10 @@ def shared_folder(spark: SparkSession) -> str | None:
     return folder
 
 
-# Input bytes behind one shuffle partition; AQE merges partitions that turn out small.
-BYTES_PER_PARTITION = 512 * 1024**2
+# Input bytes behind one shuffle partition. Only some columns are shuffled, so the
+# partition itself is smaller; 100 TB give 51,200 partitions, which a driver can
+# still track. AQE merges partitions that turn out small.
+BYTES_PER_PARTITION = 2 * 1024**3
 _INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 

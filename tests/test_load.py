@@ -3,7 +3,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
-from conftest import flat_rows
+from conftest import flat_rows, rows
 from pyspark.errors import AnalysisException
 
 from salesmart.plans.quality import dq_bad_rows
@@ -67,12 +67,47 @@ def test_line_break_inside_quotes_is_one_row(spark, folder):
     write(folder / "a.csv", {"product_description": 'two\nlines, "quoted"'}, {"id": 2})
     write(folder / "b.csv", {"id": 3, "product_description": 'says "hi"'})
     files = csv_files(spark, str(folder))
-    assert [f.rsplit("/", 1)[1] for f in files_with_line_breaks(spark, files)] == ["a.csv"]
+    (broken,) = files_with_line_breaks(spark, files)
+    assert broken.endswith("/a.csv")
     assert load(spark, folder) == LoadAudit(2, 3, 3, 0)
     texts = {r.product_description for r in staged(spark, folder).collect()}
     assert texts == {'two\nlines, "quoted"', "a bowl", 'says "hi"'}
 
 
+@pytest.mark.parametrize("block", ["64", "700", "100000"])
+def test_large_files_are_stitched_like_whole_ones(spark, folder, block):
+    breaks = [
+        "plain",
+        "two\nlines",
+        'a "quoted\n\nword"',
+        '"\n"',
+        'many\n' * 30,
+        'no break but "quotes"',
+        '\n,\n"",",\n',
+    ]
+    for name in ("a", "b"):
+        write(
+            folder / f"{name}.csv",
+            *({"id": i, "product_description": t} for i, t in enumerate(breaks * 3)),
+            extra_lines=["\n", "7,too,short\n", "\n"],
+        )
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        files = csv_files(spark, str(folder))
+        whole = read_sales_csv(spark, files)
+        stitched = read_sales_csv(spark, files, whole_file_bytes=0)
+        assert whole.columns == stitched.columns
+        assert [f.dataType for f in whole.schema] == [f.dataType for f in stitched.schema]
+        got = rows(stitched)
+        assert len(got) == 2 * (3 * len(breaks) + 1)
+        assert got == rows(whole)
+        assert {r[FLAT_COLUMNS.index("product_description")] for r in got} == {*breaks, None}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_bad_rows_are_set_aside_with_reasons(spark, folder):
     write(
         folder / "a.csv",
