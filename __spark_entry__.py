@@ -124,7 +124,7 @@ def _dim_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         found = warehouse.source.members(product, sales)
         return found.select(F.col(product.key).alias("id"), "name")
 
-    first = F.col("sale_date") < "1995-02-01"
+    first = F.coalesce(F.col("sale_date") < "1995-02-01", F.lit(False))
     stored = members(keyed.where(first))
     added = unseen_members(members(keyed.where(~first)), stored)
     return stored.withColumn("origin", F.lit("stored")).unionByName(

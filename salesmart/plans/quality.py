@@ -48,18 +48,17 @@ def dq_duplicate_keys(read: Reader) -> DataFrame:
     )
 
 
-def _references(read: Reader, table: str) -> DataFrame:
-    pairs = F.array(
-        *(
-            F.struct(F.lit(fk).alias("foreign_key"), F.col(fk).alias("id"))
-            for fk in FOREIGN_KEYS[table]
-        )
-    )
-    return (
-        read(table)
-        .select(F.explode(pairs).alias("pair"))
-        .select(F.lit(table).alias("table_name"), "pair.*")
+def _numbered(columns: list[str], first: int = 0) -> Column:
+    """One (number, id) pair per column: small keys for the per-task counting."""
+    pairs = (
+        F.struct(F.lit(first + i).alias("number"), F.col(c).alias("id"))
+        for i, c in enumerate(columns)
     )
+    return F.explode(F.array(*pairs)).alias("pair")
+
+
+def _name_of(names: list[str]) -> Column:
+    return F.get(F.array(*map(F.lit, names)), F.col("number"))
 
 
 def dq_orphans(read: Reader) -> DataFrame:
@@ -67,26 +66,34 @@ def dq_orphans(read: Reader) -> DataFrame:
 
     Every table is read once for all its foreign keys.
     """
-    uses = _union([_references(read, table) for table in FOREIGN_KEYS])
-    per_key = uses.groupBy("table_name", "foreign_key", "id").agg(F.count("*").alias("n"))
+    references = [
+        (table, fk, dim) for table, keys in FOREIGN_KEYS.items() for fk, dim in keys.items()
+    ]
+    uses, first = [], 0
+    for table, keys in FOREIGN_KEYS.items():
+        uses.append(read(table).select(_numbered(list(keys), first)).select("pair.*"))
+        first += len(keys)
+    per_key = _union(uses).groupBy("number", "id").agg(F.count("*").alias("n"))
     targets = _union(
         [
-            read(dim).select(
-                F.lit(table).alias("table_name"), F.lit(fk).alias("foreign_key"), "id"
-            )
-            for table, keys in FOREIGN_KEYS.items()
-            for fk, dim in keys.items()
+            read(dim).select(F.lit(i).alias("number"), "id")
+            for i, (_, _, dim) in enumerate(references)
         ]
     ).distinct()
-    found = per_key.join(
-        targets.withColumn("found", F.lit(True)), ["table_name", "foreign_key", "id"], "left"
-    )
+    found = per_key.join(targets.withColumn("found", F.lit(True)), ["number", "id"], "left")
     is_null = F.col("id").isNull()
-    return found.groupBy("table_name", "foreign_key").agg(
+    counts = found.groupBy("number").agg(
         F.sum("n").alias("row_count"),
         _count_if(is_null, F.col("n")).alias("null_keys"),
         _count_if(~is_null & F.col("found").isNull(), F.col("n")).alias("orphan_keys"),
     )
+    return counts.select(
+        _name_of([t for t, _, _ in references]).alias("table_name"),
+        _name_of([fk for _, fk, _ in references]).alias("foreign_key"),
+        "row_count",
+        "null_keys",
+        "orphan_keys",
+    )
 
 
 def dq_fanout(read: Reader) -> DataFrame:
@@ -94,40 +101,36 @@ def dq_fanout(read: Reader) -> DataFrame:
 
     ``joined_rows`` is what a join of the sales on that text alone would give.
     """
-    pairs = F.array(
-        *(
-            F.struct(F.lit(e.name).alias("entity"), F.col(e.key).alias("key"))
-            for e in ENTITIES.values()
-        )
-    )
+    entities = list(ENTITIES.values())
     sales = (
         read("keyed")
-        .select(F.explode(pairs).alias("pair"))
-        .groupBy("pair.entity", "pair.key")
+        .select(_numbered([e.key for e in entities]))
+        .groupBy("pair.number", "pair.id")
         .agg(F.count("*").alias("sales"))
     )
     members = _union(
         [
             read(f"members_{e.name}").select(
-                F.lit(e.name).alias("entity"),
-                F.col(e.key).alias("key"),
+                F.lit(i).alias("number"),
+                F.col(e.key).alias("id"),
                 F.col(e.anchor).alias("natural_key"),
             )
-            for e in ENTITIES.values()
+            for i, e in enumerate(entities)
         ]
     ).where(F.col("natural_key").isNotNull())
     per_text = (
-        members.join(sales, ["entity", "key"])
-        .groupBy("entity", "natural_key")
+        members.join(sales, ["number", "id"])
+        .groupBy("number", "natural_key")
         .agg(F.count("*").alias("members"), F.sum("sales").alias("sales"))
     )
-    return per_text.groupBy("entity").agg(
+    counts = per_text.groupBy("number").agg(
         F.count("*").alias("natural_keys"),
         _count_if(F.col("members") > 1).alias("ambiguous_keys"),
         F.max("members").alias("max_members"),
         F.sum("sales").alias("sale_rows"),
         F.sum(F.col("sales") * F.col("members")).cast("bigint").alias("joined_rows"),
     )
+    return counts.withColumn("entity", _name_of([e.name for e in entities])).drop("number")
 
 
 # Mart -> its money total, and the fact rows it leaves out on purpose.

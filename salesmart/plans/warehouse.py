@@ -20,6 +20,10 @@ from salesmart.sources.base import SalesSource
 
 CONCURRENT_WRITES = 8
 
+# The flat rows are the input itself; the fact only renames and blanks columns
+# of the keyed rows.
+NEVER_WRITTEN = ("flat", "fact_sales")
+
 
 class Warehouse:
     """Lazy plans over one sales input, each intermediate table written once.
@@ -58,8 +62,7 @@ class Warehouse:
         raise KeyError(name)
 
     def table(self, name: str) -> DataFrame:
-        # The fact only renames and blanks columns of the stored keyed rows.
-        if self.root is None or name == "fact_sales":
+        if self.root is None or name in NEVER_WRITTEN:
             return self.plan(name)
         with self._guard:
             lock = self._locks[name]

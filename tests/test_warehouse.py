@@ -140,6 +140,13 @@ def test_stored_and_lazy_warehouse_agree(warehouse, tmp_path):
         assert rows(lazy.plan(name)) == rows(stored.plan(name))
 
 
+def test_flat_rows_are_not_copied(warehouse, tmp_path):
+    w = warehouse({}, root=str(tmp_path / "w"))
+    w.table("flat")
+    w.table("fact_sales")
+    assert [p.name for p in (tmp_path / "w").iterdir()] == ["keyed"]
+
+
 def test_upsert_adds_unseen_members_once(spark, warehouse):
     old = warehouse({}).plan("dim_customers")
     new = warehouse({}, {"customer_email": "new@example.com"}).plan("dim_customers")
