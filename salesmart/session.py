@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Sequence
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,19 +60,32 @@ def scan_bytes(*frames: DataFrame) -> int:
     )
 
 
-def sized_side(side: DataFrame, file_bytes: int, width: int = 1) -> DataFrame:
-    """Join side that is broadcast only if the files it is made of are small.
+# Rows of a broadcast side, times how wide they are; about 100 bytes each in memory.
+BROADCAST_ROWS = 1_000_000
 
-    The optimizer multiplies the sizes of joined tables, so it takes a small
-    joined side for a huge one and may broadcast the sales instead. Beyond the
-    session's broadcast limit both sides are shuffled, and AQE splits hot keys.
-    ``width`` is how much wider the side's rows are than those in the files.
+
+def sized_side(side: DataFrame, scans: Sequence[DataFrame], width: int = 1) -> DataFrame:
+    """Join side that is broadcast only if the tables it is made of are small.
+
+    ``scans`` are those tables, the one that bounds the number of rows first;
+    ``width`` is how much wider than a few numbers the side's rows are. Files
+    have to be below the session's broadcast limit, and, since small files may
+    hold many alike rows, the rows are counted too. Beyond that both sides are
+    shuffled and AQE splits hot keys. The optimizer's own estimate is no help
+    here: it multiplies the sizes of joined tables, so it takes a small side
+    for a huge one and may broadcast the sales instead.
     """
     limit = side.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    small = file_bytes * width <= limit
+    small = scan_bytes(*scans) * width <= limit and row_count(scans[0]) * width <= BROADCAST_ROWS
     return F.broadcast(side) if small else side.hint("merge")
 
 
+@lru_cache(maxsize=64)
+def row_count(scan: DataFrame) -> int:
+    """Rows of a small scan, from its file footers."""
+    return scan.count()
+
+
 def initial_partitions(input_bytes: int, default: int) -> int:
     return max(default, -(-input_bytes // BYTES_PER_PARTITION))
 

@@ -26,7 +26,7 @@ from salesmart.session import scan_bytes, sized_side
 
 TABLES = ("lineitem", "orders", "customer", "part", "supplier", "nation", "region")
 
-# Row width of a shaped side against the columns stored in its compressed files.
+# Row width of a join side: a few keys and flags, or all its text columns.
 NARROW, WIDE = 1, 8
 
 # Flat columns by the table that owns them.
@@ -110,20 +110,20 @@ def retail_source(spark: SparkSession, path: str) -> SalesSource:
     scans = {t: spark.read.parquet(f"{path}/{t}.parquet") for t in TABLES}
     read = scans.__getitem__
 
-    def size(*tables: str) -> int:
-        return scan_bytes(*(scans[t] for t in tables))
+    def side(frame: DataFrame, *tables: str, width: int = NARROW) -> DataFrame:
+        return sized_side(frame, [scans[t] for t in tables], width)
 
     nation = read("nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read("region").select("r_regionkey", "r_name")
     nation_region = nation.join(
-        sized_side(region, size("region")), F.col("n_regionkey") == F.col("r_regionkey")
+        side(region, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
 
     # One frame per owning table: its join keys and its flat columns.
     customers = (
         read("customer")
         .join(
-            sized_side(nation_region, size("nation", "region")),
+            side(nation_region, "nation", "region"),
             F.col("c_nationkey") == F.col("n_nationkey"),
         )
         .select("c_custkey", "r_name", *_shape(CUSTOMER_COLUMNS))
@@ -131,9 +131,7 @@ def retail_source(spark: SparkSession, path: str) -> SalesSource:
     parts = read("part").select("p_partkey", *_shape(PART_COLUMNS))
     suppliers = (
         read("supplier")
-        .join(
-            sized_side(nation, size("nation")), F.col("s_nationkey") == F.col("n_nationkey")
-        )
+        .join(side(nation, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         .select("s_suppkey", *_shape(SUPPLIER_COLUMNS))
     )
     orders = read("orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
@@ -143,7 +141,7 @@ def retail_source(spark: SparkSession, path: str) -> SalesSource:
 
     def orders_with(customer_columns: DataFrame, width: int) -> DataFrame:
         joined = orders.join(
-            sized_side(customer_columns, size("customer"), width),
+            side(customer_columns, "customer", width=width),
             F.col("o_custkey") == F.col("c_custkey"),
         )
         kept = [c for c in customer_columns.columns if c not in ("c_custkey", "r_name")]
@@ -152,15 +150,15 @@ def retail_source(spark: SparkSession, path: str) -> SalesSource:
     def sales(orders_side: DataFrame, parts_side: DataFrame, suppliers_side: DataFrame, width: int):
         return (
             lines.join(
-                sized_side(orders_side, size("orders", "customer"), width),
+                side(orders_side, "orders", "customer", width=width),
                 F.col("l_orderkey") == F.col("o_orderkey"),
             )
             .join(
-                sized_side(parts_side, size("part"), width),
+                side(parts_side, "part", width=width),
                 F.col("l_partkey") == F.col("p_partkey"),
             )
             .join(
-                sized_side(suppliers_side, size("supplier"), width),
+                side(suppliers_side, "supplier", width=width),
                 F.col("l_suppkey") == F.col("s_suppkey"),
             )
         )

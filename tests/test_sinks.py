@@ -15,7 +15,7 @@ from salesmart.sinks.jdbc import (
     write_options,
 )
 from salesmart.sinks.tables import append_dimension, write_fact, write_mart
-from salesmart.session import BYTES_PER_PARTITION, initial_partitions
+from salesmart.session import BYTES_PER_PARTITION, initial_partitions, sized_side
 from salesmart.sources.jdbc import clickhouse, partition_options, postgres
 
 
@@ -144,6 +144,25 @@ def test_graph_edges_meet_nodes(warehouse):
     assert all(r.from_id in nodes and r.to_id in nodes for r in edges)
 
 
+def test_broadcast_needs_few_bytes_and_few_rows(spark, tmp_path):
+    path = str(tmp_path / "side")
+    spark.range(300_000).write.parquet(path)
+    sales = spark.range(100).withColumnRenamed("id", "sale")
+
+    def joined(width):
+        side = spark.read.parquet(path)
+        plan = sales.join(sized_side(side, [side], width), F.col("sale") == F.col("id"))
+        return plan._jdf.queryExecution().executedPlan().toString()
+
+    assert "BroadcastHashJoin" in joined(1)
+    assert "SortMergeJoin" in joined(4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000")
+    try:
+        assert "SortMergeJoin" in joined(1)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_partitions_grow_with_the_input():
     assert initial_partitions(10, 200) == 200
     assert initial_partitions(100 * 1024**4, 200) == 100 * 1024**4 // BYTES_PER_PARTITION
