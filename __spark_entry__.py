@@ -154,6 +154,13 @@ def _dim_products_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_dense_keys(products, foreign_keys, own=dense_ids(products))
 
 
+def _fact_sales_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact with dense ids; only 8-byte keys are joined."""
+    read = _warehouse(spark, sf_dir).table
+    numbered = {fk: dense_ids(read(d)) for fk, d in FOREIGN_KEYS["fact_sales"].items()}
+    return with_dense_keys(read("fact_sales"), numbered)
+
+
 def _pet_first_sale(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One sale per distinct pet: the one with the smallest source id."""
     read = _warehouse(spark, sf_dir).table
@@ -202,6 +209,7 @@ def queries() -> dict[str, Query]:
         "pet_first_sale": _pet_first_sale,
         "write_mart": _write_mart,
         "write_fact": _write_fact,
+        "fact_sales_dense": _fact_sales_dense,
         "fact_sales_by_lookup": _fact_sales_by_lookup,
         "dq_bad_rows": _bad_rows,
     }

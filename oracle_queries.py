@@ -721,6 +721,7 @@ def _keys() -> dict[str, str]:
         "dense_ids": _with(FLAT, CLEAN, dense)
         + "SELECT row_number() OVER (ORDER BY id) AS dense_id, id, name FROM dim_products",
         "dim_upsert": _with(*SALES) + upsert,
+        "fact_sales_dense": _with(*SALES, *tables, dates) + by_lookup,
         "fact_sales_by_lookup": _with(*SALES, *tables, dates) + by_lookup,
     }
 

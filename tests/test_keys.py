@@ -74,6 +74,12 @@ def test_dense_ids_equal_a_global_row_number(spark):
     assert sorted(dense.select(columns).collect()) == sorted(globally.select(columns).collect())
 
 
+def test_dense_ids_do_not_depend_on_the_partitions(spark):
+    members = spark.range(1000).select(surrogate_key(F.col("id")).alias("id"))
+    results = [sorted(dense_ids(members.repartition(n)).collect()) for n in (1, 5)]
+    assert results[0] == results[1]
+
+
 def test_dense_ids_tell_colliding_keys_apart(spark):
     members = spark.createDataFrame([(7, "b"), (7, "a"), (1 << 59, "c")], "id bigint, name string")
     dense = dense_ids(members, tie_break=["name"])

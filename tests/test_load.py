@@ -11,7 +11,12 @@ from salesmart.plans.warehouse import Warehouse
 from salesmart.schema import FLAT_COLUMNS
 from salesmart.sinks.tables import LoadAudit, load_csv, read_staging, staged_sales
 from salesmart.sources.base import from_flat
-from salesmart.sources.csv import csv_files, files_with_line_breaks, read_sales_csv
+from salesmart.sources.csv import (
+    csv_files,
+    files_with_line_breaks,
+    read_sales_csv,
+    stitched_records,
+)
 
 
 def write(path, *changes, extra_lines=()):
@@ -108,6 +113,24 @@ def test_large_files_are_stitched_like_whole_ones(spark, folder, block):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+def test_missing_quote_does_not_swallow_the_file(spark, folder):
+    write(
+        folder / "a.csv",
+        {"id": 1},
+        {"id": 2, "product_description": "two\nlines"},
+        extra_lines=['3,"never closed\n'],
+    )
+    with open(folder / "a.csv", "a", newline="") as f:
+        out = csv.writer(f)
+        for row in flat_rows(*({"id": i} for i in range(10, 40))):
+            out.writerow(["" if v is None else v for v in row.values()])
+    files = csv_files(spark, str(folder))
+    records = stitched_records(spark, files, max_chars=1000)
+    texts = {r.value.split(",")[0] for r in records.collect()}
+    assert texts == {"1", "2", "3", *map(str, range(10, 40))}
+    assert records.count() == 33
+
+
 def test_bad_rows_are_set_aside_with_reasons(spark, folder):
     write(
         folder / "a.csv",
