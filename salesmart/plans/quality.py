@@ -37,15 +37,20 @@ def _count_if(condition: Column, weight: Column | None = None) -> Column:
     return F.coalesce(F.sum(F.when(condition, weight)), F.lit(0)).cast("bigint")
 
 
+def _name_of(names: list[str]) -> Column:
+    return F.get(F.array(*map(F.lit, names)), F.col("number"))
+
+
 def dq_duplicate_keys(read: Reader) -> DataFrame:
     """Members, distinct keys and keys held by several members, per dimension."""
-    ids = _union([read(d).select(F.lit(d).alias("dimension"), "id") for d in DIMENSIONS])
-    per_key = ids.groupBy("dimension", "id").agg(F.count("*").alias("n"))
-    return per_key.groupBy("dimension").agg(
+    ids = [read(d).select(F.lit(i).alias("number"), "id") for i, d in enumerate(DIMENSIONS)]
+    per_key = _union(ids).groupBy("number", "id").agg(F.count("*").alias("n"))
+    counts = per_key.groupBy("number").agg(
         F.sum("n").alias("members"),
         F.count("*").alias("distinct_keys"),
         _count_if(F.col("n") > 1).alias("duplicate_keys"),
     )
+    return counts.withColumn("dimension", _name_of(list(DIMENSIONS))).drop("number")
 
 
 def _numbered(columns: list[str], first: int = 0) -> Column:
@@ -57,10 +62,6 @@ def _numbered(columns: list[str], first: int = 0) -> Column:
     return F.explode(F.array(*pairs)).alias("pair")
 
 
-def _name_of(names: list[str]) -> Column:
-    return F.get(F.array(*map(F.lit, names)), F.col("number"))
-
-
 def dq_orphans(read: Reader) -> DataFrame:
     """Rows, NULL references and references to no member, per foreign key.
 

@@ -35,7 +35,7 @@ def shared_folder(spark: SparkSession) -> str | None:
     A local master gets a temporary folder of its own; on a cluster a
     machine-local folder would be lost with its machine.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
