@@ -165,7 +165,8 @@ def _pet_first_sale(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One sale per distinct pet: the one with the smallest source id."""
     read = _warehouse(spark, sf_dir).table
     customer = ENTITIES["customer"].key
-    per_customer = first_per_key(read("keyed").select(customer, "source_id"), [customer], ["source_id"])
+    sales = read("keyed").select(customer, "source_id")
+    per_customer = first_per_key(sales, [customer], ["source_id"])
     pets = per_customer.join(read("members_customer").select(customer, *PET_ATTRIBUTES), customer)
     return first_per_key(pets.drop(customer), list(PET_ATTRIBUTES), ["source_id"])
 

@@ -66,5 +66,5 @@ def fact_sales_by_lookup(flat: DataFrame, dense: Callable[[str], DataFrame]) ->
             encode(*(F.col(a) for a in entity.attributes)).alias(f"{entity.name}_natural"),
         )
         sales = sales.join(members, f"{entity.name}_natural", "left")
-    days = dense("date").select(F.col("dense_id").alias("date_id"), F.col("date").alias("sale_date"))
-    return sales.join(days, "sale_date", "left").select(*FACT_COLUMNS)
+    days = dense("date").withColumnsRenamed({"dense_id": "date_id", "date": "sale_date"})
+    return sales.join(days.drop("id"), "sale_date", "left").select(*FACT_COLUMNS)

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 
-def unseen_members(members: DataFrame, stored: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
+def unseen_members(
+    members: DataFrame, stored: DataFrame, keys: Sequence[str] = ("id",)
+) -> DataFrame:
     """Members the stored dimension does not have yet; append them to it.
 
     Both sides hold each key once, so no key is hot.
@@ -15,6 +17,8 @@ def unseen_members(members: DataFrame, stored: DataFrame, keys: Sequence[str] =
     return members.join(stored.select(*keys), list(keys), "left_anti").select(*members.columns)
 
 
-def upsert_dimension(stored: DataFrame, members: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
+def upsert_dimension(
+    stored: DataFrame, members: DataFrame, keys: Sequence[str] = ("id",)
+) -> DataFrame:
     """Stored members plus the unseen ones. Running it twice changes nothing."""
     return stored.unionByName(unseen_members(members, stored, keys))
