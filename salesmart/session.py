@@ -35,14 +35,12 @@ def shared_folder(spark: SparkSession) -> str | None:
     A local master gets a temporary folder of its own; on a cluster a
     machine-local folder would be lost with its machine.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        return None
-    folder = tempfile.mkdtemp(prefix="salesmart-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None and context.master.startswith("local"):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="salesmart-"))
+        folder = context.getCheckpointDir()
+    return folder and folder.rstrip("/")
 
 
 # Input bytes behind one shuffle partition. Only some columns are shuffled, so the
