@@ -42,6 +42,15 @@ from salesmart.sinks.tables import (  # noqa: E402
 )
 from salesmart.sources.retail import retail_source  # noqa: E402
 
+# The corpus operators and their pipeline are optional: without their folder the rest works.
+try:
+    import corpus_pipeline
+    import salesmart.llm.queries as llm_queries
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith(("corpus_pipeline", "salesmart.llm")):
+        raise
+    llm_queries = corpus_pipeline = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 _SKEW = "spark.sql.adaptive.forceOptimizeSkewedJoin"
@@ -216,8 +225,15 @@ def queries() -> dict[str, Query]:
     }
     named |= {t: partial(_table, t) for t in (*WAREHOUSE_TABLES, *MARTS)}
     named |= {n: partial(_report, b) for n, b in {**REPORTS, **CHECKS, **EXPORTS}.items()}
+    if llm_queries:
+        named |= {"pipeline": corpus_pipeline.run, **llm_queries.queries()}
     return named
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries.oracle_sql()
+    expected = oracle_queries.oracle_sql()
+    if llm_queries:
+        expected |= llm_queries.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            expected["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return expected
