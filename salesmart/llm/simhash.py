@@ -36,7 +36,10 @@ SHINGLES_AT_ONCE = 1 << 16
 # Points for the tree's upper part; at 8 bytes each the driver holds 1 MB.
 SAMPLE = 1 << 17
 SHARD_POINTS = 20_000
-BLOCK = 256
+BLOCK = 2048
+# Points compared at once; their distances fit into a processor cache.
+TILE = (32, 2048)
+PAIRS_AT_ONCE = 1 << 18
 
 
 def fingerprint(text: bytes, words: int = SHINGLE_WORDS, seed: int = 42) -> int:
@@ -158,47 +161,57 @@ def route(points: np.ndarray, nodes: list[tuple], bits: int):
 
 
 def linked_blocks(points: np.ndarray, home: np.ndarray, bits: int):
-    """Index pairs of points within ``bits``; each pair has a point at home."""
-    todo = [np.arange(len(points))]
-    owns = [home]
+    """Index pairs of points within ``bits``; each pair has a point at home.
+
+    A node is split as long as that saves a fifth of the comparisons at least.
+    """
+    todo = [(np.arange(len(points)), home)]
     while todo:
-        at, own = todo.pop(), owns.pop()
-        if not own.any():
+        at, own = todo.pop()
+        mine = np.flatnonzero(own)
+        if not len(mine):
             continue
         these = points[at]
         split = choose_split(these, bits) if len(at) > BLOCK else None
         if split:
             parts = parts_of(these, own, *split, bits)
-            if sum(len(o) for _, o in parts) < 1.9 * len(at):
-                for picked, mine in parts:
-                    todo.append(at[picked])
-                    owns.append(mine)
+            if sum(len(o) * o.sum() for _, o in parts) < 0.8 * len(at) * len(mine):
+                todo += [(at[picked], own) for picked, own in parts]
                 continue
-        mine = np.flatnonzero(own)
-        for k in range(0, len(mine), BLOCK):
-            left = mine[k : k + BLOCK]
-            for j in range(0, len(at), 1 << 14):
-                right = np.arange(j, min(len(at), j + (1 << 14)))
-                near = np.bitwise_count(these[left][:, None] ^ these[right][None, :]) <= bits
+        for k in range(0, len(mine), TILE[0]):
+            left = mine[k : k + TILE[0]]
+            for j in range(0, len(at), TILE[1]):
+                right = these[j : j + TILE[1]]
+                near = np.bitwise_count(these[left][:, None] ^ right[None, :]) <= bits
                 a, b = np.nonzero(near)
-                a, b = at[left[a]], at[right[b]]
+                a, b = at[left[a]], at[j + b]
                 yield a[a != b], b[a != b]
 
 
 def forest(count: int, pairs) -> np.ndarray:
     """For each of ``count`` items the smallest item of its component."""
-    root = np.arange(count)
-    for a, b in pairs:
+    root, some, size = np.arange(count), [], 0
+
+    def join() -> None:
+        nonlocal root
+        a, b = (np.concatenate(x) for x in zip(*some))
         while len(a):
             ra, rb = root[a], root[b]
             differ = ra != rb
             a, b, ra, rb = a[differ], b[differ], ra[differ], rb[differ]
             np.minimum.at(root, np.maximum(ra, rb), np.minimum(ra, rb))
-            while True:
-                up = root[root]
-                if (up == root).all():
-                    break
+            while (up := root[root]).tobytes() != root.tobytes():
                 root = up
+
+    for pair in pairs:
+        if len(pair[0]):
+            some.append(pair)
+            size += len(pair[0])
+        if size > PAIRS_AT_ONCE:
+            join()
+            some, size = [], 0
+    if some:
+        join()
     return root
 
 
