@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from salesmart.llm import linededup, mixing, packing, simhash
 from salesmart.llm.common import stored, table
-from salesmart.llm.queries import tokenizer_path
+from salesmart.llm.queries import tokenizer_files
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -30,7 +30,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, tokenizer_path())
+    return packing.pack(docs, *tokenizer_files())
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]

@@ -40,6 +40,17 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def per_process(name: str, make):
+    """What ``make`` returns, kept by the Python process for its next tasks.
+
+    Functions travel by value, so that globals of this folder are new in each task.
+    """
+    kept = sys.__dict__.setdefault("_salesmart_kept", {})
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -40,13 +40,22 @@ _SEQUENCES = 1 << 32
 
 
 def pieces(
-    docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID, ids: bool = False
+    docs: DataFrame,
+    tokenizer: str,
+    ranks: str | None = None,
+    window: int = WINDOW,
+    end_id: int = END_ID,
+    ids: bool = False,
 ) -> DataFrame:
-    """Full windows and the remainder of each document; ``ids`` adds the piece's ids."""
+    """Full windows and the remainder of each document; ``ids`` adds the piece's ids.
+
+    ``tokenizer`` and ``ranks`` are files, as ``tokens.Encoder`` takes them, at the
+    same path on every machine.
+    """
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = Encoder(tokenizer)
+        encoder = Encoder(tokenizer, ranks)
         end = np.array([end_id], "<u4").tobytes()
         for batch in found:
             out: list[tuple] = []
@@ -123,10 +132,15 @@ def best_fit(lengths: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.
 
 
 def pack(
-    docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID, ids: bool = False
+    docs: DataFrame,
+    tokenizer: str,
+    ranks: str | None = None,
+    window: int = WINDOW,
+    end_id: int = END_ID,
+    ids: bool = False,
 ) -> DataFrame:
     """Every piece with its sequence_id and its offset there (and its ids, if asked)."""
-    cut = stored(pieces(docs, tokenizer, window, end_id, ids), "pieces")
+    cut = stored(pieces(docs, tokenizer, ranks, window, end_id, ids), "pieces")
     groups = max(1, -(-cut.count() // GROUP_PIECES))
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -13,10 +13,11 @@ from salesmart.llm.common import table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+def tokenizer_files(name: str = "byte_bpe_50k") -> tuple[str, str]:
+    """One vocabulary for both tokenizer libraries."""
     import public_tokenizers
 
-    return str(public_tokenizers.path(name))
+    return tuple(str(public_tokenizers.path(f"{name}.{kind}")) for kind in ("json", "tiktoken"))
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,7 +26,7 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+    return packing.pack(table(spark, sf_dir, "documents"), *tokenizer_files())
 
 
 def op7_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
