@@ -5,18 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from salesmart.llm import linededup, mixing, packing, simhash
+from salesmart.llm import linededup, mixing, packing, quality, simhash
 from salesmart.llm.common import stored, table
 from salesmart.llm.queries import tokenizer_files
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.keep_good(docs).select(*COLUMNS)
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found in an earlier document go; n_chars is counted anew."""
-    from pyspark.sql import functions as F
-
     found = linededup.drop_lines(docs)
     return found.withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
 
@@ -35,6 +38,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_rules),
     ("line_dedup", line_dedup),
     ("near_duplicates", near_duplicates),
     ("source_mixing", source_mixing),

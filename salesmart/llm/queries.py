@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import linededup, mixing, packing, simhash
+from salesmart.llm import linededup, mixing, packing, pii, quality, simhash, substring
 from salesmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), *tokenizer_files())
 
 
+def op6_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_private(table(spark, sf_dir, "documents"))
+
+
 def op7_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "lang", "source", "copy", "shuffle_key", "text")
@@ -41,10 +45,28 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.remove_repeats(table(spark, sf_dir, "documents"))
+    digest = F.sha2(F.col("text"), 256).alias("kept_sha256")
+    return found.select("doc_id", "n_words", "n_removed", digest)
+
+
+def op10_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents")).drop("k", "th")
+
+
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
-        for f in (op3_simhash, op4_packing, op7_poisson_mixing, op8_line_dedup)
+        for f in (
+            op3_simhash,
+            op4_packing,
+            op6_private_data,
+            op7_poisson_mixing,
+            op8_line_dedup,
+            op9_repeated_passages,
+            op10_robust_outliers,
+        )
     }
 
 
