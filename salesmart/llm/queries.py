@@ -3,12 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import linededup, mixing, packing, pii, quality, simhash, substring
+from salesmart.llm import (
+    ann,
+    htmltext,
+    linededup,
+    mixing,
+    packing,
+    pii,
+    quality,
+    simhash,
+    substring,
+    tokencounts,
+)
 from salesmart.llm.common import table
+from salesmart.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +33,37 @@ def tokenizer_files(name: str = "byte_bpe_50k") -> tuple[str, str]:
     return tuple(str(public_tokenizers.path(f"{name}.{kind}")) for kind in ("json", "tiktoken"))
 
 
+def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op2_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents counted, then cleaned: exact copies deleted, counts of documents
+    with repeated lines revised. The second batch is sent twice."""
+    docs = table(spark, sf_dir, "documents")
+    encoders = {"byte_bpe_50k": tokenizer_files()}
+    rollup = tokencounts.Rollup(spark, f"{shared_folder(spark)}/llm/rollup-{uuid4().hex}")
+    counts = tokencounts.count_tokens(docs, encoders)
+    rollup.apply(1, tokencounts.as_changes(counts, "insert"))
+
+    texts = docs.select("doc_id", F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), "text").alias("b"))
+    first = texts.groupBy("a", "b").agg(F.min("doc_id").alias("first"))
+    copies = texts.join(first, ["a", "b"]).where("doc_id > first")
+    deleted = copies.select(
+        F.col("doc_id").cast("string").alias("doc"),
+        F.explode(F.array(*map(F.lit, [*encoders, tokencounts.WHITE_SPACE]))).alias("version"),
+        *(F.lit(None).cast(t).alias(c) for c, t in (("source", "string"), ("lang", "string"), ("n_tokens", "bigint"))),
+    )
+    lines = F.split("text", "\n", -1)
+    once = docs.withColumn("lines", F.array_distinct(lines)).where(F.size("lines") < F.size(lines))
+    revised = once.withColumn("text", F.array_join("lines", "\n")).drop("lines")
+    changes = tokencounts.as_changes(tokencounts.count_tokens(revised, encoders), "revise")
+    changes = changes.unionByName(tokencounts.as_changes(deleted, "delete"))
+    for _ in range(2):
+        rollup.apply(2, changes)
+    return rollup.totals()
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "fingerprint", "component_id")
@@ -29,6 +73,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), *tokenizer_files())
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_private(table(spark, sf_dir, "documents"))
 
@@ -59,8 +107,11 @@ def queries() -> dict[str, Query]:
     return {
         f.__name__: f
         for f in (
+            op1_nearest,
+            op2_token_rollup,
             op3_simhash,
             op4_packing,
+            op5_main_text,
             op6_private_data,
             op7_poisson_mixing,
             op8_line_dedup,
