@@ -108,4 +108,13 @@ LABELLED_PAGES = (
     each turn holds the other, and a rope walk must be as long as the longest rope it is to make.</p>
     <p data-main=1>Ours was three hundred paces long, under a roof of reeds, and boys walked it backwards all day.</p>
     <p data-main=0>Today</p><p data-main=0>Shipping</p></body>""",
+    # Long rows of links.
+    """<body><div data-main=0><a href="/1">Trains and trams</a> <a href="/2">Ships of the line</a> <a href="/3">Roads
+    and bridges</a> <a href="/4">Canals and locks</a> <a href="/5">Balloons</a> <a href="/6">All the rest</a></div>
+    <p data-main=1>The narrow railway up the valley was built for slate, and passengers were taken only because
+    the law of the land asked for it, in a single carriage with <a href="/w">wooden benches</a> and no lamp.</p>
+    <p data-main=1>It was closed on a Sunday in June, and the <a href="/v">rails</a> were sold before the week was over.</p>
+    <p data-main=0><a href="/7">Older article about the slate works and the men who ran them</a> <a href="/8">Newer
+    article about the flood in the lower valley</a></p>
+    <p data-main=0><a href="/9">Tell us what you think about our pages on railways old and new</a></p></body>""",
 )
