@@ -34,6 +34,9 @@ from salesmart.llm.tokens import Encoder
 
 WHITE_SPACE = "white_space"
 CHANGE = "doc string, version string, op string, seq bigint, source string, lang string, n_tokens bigint"
+# Batches up to this size are broadcast to find their documents in the ledger;
+# for larger ones both sides are shuffled.
+BROADCAST_ROWS = 100_000
 _GROUP = ("source", "lang", "version")
 
 
@@ -118,6 +121,8 @@ class Rollup:
         )
         before = self._committed("ledger", "doc string, version string, alive boolean, " + _VALUES)
         named = fresh.select("doc", "version")
+        few = fresh.count() <= BROADCAST_ROWS
+        named = F.broadcast(named) if few else named.hint("merge")
         before = before.where(F.col("batch") < batch).join(named, ["doc", "version"], "left_semi")
         row = F.struct("alive", "source", "lang", "n_tokens")
         before = before.groupBy("doc", "version").agg(F.max_by(row, F.col("batch")).alias("r"))
