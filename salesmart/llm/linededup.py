@@ -97,18 +97,17 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     )
     joined = _rows(docs).join(marks.hint("shuffle_hash"), ["_llm_o", "_llm_th"], "left")
     plain = F.coalesce(F.col("text"), F.lit(""))
+    # The words become an array without gaps, bound to a lambda variable, so that it
+    # is made once per document and not once per line.
     kept = F.expr(
         r"""
-        array_join(transform(filter(
-            transform(split(text, '\n', -1), (x, i) -> struct(x, i)),
-            s -> shiftrightunsigned(_llm_dense[cast(s.i div 64 as int)], cast(s.i % 64 as int)) & 1 = 1
-        ), s -> s.x), '\n')
-        """
-    )
-    dense = F.expr(
-        """
-        transform(sequence(0, cast((n_lines - 1) div 64 as int)),
-                  w -> coalesce(element_at(map_from_entries(_llm_w), w), -1L))
+        element_at(transform(
+            array(transform(sequence(0, cast((n_lines - 1) div 64 as int)),
+                            w -> coalesce(element_at(map_from_entries(_llm_w), w), -1L))),
+            dense -> array_join(transform(filter(
+                transform(split(text, '\n', -1), (x, i) -> struct(x, i)),
+                s -> shiftrightunsigned(dense[cast(s.i div 64 as int)], cast(s.i % 64 as int)) & 1 = 1
+            ), s -> s.x), '\n')), 1)
         """
     )
     gone = F.expr("aggregate(_llm_w, 0L, (n, w) -> n + bit_count(~w.bits))")
@@ -116,9 +115,8 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     return (
         joined.withColumn("n_lines", lines.cast("bigint"))
         .withColumn("n_dropped", F.coalesce(gone, F.lit(0)).cast("bigint"))
-        .withColumn("_llm_dense", F.when(F.col("_llm_w").isNotNull(), dense))
         .withColumn("text", F.when(F.col("_llm_w").isNull(), plain).otherwise(kept))
-        .drop("_llm_o", "_llm_th", "_llm_w", "_llm_dense")
+        .drop("_llm_o", "_llm_th", "_llm_w")
     )
 
 

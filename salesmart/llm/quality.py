@@ -40,7 +40,7 @@ PUNCTUATION = b".,;:!?"
 SHARE = 0.6
 STEPS = 3
 # Part of normal vectors that the cutoff keeps.
-NORMAL_KEPT = 0.9999
+NORMAL_KEPT = 0.99999
 MIN_GROUP = 50
 # Words at which a text's distance counts half: short texts vary more.
 HALF_WORDS = 40
