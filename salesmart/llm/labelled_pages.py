@@ -117,4 +117,23 @@ LABELLED_PAGES = (
     <p data-main=0><a href="/7">Older article about the slate works and the men who ran them</a> <a href="/8">Newer
     article about the flood in the lower valley</a></p>
     <p data-main=0><a href="/9">Tell us what you think about our pages on railways old and new</a></p></body>""",
+    # Text and next to nothing else.
+    """<p data-main=1>The letter came on a Monday, and nobody in the house dared to open it.</p>
+    <p data-main=1>It lay on the table until the evening, when my aunt put on her glasses.</p>""",
+    """<p data-main=1>All the lamps were lit at six, as they are on every winter evening in this town.</p>""",
+    """<body><p data-main=1>There were nine of us in the boat and only four could row at all.</p>
+    <p data-main=1>We drew lots for the oars.</p><div data-main=0><a href="/i">Index of tales</a></div></body>""",
+    # Short blocks in marked articles: how short a block is says nothing there.
+    """<body><nav data-main=0><a href="/">Home</a></nav><div class="ad" data-main=0>Now or never.</div>
+    <article data-main=1><h1>Dialogue</h1><p>Well?</p><p>Well what?</p><p>Did you see it?</p><p>I did.</p><p>And?</p>
+    <p>It was red.</p><p>Red.</p><p>As red as a brick, and about as large, and it lay there in the grass.</p><p>No.</p>
+    <p>Yes it was, and it was still there when I came back an hour later with the ladder and the lamp.</p><p>Hm</p>
+    <p>You never believe me</p><p>Not often</p><p><a href="/b">Brick</a></p><p>So</p><p>Good night.</p></article>
+    <footer data-main=0>© The Dialogue Page</footer></body>""",
+    """<body><header data-main=0><a href="/">Lists</a></header><main data-main=1><h1>What we packed</h1><ul><li>Rope</li>
+    <li>Salt</li><li>Two knives</li><li>A map</li><li>Matches in a tin</li><li>Socks</li></ul><h2>Not packed</h2><ul>
+    <li><a href="/t">Tent</a></li><li>Soap</li></ul><p>None of it was missed.</p><table><tr><td>1</td><td>kg</td></tr>
+    <tr><td>20</td><td>litres</td></tr></table></main><aside data-main=0><p>Rope is sold by the yard in our shop.</p></aside></body>""",
+    """<body><div id="entry" data-main=1><h2>Ja</h2><p>Nein.</p><p>Doch.</p><p>Ach so</p></div>
+    <div class="comments" data-main=0><p>Schön.</p><p>Sehr schön geschrieben, danke dafür.</p></div></body>""",
 )

@@ -275,7 +275,10 @@ def estimates(vectors: DataFrame) -> DataFrame:
 
 
 def judge(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
-    """Base counts, base_failed, distance and kept of every row, with its key."""
+    """Base counts, base_failed, kept and distance of every row, with its key.
+
+    The distance is NULL for rows that fail the base rules or whose pool is too small.
+    """
     rows = stored(with_statistics(docs), "statistics")
     passed = rows.where("not base_failed")
     groups = stored(_groups(passed), "groups").withColumnsRenamed({"lang": "_l", "source": "_s"})
@@ -285,7 +288,8 @@ def judge(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     grouped = rows.join(groups, same, "left").drop("_l", "_s")
     found = grouped.join(estimates(vectors), "g", "left")
     shrink = F.col("n_words") / (F.col("n_words") + HALF_WORDS)
-    distance = F.coalesce(_distance() / F.col("scale") * shrink, F.lit(0.0))
+    distance = F.when(~F.col("base_failed"), _distance() / F.col("scale") * shrink)
+    near = F.coalesce(F.col("distance") <= cutoff, F.lit(True))
     return found.withColumn("distance", distance).select(
         "doc_id",
         "k",
@@ -296,7 +300,7 @@ def judge(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
         "n_dup_lines",
         "n_repeat_words",
         "base_failed",
-        (~F.col("base_failed") & (F.col("distance") <= cutoff)).alias("kept"),
+        (~F.col("base_failed") & near).alias("kept"),
         "distance",
     )
 

@@ -1,0 +1,61 @@
+"""The pipeline against its stages done by brute force, one after another."""
+
+from collections import Counter
+
+import pytest
+
+import corpus_pipeline
+from salesmart.llm import mixing, quality
+
+from . import brute
+from .conftest import EDGE
+from .test_texts import check_sequences
+
+
+def by_brute_force(rows, tokenizer):
+    """rows: (doc_id, text, lang, source) -> Counter of pieces (doc_id, start, length, tokens)."""
+    from salesmart.llm.tokens import Encoder
+
+    judged = brute.quality(
+        rows, list(quality.FLOORS.values()), quality.SHARE, quality.STEPS, quality.CUTOFF,
+        quality.MIN_GROUP, quality.HALF_WORDS, quality.chi_square_quantile(quality.SHARE),
+    )
+    rows = [r for r, (_, kept, _) in zip(rows, judged) if kept]
+    lines = brute.drop_lines([r[:2] for r in rows])
+    rows = [(r[0], x[3], *r[2:]) for r, x in zip(rows, lines)]
+    roots = brute.components([brute.fingerprint(r[1]) for r in rows])
+    first = {}
+    for r, root in zip(rows, roots):
+        if root not in first or r[0] < first[root][0]:
+            first[root] = r
+    rows = list(first.values())
+    copies = brute.copies([(r[0], r[1], r[3]) for r in rows], mixing.SEED)
+    encoder, out = Encoder(tokenizer[0]), Counter()
+    for (doc, text, _), n in copies.items():
+        total = len(encoder.encode(text)) // 4 + 1
+        for start in range(0, total, 2048):
+            out[doc, start, min(2048, total - start), total] += n
+    return out
+
+
+def test_pipeline_equals_brute_force(spark, testdata, tokenizer):
+    rows = spark.read.parquet(f"{testdata}/documents.parquet").collect()
+    found = corpus_pipeline.run(spark, testdata).collect()
+    expected = by_brute_force([(r.doc_id, r.text, r.lang, r.source) for r in rows], tokenizer)
+    assert Counter((p.doc_id, p.start, p.length, p.doc_tokens) for p in found) == expected
+    check_sequences(found)
+
+
+@pytest.mark.parametrize("rows", [EDGE, []], ids=["edge", "empty"])
+def test_stages_stand_odd_rows(spark, docs, rows):
+    frame = docs(rows)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        frame = stage(spark, frame, "")
+        assert tuple(frame.columns) == corpus_pipeline.COLUMNS
+        frame = spark.createDataFrame(frame.collect(), frame.schema)
+    assert corpus_pipeline.STAGES[-1][1](spark, frame, "").count() >= 0
+
+
+def test_stages_are_in_order():
+    names = [n for n, _ in corpus_pipeline.STAGES]
+    assert names == ["quality_rules", "line_dedup", "near_duplicates", "source_mixing", "packing"]
