@@ -79,56 +79,105 @@ def test_line_break_inside_quotes_is_one_row(spark, folder):
     assert texts == {'two\nlines, "quoted"', "a bowl", 'says "hi"'}
 
 
-@pytest.mark.parametrize("block", ["64", "700", "100000"])
-def test_large_files_are_stitched_like_whole_ones(spark, folder, block):
-    breaks = [
-        "plain",
-        "two\nlines",
-        'a "quoted\n\nword"',
-        '"\n"',
-        'many\n' * 30,
-        'no break but "quotes"',
-        '\n,\n"",",\n',
-    ]
+BREAKS = [
+    "plain",
+    "two\nlines",
+    'a "quoted\n\nword"',
+    '"\n"',
+    "many\n" * 30,
+    'no break but "quotes"',
+    '\n,\n"",",\n',
+]
+
+
+def at_block_sizes(spark, read, blocks=("64", "700", "100000")):
+    """What ``read`` returns for each size of the blocks that files are split into."""
+    found = []
+    for block in blocks:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        try:
+            found.append(read())
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+    return found
+
+
+def test_records_over_lines_and_blocks(spark, folder):
     for name in ("a", "b"):
         write(
             folder / f"{name}.csv",
-            *({"id": i, "product_description": t} for i, t in enumerate(breaks * 3)),
+            *({"id": i, "product_description": t} for i, t in enumerate(BREAKS * 3)),
             extra_lines=["\n", "7,too,short\n", "\n"],
         )
-    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
-    spark.conf.set("spark.sql.files.openCostInBytes", "1")
-    try:
-        files = csv_files(spark, str(folder))
-        whole = read_sales_csv(spark, files)
-        stitched = read_sales_csv(spark, files, whole_file_bytes=0)
-        assert whole.columns == stitched.columns
-        assert [f.dataType for f in whole.schema] == [f.dataType for f in stitched.schema]
-        got = rows(stitched)
-        assert len(got) == 2 * (3 * len(breaks) + 1)
-        assert got == rows(whole)
-        assert {r[FLAT_COLUMNS.index("product_description")] for r in got} == {*breaks, None}
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-        spark.conf.unset("spark.sql.files.openCostInBytes")
-
-
-def test_missing_quote_does_not_swallow_the_file(spark, folder):
-    write(
-        folder / "a.csv",
-        {"id": 1},
-        {"id": 2, "product_description": "two\nlines"},
-        extra_lines=['3,"never closed\n'],
-    )
+    files = csv_files(spark, str(folder))
+    for got in at_block_sizes(spark, lambda: rows(read_sales_csv(spark, files))):
+        assert len(got) == 2 * (3 * len(BREAKS) + 1)
+        assert {r[FLAT_COLUMNS.index("product_description")] for r in got} == {*BREAKS, None}
+
+
+def line(**change):
+    (row,) = flat_rows(change)
+    return ",".join("" if v is None else str(v) for v in row.values()) + "\n"
+
+
+FAULTS = {
+    "inch mark": ([line(id=50, product_description='5" bowl')], {50}, 0),
+    "two inch marks": ([line(id=50, product_description='5" to 7" bowl')], {50}, 0),
+    "two lines with one": (
+        [line(id=50, product_description='5" bowl'), line(id=51, store_name='6" shop')],
+        {50, 51},
+        0,
+    ),
+    "open quote": ([line(id=50, product_description='"never closed')], set(), 1),
+    "open quote in a short line": (['3,"never closed\n'], set(), 1),
+    "quote after a closed one": ([line(id=50, product_description='"closed" or "not"')], None, None),
+    "quote at a line's end": ([line(id=50)[:-1] + '"\n'], {50}, 0),
+    "only a quote": (['"\n'], set(), 1),
+}
+
+
+@pytest.mark.parametrize("with_breaks", [False, True])
+@pytest.mark.parametrize("fault", FAULTS)
+def test_a_bad_quote_costs_its_own_line(spark, folder, fault, with_breaks):
+    lines, loaded, rejected = FAULTS[fault]
+    before = [{"id": 1}, {"id": 2, "product_description": "two\nlines" if with_breaks else "one"}]
+    after = [{"id": i} for i in range(10, 40)]
+    after += [{"id": 40, "product_description": 'three\nmore "lines"\n' if with_breaks else "x"}]
+    write(folder / "a.csv", *before, extra_lines=lines)
     with open(folder / "a.csv", "a", newline="") as f:
         out = csv.writer(f)
-        for row in flat_rows(*({"id": i} for i in range(10, 40))):
+        for row in flat_rows(*after):
             out.writerow(["" if v is None else v for v in row.values()])
     files = csv_files(spark, str(folder))
-    records = stitched_records(spark, files, max_chars=1000)
-    texts = {r.value.split(",")[0] for r in records.collect()}
-    assert texts == {"1", "2", "3", *map(str, range(10, 40))}
-    assert records.count() == 33
+    results = at_block_sizes(spark, lambda: read_sales_csv(spark, files).collect())
+    assert len({tuple(sorted(map(repr, r))) for r in results}) == 1
+    good = {r.id for r in results[0] if r[-2] is None}
+    bad = [r for r in results[0] if r[-2] is not None]
+    others = {1, 2, *range(10, 41)}
+    assert good - {50, 51} == others
+    if loaded is not None:
+        assert good - others == loaded and len(bad) == rejected
+    assert len(results[0]) == len(others) + len(lines)
+    text = {r.id: r.product_description for r in results[0]}
+    assert not with_breaks or (text[2], text[40]) == ("two\nlines", 'three\nmore "lines"\n')
+
+
+def test_a_record_without_an_end_is_taken_by_lines(spark, folder):
+    write(folder / "a.csv", {"id": 1}, extra_lines=['3,"open\n', *["no column at all\n"] * 200])
+    files = csv_files(spark, str(folder))
+    found = at_block_sizes(spark, lambda: stitched_records(spark, files, max_chars=1000).count())
+    assert found == [202] * 3
+    assert at_block_sizes(spark, lambda: read_sales_csv(spark, files).count()) == found
+
+
+def test_names_that_look_like_globs(spark, folder):
+    write(folder / "sales[1].csv", {"id": 1})
+    write(folder / "sales1.csv", {"id": 2, "product_description": "two\nlines"})
+    write(folder / "s{a,b}*.csv", {"id": 3, "product_description": "two\nlines"})
+    assert load(spark, folder) == LoadAudit(3, 3, 3, 0)
+    assert sorted(r.id for r in staged(spark, folder).collect()) == [1, 2, 3]
 
 
 def test_bad_rows_are_set_aside_with_reasons(spark, folder):
