@@ -21,7 +21,7 @@ flat AS (
     'Pet-' || cast(c.c_custkey % 50 AS varchar) AS customer_pet_name,
     CASE WHEN c.c_custkey % 13 = 0 THEN NULL
          ELSE 'Breed-' || cast(c.c_custkey % 7 AS varchar) END AS customer_pet_breed,
-    'Desk' AS seller_first_name,
+    CASE WHEN o.o_orderkey IS NOT NULL THEN 'Desk' END AS seller_first_name,
     o.o_orderpriority AS seller_last_name,
     lower(o.o_orderpriority) || '.' || lower(r.r_name) || '@example.com' AS seller_email,
     CASE WHEN o.o_orderpriority = '4-NOT SPECIFIED' THEN NULL ELSE r.r_name END AS seller_country,
@@ -65,13 +65,13 @@ flat AS (
     'City-' || cast(su.s_suppkey % 10 AS varchar) AS supplier_city,
     sn.n_name AS supplier_country
   FROM lineitem l
-  JOIN orders o ON l.l_orderkey = o.o_orderkey
-  JOIN customer c ON o.o_custkey = c.c_custkey
-  JOIN nation cn ON c.c_nationkey = cn.n_nationkey
-  JOIN region r ON cn.n_regionkey = r.r_regionkey
-  JOIN part p ON l.l_partkey = p.p_partkey
-  JOIN supplier su ON l.l_suppkey = su.s_suppkey
-  JOIN nation sn ON su.s_nationkey = sn.n_nationkey
+  LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
+  LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+  LEFT JOIN nation cn ON c.c_nationkey = cn.n_nationkey
+  LEFT JOIN region r ON cn.n_regionkey = r.r_regionkey
+  LEFT JOIN part p ON l.l_partkey = p.p_partkey
+  LEFT JOIN supplier su ON l.l_suppkey = su.s_suppkey
+  LEFT JOIN nation sn ON su.s_nationkey = sn.n_nationkey
 )"""
 
 
@@ -479,11 +479,12 @@ def _quality() -> dict[str, str]:
         "sales_by_store": ("total_revenue", "store_id IS NULL OR date_id IS NULL"),
         "sales_by_supplier": ("total_revenue", "supplier_id IS NULL"),
     }
-    whole = "(SELECT coalesce(sum(sale_total_price), 0) FROM flat)"
+    price = "cast(l_extendedprice AS decimal(14,2))"
+    whole = f"(SELECT coalesce(sum({price}), 0) FROM lineitem)"
     layers = [
         "SELECT 'source' AS layer, count(*) AS row_count, "
-        f"{money('coalesce(sum(sale_total_price), 0)')} AS revenue, {money('0')} "
-        "AS excluded_revenue FROM flat",
+        f"{money(f'coalesce(sum({price}), 0)')} AS revenue, {money('0')} "
+        "AS excluded_revenue FROM lineitem",
         "SELECT 'fact_sales', count(*), "
         f"{money('coalesce(sum(sale_total_price), 0)')}, {money('0')} FROM sales",
     ]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 
-from salesmart.session import build_session
+from salesmart.session import build_session, scan_bytes, size_shuffles
 from salesmart.sinks.tables import load_csv
 
 
@@ -14,6 +14,7 @@ def main() -> None:
     parser.add_argument("staging", help="folder of the staging table")
     args = parser.parse_args()
     spark = build_session("load sales")
+    size_shuffles(spark, scan_bytes(spark.read.text(args.source)))
     audit = load_csv(spark, args.source, args.staging)
     print(
         f"{audit.files} files, {audit.rows_read} rows: "

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from salesmart.plans.marts import MARTS
-from salesmart.session import build_session
+from salesmart.session import build_session, scan_bytes, size_shuffles
 from salesmart.sinks.jdbc import postgres_table, write_clickhouse
 from salesmart.sinks.tables import write_mart
 from salesmart.sources.jdbc import clickhouse, postgres, read_table
@@ -47,6 +47,8 @@ def main() -> None:
     target.add_argument("--clickhouse", action="store_true", help="write to ClickHouse")
     args = parser.parse_args()
     spark = build_session("build marts")
+    if args.tables:
+        size_shuffles(spark, scan_bytes(spark.read.parquet(f"{args.tables}/fact_sales")))
     read = file_reader(spark, args.tables) if args.tables else postgres_reader(spark)
     if args.clickhouse:
         store_clickhouse(read)

@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 from salesmart.plans.warehouse import Warehouse
 from salesmart.schema import DIMENSIONS, WAREHOUSE_TABLES
-from salesmart.session import build_session, scan_bytes, shared_folder
+from salesmart.session import build_session, remove_folder, scan_bytes, shared_folder
 from salesmart.sinks.jdbc import write_postgres
 from salesmart.sinks.tables import read_staging, staged_sales, write_dimension, write_fact
 from salesmart.sources.base import SalesSource, from_flat
@@ -49,13 +49,16 @@ def main() -> None:
         sales = staged_source(spark, args.staging)
     else:
         sales = from_flat(read_table(spark, postgres(), args.table, column="id"))
-    shared = shared_folder(spark)
-    work = shared and f"{shared}/normalise-{spark.sparkContext.applicationId}"
+    # Intermediate tables are stored wherever the job runs, and removed when it is done.
+    shared = shared_folder(spark) or args.target
+    work = shared and f"{shared.rstrip('/')}/_work-{spark.sparkContext.applicationId}"
     warehouse = Warehouse(spark, sales, work)
     if args.postgres:
         store_postgres(warehouse)
     else:
         store_files(warehouse, args.target)
+    if work:
+        remove_folder(spark, work)
     spark.stop()
 
 

@@ -27,9 +27,13 @@ def first_per_key(frame: DataFrame, keys: Sequence[str], order: Sequence[str]) -
     """The row with the smallest ``order`` values of each key.
 
     An aggregate, not a window: each task keeps one row per key before the
-    shuffle, so a hot key costs one row per task. ``order`` should identify a
+    shuffle, so a hot key costs one row per task. Where only the order column is
+    kept the aggregate hashes; with more columns it sorts. ``order`` should identify a
     row within its key, then the result does not depend on the run.
     """
+    if len(order) == 1 and set(frame.columns) == {*keys, *order}:
+        least = F.min(order[0]).alias(order[0])
+        return frame.groupBy(*keys).agg(least).select(*frame.columns)
     rest = [c for c in frame.columns if c not in keys and c not in order]
     row = F.min(F.struct(*order, *rest)).alias("row")
     return frame.groupBy(*keys).agg(row).select(*keys, "row.*").select(*frame.columns)

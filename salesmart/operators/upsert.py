@@ -2,23 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
-def unseen_members(
-    members: DataFrame, stored: DataFrame, keys: Sequence[str] = ("id",)
-) -> DataFrame:
+def unseen_members(members: DataFrame, stored: DataFrame) -> DataFrame:
     """Members the stored dimension does not have yet; append them to it.
 
-    Both sides hold each key once, so no key is hot.
+    All columns are compared, NULLs as equal: a member whose key is held by
+    another one is added, and the check of duplicate keys finds both. Both sides
+    hold each member once, so no key is hot.
     """
-    return members.join(stored.select(*keys), list(keys), "left_anti").select(*members.columns)
+    known = stored.select(*(F.col(c).alias(f"{c}_stored") for c in members.columns))
+    same = [F.col(c).eqNullSafe(F.col(f"{c}_stored")) for c in members.columns]
+    return members.join(known, reduce(lambda a, b: a & b, same), "left_anti")
 
 
-def upsert_dimension(
-    stored: DataFrame, members: DataFrame, keys: Sequence[str] = ("id",)
-) -> DataFrame:
+def upsert_dimension(stored: DataFrame, members: DataFrame) -> DataFrame:
     """Stored members plus the unseen ones. Running it twice changes nothing."""
-    return stored.unionByName(unseen_members(members, stored, keys))
+    return stored.unionByName(unseen_members(members, stored))

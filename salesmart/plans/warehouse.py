@@ -20,9 +20,9 @@ from salesmart.sources.base import SalesSource
 
 CONCURRENT_WRITES = 8
 
-# The flat rows are the input itself; the fact only renames and blanks columns
+# The raw and flat rows are the input itself; the fact only renames and blanks columns
 # of the keyed rows.
-NEVER_WRITTEN = ("flat", "fact_sales")
+NEVER_WRITTEN = ("raw", "flat", "fact_sales")
 
 
 class Warehouse:
@@ -46,6 +46,8 @@ class Warehouse:
         size_shuffles(spark, source.input_bytes)
 
     def plan(self, name: str) -> DataFrame:
+        if name == "raw":
+            return self.source.raw
         if name == "flat":
             return self.source.flat
         if name == "keyed":

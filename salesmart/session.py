@@ -50,6 +50,12 @@ BYTES_PER_PARTITION = 2 * 1024**3
 _INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that this application made, wherever it is stored."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scan_bytes(*frames: DataFrame) -> int:
     """Size of the files behind plain file scans, as the optimizer sees it."""
     return sum(

@@ -12,14 +12,9 @@ from salesmart.operators.facts import fact_sales
 from salesmart.operators.upsert import unseen_members
 from salesmart.plans.quality import bad_row_reasons
 from salesmart.schema import FLAT_COLUMNS, MART_SCHEMAS, MART_SORT_KEYS
-from salesmart.session import scan_bytes
 from salesmart.sources.csv import CORRUPT, csv_files, plain_path, read_sales_csv
 
 
-# Size of the keyed rows up to which the fact is shuffled by year before it is written.
-REBALANCE_BELOW = 1024**4
-
-
 @dataclass(frozen=True)
 class LoadAudit:
     files: int
@@ -100,13 +95,11 @@ def write_mart(mart: DataFrame, name: str, path: str) -> None:
 def write_fact(keyed: DataFrame, path: str) -> None:
     """Replace the stored fact, partitioned by sale year.
 
-    A small fact is rebalanced: AQE gives a big year several tasks and small
-    years few files. A large one is written where it stands; its files are big
-    enough without another shuffle.
+    It is rebalanced first: AQE gives a big year several tasks and small years
+    few files, instead of a file per task and year.
     """
     fact = fact_sales(keyed.withColumn("sale_year", F.year("sale_date")), extra=("sale_year",))
-    if scan_bytes(keyed) < REBALANCE_BELOW:
-        fact = fact.hint("rebalance", "sale_year")
+    fact = fact.hint("rebalance", "sale_year")
     fact.write.mode("overwrite").partitionBy("sale_year").parquet(path)
 
 

@@ -38,12 +38,14 @@ KEYED_COLUMNS = (
 class SalesSource:
     """One sales input.
 
-    ``flat``       the raw 50-column rows, one per sale
+    ``raw``        price of every sale as it comes in (``sale_total_price``), before any join
+    ``flat``       the 50-column rows, one per sale
     ``keyed``      one narrow row per sale: member keys, dates, measures
     ``members``    entity, keyed rows -> distinct members that occur in a sale
     ``input_bytes`` size of the files behind it, 0 if unknown
     """
 
+    raw: DataFrame
     flat: DataFrame
     keyed: DataFrame
     members: Callable[[Entity, DataFrame], DataFrame]
@@ -67,6 +69,11 @@ def member_key(entity: Entity):
     return surrogate_key(*(F.col(a) for a in entity.attributes)).alias(entity.key)
 
 
+def missing_key(entity: Entity, types: dict[str, str]):
+    """Key of the member all of whose attributes are NULL, of a sale whose owner is unknown."""
+    return surrogate_key(*(F.lit(None).cast(types[a]) for a in entity.attributes))
+
+
 def date_key_columns() -> list:
     return [F.col("sale_date"), lookup_key(F.col("sale_date")).alias("date_id")]
 
@@ -82,4 +89,4 @@ def from_flat(flat: DataFrame, input_bytes: int = 0) -> SalesSource:
         members = clean.select(*attribute_columns(entity)).distinct()
         return members.select(member_key(entity), "*")
 
-    return SalesSource(flat, keyed, members, input_bytes)
+    return SalesSource(flat.select("sale_total_price"), flat, keyed, members, input_bytes)

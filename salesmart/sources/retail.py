@@ -3,6 +3,8 @@
 Maps lineitem, orders, customer, part, supplier, nation and region to the 50
 flat columns. Attributes are shaped on the table that owns them, before the
 joins, so customer columns are computed once per customer and not per sale.
+All joins keep every sale: one whose order, part or supplier is missing or NULL
+has NULL attributes and refers to nothing.
 The keyed rows go one step further: the member keys are computed there too,
 and only the 8-byte keys travel through the sale-sized joins.
 """
@@ -21,6 +23,7 @@ from salesmart.sources.base import (
     date_key_columns,
     key_columns,
     member_key,
+    missing_key,
 )
 from salesmart.session import scan_bytes, sized_side
 
@@ -116,7 +119,7 @@ def retail_source(spark: SparkSession, path: str) -> SalesSource:
     nation = read("nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read("region").select("r_regionkey", "r_name")
     nation_region = nation.join(
-        side(region, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+        side(region, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left"
     )
 
     # One frame per owning table: its join keys and its flat columns.
@@ -125,13 +128,14 @@ def retail_source(spark: SparkSession, path: str) -> SalesSource:
         .join(
             side(nation_region, "nation", "region"),
             F.col("c_nationkey") == F.col("n_nationkey"),
+            "left",
         )
         .select("c_custkey", "r_name", *_shape(CUSTOMER_COLUMNS))
     )
     parts = read("part").select("p_partkey", *_shape(PART_COLUMNS))
     suppliers = (
         read("supplier")
-        .join(side(nation, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(side(nation, "nation"), F.col("s_nationkey") == F.col("n_nationkey"), "left")
         .select("s_suppkey", *_shape(SUPPLIER_COLUMNS))
     )
     orders = read("orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
@@ -143,6 +147,7 @@ def retail_source(spark: SparkSession, path: str) -> SalesSource:
         joined = orders.join(
             side(customer_columns, "customer", width=width),
             F.col("o_custkey") == F.col("c_custkey"),
+            "left",
         )
         kept = [c for c in customer_columns.columns if c not in ("c_custkey", "r_name")]
         return joined.select("o_orderkey", *kept, *_shape(ORDER_COLUMNS))
@@ -152,14 +157,17 @@ def retail_source(spark: SparkSession, path: str) -> SalesSource:
             lines.join(
                 side(orders_side, "orders", "customer", width=width),
                 F.col("l_orderkey") == F.col("o_orderkey"),
+                "left",
             )
             .join(
                 side(parts_side, "part", width=width),
                 F.col("l_partkey") == F.col("p_partkey"),
+                "left",
             )
             .join(
                 side(suppliers_side, "supplier", width=width),
                 F.col("l_suppkey") == F.col("s_suppkey"),
+                "left",
             )
         )
 
@@ -177,12 +185,6 @@ def retail_source(spark: SparkSession, path: str) -> SalesSource:
     )
     part_keys = keyed_by(clean_sales(parts), ["p_partkey", "product_price"], "product")
     supplier_keys = keyed_by(suppliers, ["s_suppkey"], "supplier")
-    keyed = (
-        sales(order_keys, part_keys, supplier_keys, NARROW)
-        .withColumnsRenamed({"id": "source_id", "sale_total_price": "total_price"})
-        .select(*KEYED_COLUMNS)
-    )
-
     sellers = orders_with(customers.select("c_custkey", "r_name"), NARROW)
     owners = {
         "customer": customers,
@@ -192,16 +194,35 @@ def retail_source(spark: SparkSession, path: str) -> SalesSource:
         "supplier": suppliers,
     }
 
+    # What a sale of an unknown owner refers to: the member without any attribute.
+    unknown = {}
+    for name, owner in owners.items():
+        entity = ENTITIES[name]
+        types = dict(owner.select(*attribute_columns(entity)).dtypes)
+        unknown[entity.key] = F.coalesce(F.col(entity.key), missing_key(entity, types))
+        unknown[entity.flag] = F.coalesce(F.col(entity.flag), F.lit(False))
+    keyed = (
+        sales(order_keys, part_keys, supplier_keys, NARROW)
+        .withColumnsRenamed({"id": "source_id", "sale_total_price": "total_price"})
+        .withColumns(unknown)
+        .select(*KEYED_COLUMNS)
+    )
+
     def members(entity: Entity, keyed_rows: DataFrame) -> DataFrame:
         """Members of the owning table that occur in a sale.
 
         The sales side is reduced to its distinct keys first, which collapses a
         hot key inside each task; the join then meets every key once per side.
         """
-        owned = owners[entity.name].select(*attribute_columns(entity)).distinct()
+        owned = owners[entity.name].select(*attribute_columns(entity))
+        nothing = [F.lit(None).cast(t).alias(a) for a, t in owned.dtypes]
+        owned = owned.unionByName(spark.range(1).select(*nothing)).distinct()
         owned = owned.select(member_key(entity), "*")
         sold = keyed_rows.select(entity.key).distinct()
         return owned.join(sold, entity.key, "left_semi")
 
-    return SalesSource(flat, keyed, members, scan_bytes(*scans.values()))
+    raw = read("lineitem").select(
+        F.expr(LINE_COLUMNS["sale_total_price"]).alias("sale_total_price")
+    )
+    return SalesSource(raw, flat, keyed, members, scan_bytes(*scans.values()))
 

@@ -49,6 +49,10 @@ def both(request, spark, tmp_path_factory):
     connection.execute(
         f"create table flat_rows as select * from read_parquet('{root}/flat/*.parquet')"
     )
+    # What the reconciliation reads before any join.
+    connection.execute(
+        "create view lineitem as select sale_total_price as l_extendedprice from flat_rows"
+    )
     return warehouse, connection
 
 
