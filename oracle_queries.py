@@ -529,7 +529,10 @@ IMPOSSIBLE = (
     "coalesce(seller_last_name = '5-LOW' AND store_location = 'FURNITURE' "
     "AND sale_date IS NOT NULL, false)"
 )
-MALFORMED = "coalesce(product_rating = 1.5, false)"
+MALFORMED = (
+    "(coalesce(product_rating = 1.5, false) OR coalesce(store_location = 'BUILDING' "
+    "AND product_rating = 4.5 AND id % 2 = 0 AND supplier_city != 'City-3', false))"
+)
 UNPADDED = r"regexp_replace({}, '(^|/)0', '\1', 'g')"
 
 
@@ -537,6 +540,8 @@ def _load() -> dict[str, str]:
     loaded = f"""SELECT * REPLACE (
       CASE WHEN store_location = 'MACHINERY' THEN {UNPADDED.format("sale_date")}
            ELSE sale_date END AS sale_date,
+      CASE WHEN product_size = '7' THEN '5" to 7" ' || product_description
+           ELSE product_description END AS product_description,
       CASE WHEN supplier_city = 'City-3' THEN supplier_contact || chr(10) || '"desk"'
            ELSE supplier_contact END AS supplier_contact)
   FROM flat WHERE NOT ({IMPOSSIBLE}) AND NOT ({MALFORMED})"""

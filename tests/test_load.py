@@ -131,6 +131,11 @@ FAULTS = {
         0,
     ),
     "open quote": ([line(id=50, product_description='"never closed')], set(), 1),
+    "two open quotes": (
+        [line(id=50, product_description='"never'), line(id=51, product_description='"closed')],
+        set(),
+        2,
+    ),
     "open quote in a short line": (['3,"never closed\n'], set(), 1),
     "quote after a closed one": ([line(id=50, product_description='"closed" or "not"')], None, None),
     "quote at a line's end": ([line(id=50)[:-1] + '"\n'], {50}, 0),
@@ -164,6 +169,11 @@ def test_a_bad_quote_costs_its_own_line(spark, folder, fault, with_breaks):
     assert not with_breaks or (text[2], text[40]) == ("two\nlines", 'three\nmore "lines"\n')
 
 
+def test_a_bad_number_in_a_record_over_lines_is_one_row(spark, folder):
+    write(folder / "a.csv", {"product_price": "n/a", "product_description": "two\nlines"}, {"id": 2})
+    assert load(spark, folder) == LoadAudit(1, 2, 1, 1)
+
+
 def test_a_record_without_an_end_is_taken_by_lines(spark, folder):
     write(folder / "a.csv", {"id": 1}, extra_lines=['3,"open\n', *["no column at all\n"] * 200])
     files = csv_files(spark, str(folder))
