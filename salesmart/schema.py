@@ -291,7 +291,7 @@ DIMENSIONS = (
 )
 WAREHOUSE_TABLES = (*DIMENSIONS, "fact_sales")
 
-# Mart -> the order its rows are stored in.
+# Mart -> the order its rows are stored in.
 MART_SORT_KEYS = {
     "sales_by_product": ("category", "product_id"),
     "sales_by_customer": ("country", "customer_id"),
@@ -311,7 +311,7 @@ MART_ROW_KEYS = {
     "product_quality": ("product_id",),
 }
 
-# Mart -> schema of the stored table.
+# Fixed values (names): mart -> schema of the stored table.
 MART_SCHEMAS = {
     "sales_by_product": _struct(
         """

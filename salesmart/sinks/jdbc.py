@@ -6,15 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesmart.schema import MART_SCHEMAS, MART_SORT_KEYS
+from salesmart.schema import FOREIGN_KEYS, MART_SCHEMAS, MART_SORT_KEYS
 from salesmart.sources.jdbc import JdbcStore
 
-# Names that differ between the warehouse and the PostgreSQL schema.
+# Names that differ between the warehouse and the PostgreSQL schema.
 POSTGRES_TABLES = {"dim_product_materials": "dim_product_verbose", "fact_sales": "facts_sales"}
 
 # Text widths of the PostgreSQL columns that are not VARCHAR(64).
 POSTGRES_WIDTHS = {"description": 1024}
 
+POSTGRES_TYPES = {
+    T.LongType: "BIGINT",
+    T.IntegerType: "INTEGER",
+    T.FloatType: "REAL",
+    T.DoubleType: "DOUBLE PRECISION",
+    T.DateType: "DATE",
+}
+
 CLICKHOUSE_TYPES = {
     T.LongType: "Int64",
     T.IntegerType: "Int32",
@@ -37,15 +45,38 @@ def postgres_column_types(schema: T.StructType) -> str:
     )
 
 
-def write_options(store: JdbcStore, table: str, connections: int, batch: int) -> dict[str, str]:
-    """Options of a full refresh that keeps the table, its keys and its grants.
+def postgres_type(field: T.StructField) -> str:
+    if isinstance(field.dataType, T.DecimalType):
+        return f"NUMERIC({field.dataType.precision},{field.dataType.scale})"
+    if isinstance(field.dataType, T.StringType):
+        return f"VARCHAR({POSTGRES_WIDTHS.get(field.name, 64)})"
+    return POSTGRES_TYPES[type(field.dataType)]
+
+
+def postgres_ddl(name: str, schema: T.StructType) -> str:
+    """CREATE TABLE of a dimension or the fact, with its key and its references.
 
-    Spark narrows the frame to ``numPartitions`` connections, so the store is
-    not opened once per task.
+    ``schema`` is that of the frame to be written, so that the columns agree. To
+    be run once, in the order of ``WAREHOUSE_TABLES``: parents come first.
     """
+    key = "source_id" if name == "fact_sales" else "id"
+    references = FOREIGN_KEYS.get(name, {})
+    columns = []
+    for field in schema:
+        text = f"{field.name} {postgres_type(field)}"
+        if field.name == key:
+            text += " PRIMARY KEY"
+        if field.name in references:
+            text += f" REFERENCES {postgres_table(references[field.name])} (id)"
+        columns.append(text)
+    body = ",\n    ".join(columns)
+    return f"CREATE TABLE IF NOT EXISTS {postgres_table(name)} (\n    {body}\n)"
+
+
+def write_options(store: JdbcStore, table: str, connections: int, batch: int) -> dict[str, str]:
+    """Options of a full refresh over ``connections`` connections."""
     return {
         **store.table(table),
-        "truncate": "true",
         "batchsize": str(batch),
         "numPartitions": str(connections),
     }
@@ -54,11 +85,20 @@ def write_options(store: JdbcStore, table: str, connections: int, batch: int) ->
 def write_postgres(
     frame: DataFrame, store: JdbcStore, name: str, connections: int = 16, batch: int = 10_000
 ) -> None:
+    """Replace the rows of a table; the table, its keys and its grants stay.
+
+    PostgreSQL empties a table that others refer to only together with those, so
+    a refresh writes all tables in the order of ``WAREHOUSE_TABLES``: what a
+    parent empties is written after it.
+    """
     options = write_options(store, postgres_table(name), connections, batch)
+    options |= {"truncate": "true", "cascadeTruncate": "true"}
     widths = postgres_column_types(frame.schema)
     if widths:
         options["createTableColumnTypes"] = widths
-    frame.write.format("jdbc").options(**options).mode("overwrite").save()
+    # Only the insert runs on so few tasks, not the stage that computes the rows.
+    dealt = frame.repartition(connections)
+    dealt.write.format("jdbc").options(**options).mode("overwrite").save()
 
 
 def clickhouse_type(field: T.StructField) -> str:
@@ -92,8 +132,12 @@ def without_nulls(frame: DataFrame) -> DataFrame:
 def write_clickhouse(
     frame: DataFrame, store: JdbcStore, mart: str, connections: int = 16, batch: int = 100_000
 ) -> None:
+    """Replace a mart. Spark knows no dialect of ClickHouse, so it can't empty the
+    table: it is dropped and made anew, with Spark's column types and this engine.
+    Between the two steps readers find no table."""
     options = write_options(store, mart, connections, batch)
     options["createTableOptions"] = (
         f"ENGINE = MergeTree() ORDER BY ({', '.join(MART_SORT_KEYS[mart])})"
     )
-    without_nulls(frame).write.format("jdbc").options(**options).mode("overwrite").save()
+    dealt = without_nulls(frame).repartition(connections)
+    dealt.write.format("jdbc").options(**options).mode("overwrite").save()

@@ -12,7 +12,7 @@ from salesmart.operators.facts import fact_sales
 from salesmart.operators.upsert import unseen_members
 from salesmart.plans.quality import bad_row_reasons
 from salesmart.schema import FLAT_COLUMNS, MART_SCHEMAS, MART_SORT_KEYS
-from salesmart.sources.csv import CORRUPT, csv_files, plain_path, read_sales_csv
+from salesmart.sources.csv import CORRUPT, csv_files, read_sales_csv
 
 
 @dataclass(frozen=True)
@@ -33,17 +33,20 @@ def staged_sales(spark: SparkSession, staging: str) -> DataFrame:
     return read_staging(spark, staging).where("status = 'loaded'").select(*FLAT_COLUMNS)
 
 
-def _staged_files(spark: SparkSession, staging: str) -> set[str]:
+def new_files(spark: SparkSession, files: list[str], staging: str) -> list[str]:
+    """Those of the files that are not staged; names staged before stay on the executors."""
     try:
-        staged = read_staging(spark, staging)
+        staged = read_staging(spark, staging).select("source_file").distinct()
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return set()
+            return files
         raise
-    # File names, no more than the driver lists for the load itself.
-    return {
-        plain_path(r.source_file) for r in staged.select("source_file").distinct().collect()
-    }
+    # One spelling per file, as ``plain_path`` gives it; a plus sign is no space here.
+    plain = F.regexp_replace("source_file", "^file:/+", "file:/")
+    plain = F.url_decode(F.replace(plain, F.lit("+"), F.lit("%2B")))
+    listed = spark.createDataFrame([(f,) for f in files], "name string")
+    left = listed.join(staged.select(plain.alias("name")), "name", "left_anti")
+    return sorted(r.name for r in left.collect())
 
 
 def load_csv(spark: SparkSession, path: str, staging: str) -> LoadAudit:
@@ -53,8 +56,8 @@ def load_csv(spark: SparkSession, path: str, staging: str) -> LoadAudit:
     ``status=rejected`` with their reasons and, where malformed, their text.
     A file that is already staged is left alone, so a repeated load adds nothing.
     """
-    known = _staged_files(spark, staging)
-    files = [f for f in csv_files(spark, path) if f not in known]
+    files = csv_files(spark, path)
+    files = files and new_files(spark, files, staging)
     if not files:
         return LoadAudit(0, 0, 0, 0)
     rejected = F.size("reasons") > 0

@@ -222,6 +222,14 @@ def test_second_load_adds_only_new_files(spark, folder):
     assert sorted(r.id for r in staged(spark, folder).collect()) == [1, 2, 3]
 
 
+def test_odd_names_are_known_the_second_time(spark, folder):
+    names = ("a b", "a+b", "50%", "x%20y", "é", "[1]")
+    for i, name in enumerate(names):
+        write(folder / f"{name}.csv", {"id": i})
+    assert load(spark, folder) == LoadAudit(len(names), len(names), len(names), 0)
+    assert load(spark, folder) == LoadAudit(0, 0, 0, 0)
+
+
 def test_loaded_files_reach_the_marts(spark, folder):
     write(folder / "a.csv", {"sale_date": "5/4/2021"}, {"sale_date": "05/04/2021"})
     load(spark, folder)

@@ -5,14 +5,17 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from salesmart.schema import MART_SCHEMAS, MART_SORT_KEYS
+from salesmart.schema import FOREIGN_KEYS, MART_SCHEMAS, MART_SORT_KEYS, WAREHOUSE_TABLES
 from salesmart.sinks import export
 from salesmart.sinks.jdbc import (
     clickhouse_ddl,
     postgres_column_types,
+    postgres_ddl,
     postgres_table,
     without_nulls,
+    write_clickhouse,
     write_options,
+    write_postgres,
 )
 from salesmart.sinks.tables import append_dimension, write_fact, write_mart
 from salesmart.session import BYTES_PER_PARTITION, initial_partitions, sized_side
@@ -76,7 +79,6 @@ def test_postgres_options():
         "driver": "org.postgresql.Driver",
         "user": "u",
         "password": "p",
-        "truncate": "true",
         "batchsize": "500",
         "numPartitions": "8",
     }
@@ -84,6 +86,37 @@ def test_postgres_options():
     assert postgres({}).url == "jdbc:postgresql://postgres:5432/main_db"
 
 
+@pytest.mark.parametrize("name", WAREHOUSE_TABLES)
+def test_postgres_definitions_fit_the_frames(warehouse, name):
+    frame = warehouse({}).plan(name)
+    ddl = postgres_ddl(name, frame.schema)
+    lines = [x.strip().rstrip(",") for x in ddl.split("\n")[1:-1]]
+    assert [x.split()[0] for x in lines] == frame.columns
+    assert sum("PRIMARY KEY" in x for x in lines) == 1
+    targets = {x.split()[0]: x.split(" REFERENCES ")[1].split()[0] for x in lines if "REFERENCES" in x}
+    assert targets == {k: postgres_table(d) for k, d in FOREIGN_KEYS.get(name, {}).items()}
+
+
+def test_what_a_parent_empties_is_written_after_it():
+    order = list(WAREHOUSE_TABLES)
+    for table, keys in FOREIGN_KEYS.items():
+        assert all(order.index(parent) < order.index(table) for parent in keys.values())
+
+
+def test_postgres_write_empties_with_references(warehouse, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    seen = {}
+    monkeypatch.setattr(DataFrameWriter, "options", lambda self, **o: seen.update(o) or self)
+    monkeypatch.setattr(DataFrameWriter, "save", lambda self: None)
+    write_postgres(warehouse({}).plan("dim_countries"), postgres({}), "dim_countries")
+    assert (seen["truncate"], seen["cascadeTruncate"]) == ("true", "true")
+    assert seen["dbtable"] == "public.dim_countries"
+    seen.clear()
+    write_clickhouse(warehouse({}).plan("sales_by_time"), clickhouse({}), "sales_by_time")
+    assert "truncate" not in seen and "MergeTree" in seen["createTableOptions"]
+
+
 def test_clickhouse_options():
     store = clickhouse({"CH_PORT": "1"})
     assert store.url == "jdbc:clickhouse://clickhouse-server:1/analytics"
