@@ -214,12 +214,15 @@ def retail_source(spark: SparkSession, path: str) -> SalesSource:
         The sales side is reduced to its distinct keys first, which collapses a
         hot key inside each task; the join then meets every key once per side.
         """
-        owned = owners[entity.name].select(*attribute_columns(entity))
-        nothing = [F.lit(None).cast(t).alias(a) for a, t in owned.dtypes]
-        owned = owned.unionByName(spark.range(1).select(*nothing)).distinct()
-        owned = owned.select(member_key(entity), "*")
+        owned = owners[entity.name].select(*attribute_columns(entity)).distinct()
+        types = dict(owned.dtypes)
+        nothing = F.col(entity.key) == missing_key(entity, types)
+        owned = owned.select(member_key(entity), "*").where(~nothing)
         sold = keyed_rows.select(entity.key).distinct()
-        return owned.join(sold, entity.key, "left_semi")
+        # The member without any attribute, if a sale refers to it.
+        missing = [F.lit(None).cast(t).alias(a) for a, t in types.items()]
+        unknown_member = sold.where(nothing).select(entity.key, *missing)
+        return owned.join(sold, entity.key, "left_semi").unionByName(unknown_member)
 
     raw = read("lineitem").select(
         F.expr(LINE_COLUMNS["sale_total_price"]).alias("sale_total_price")
