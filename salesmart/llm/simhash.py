@@ -261,7 +261,10 @@ def near_links(prints: DataFrame, bits: int = MAX_BITS, shard_points: int = SHAR
 def near_duplicates(
     docs: DataFrame, words: int = SHINGLE_WORDS, bits: int = MAX_BITS
 ) -> DataFrame:
-    """One row per document: doc_id, k, th, fingerprint (16 hex digits), component_id."""
+    """One row per document: doc_id, k, th, fingerprint (16 hex digits), component_id, root.
+
+    ``root`` tells components apart even where rows share a doc_id.
+    """
     prints = stored(with_fingerprints(docs, words), "fingerprints")
     points = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
     points = stored(points, "points")
@@ -270,13 +273,14 @@ def near_duplicates(
         roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left"
     ).withColumn("root", F.coalesce("root", "fingerprint"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    ids = named.select("fingerprint", "root").join(least, "root").drop("root")
+    ids = named.select("fingerprint", "root").join(least, "root")
     return prints.join(ids, "fingerprint").select(
         "doc_id",
         "k",
         "th",
         F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
         "component_id",
+        "root",
     )
 
 
@@ -287,9 +291,8 @@ def drop_near_duplicates(
     doc_id stays (NULL last; of rows alike in doc_id the one with the smallest
     text hash, of repeated rows one)."""
     found = near_duplicates(docs, words, bits)
-    group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("-"), "fingerprint"))
     order = F.struct(F.col("doc_id").isNull().alias("n"), "k", "th")
-    kept = found.groupBy(group.alias("g")).agg(F.min(order).alias("first"))
+    kept = found.groupBy("root").agg(F.min(order).alias("first"))
     kept = kept.select(F.col("first.k").alias("_llm_k"), F.col("first.th").alias("_llm_th"))
     keyed = docs.withColumn("_llm_k", id_key(F.col("doc_id")))
     keyed = keyed.withColumn("_llm_th", text_key(F.col("text")))
