@@ -8,8 +8,9 @@ for every 64 lines, words without a dropped line left out. Texts stay where they
 are until ``apply_bitmaps``.
 
 Keys that hold a large share of all lines are found with a bounded sketch and
-dealt over ``SALTS`` ranges. Which keys it finds only decides how rows are
-dealt, never the result: such a key's first document is a plain minimum.
+dealt by a hash of their document as well, over as many ranges as their rows
+fill. Which keys it finds only decides how rows are dealt, never the result: such
+a key's first document is a plain minimum.
 
 Cases: NULL or empty text is one empty line; rows without doc_id count as one
 document that comes after all others; rows with the same doc_id are one
@@ -27,7 +28,6 @@ from pyspark.sql import functions as F
 from salesmart.llm.common import WHITE, stored, text_key
 
 MIN_CHARS = 10
-SALTS = 64
 # Bound of the sketch, and so of the broadcast table of heavy keys.
 HEAVY_KEYS = 64
 _LAST = 2**63 - 1
@@ -78,7 +78,7 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     heavy = stored(heavy.agg(F.min("o").alias("least")), "heavy")
     salted = rows.join(F.broadcast(heavy), ["h1", "h2"], "left").withColumn(
         "salt",
-        F.when(F.col("least").isNull(), 0).otherwise(F.pmod(F.xxhash64("o"), F.lit(SALTS))),
+        F.when(F.col("least").isNull(), F.lit(0).cast("bigint")).otherwise(F.xxhash64("o", "th")),
     )
     dealt = salted.repartitionByRange("h1", "h2", "salt")
     run = Window.partitionBy("h1", "h2", "salt").orderBy("o", "pos")
