@@ -5,9 +5,10 @@ is packed by best fit decreasing: longest first, each into the open sequence
 with the least room that is enough. A segment tree over remaining room finds it.
 
 Ids are computed where the text is read and only a few numbers per piece are
-shuffled. Remainders are packed in groups of about ``GROUP_PIECES``, dealt evenly
-whatever their doc_id, so that a group's size does not grow with the input; each
-group leaves at most a few sequences badly filled. No document shorter than a
+shuffled, evenly whatever their doc_id. A task packs the pieces it gets in groups of
+``GROUP_PIECES`` to twice as many, one group after the other, so that a group's size
+does not grow with the input, and a large input has up to ``TASK_GROUPS`` groups a
+task; each group leaves at most a few sequences badly filled. No document shorter than a
 window is cut, so a corpus of texts all a bit over half a window long would be
 padded by nearly as much; all other corpora that we measured are padded by
 below two percent.
@@ -35,6 +36,8 @@ from salesmart.llm.tokens import Encoder
 WINDOW = 2048
 END_ID = 1
 GROUP_PIECES = 20_000
+# Groups that one task packs where there are more groups than shuffle partitions.
+TASK_GROUPS = 50
 PIECE = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 _SEQUENCES = 1 << 32
 
@@ -131,6 +134,20 @@ def best_fit(lengths: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.
     return sequence, offset
 
 
+def in_groups(found: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Table]:
+    """A task's rows in tables of ``most`` rows; the last has up to twice as many, or all."""
+    held: list[pa.RecordBatch] = []
+    for batch in found:
+        held.append(batch)
+        while sum(b.num_rows for b in held) >= 2 * most:
+            table = pa.Table.from_batches(held).combine_chunks()
+            yield table.slice(0, most).combine_chunks()
+            held = table.slice(most).to_batches()
+    held = [b for b in held if b.num_rows]
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def pack(
     docs: DataFrame,
     tokenizer: str,
@@ -141,17 +158,18 @@ def pack(
 ) -> DataFrame:
     """Every piece with its sequence_id and its offset there (and its ids, if asked)."""
     cut = stored(pieces(docs, tokenizer, ranks, window, end_id, ids), "pieces")
-    groups = max(1, -(-cut.count() // GROUP_PIECES))
+    most = GROUP_PIECES
+    groups = max(1, -(-cut.count() // most))
+    at_once = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = min(groups, max(at_once, -(-groups // TASK_GROUPS)))
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = list(found)
-        if not parts:
-            return
-        group = pa.Table.from_batches(parts).combine_chunks()
         first = TaskContext.get().partitionId() * _SEQUENCES
-        sequence, offset = best_fit(group.column("length").to_numpy(), window)
-        group = group.append_column("sequence_id", pa.array(first + sequence))
-        yield from group.append_column("offset", pa.array(offset)).to_batches()
+        for group in in_groups(found, most):
+            sequence, offset = best_fit(group.column("length").to_numpy(), window)
+            group = group.append_column("sequence_id", pa.array(first + sequence))
+            yield from group.append_column("offset", pa.array(offset)).to_batches()
+            first += int(sequence.max()) + 1
 
     schema = PIECE + (", ids array<int>" if ids else "") + ", sequence_id bigint, offset bigint"
-    return cut.repartition(groups).mapInArrow(run, schema)
+    return cut.repartition(tasks).mapInArrow(run, schema)

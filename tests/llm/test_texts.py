@@ -6,6 +6,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -214,6 +215,27 @@ def test_little_padding_and_groups(sample, tokenizer, monkeypatch):
     assert sum(filled.values()) / (2048 * len(filled)) > 0.9
 
 
+def test_groups_of_a_task_hold_all_rows_in_order():
+    for rows in (0, 1, 7, 8, 40, 41):
+        for step in (1, 3, 50):
+            batches = [
+                pa.RecordBatch.from_arrays([pa.array(range(k, min(rows, k + step)), pa.int64())], ["x"])
+                for k in range(0, max(rows, 1), step)
+            ]
+            groups = [g.column("x").to_pylist() for g in packing.in_groups(iter(batches), 4)]
+            assert [x for g in groups for x in g] == list(range(rows))
+            assert all(len(g) == 4 for g in groups[:-1]) and all(0 < len(g) < 8 for g in groups)
+
+
+def test_several_groups_a_task(sample, tokenizer, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_PIECES", 10)
+    monkeypatch.setattr(packing, "TASK_GROUPS", 7)
+    assert sum(check_sequences(found := packing.pack(sample, *tokenizer).collect()).values()) == sum(
+        p.length for p in found
+    )
+    assert len({p.sequence_id >> 32 for p in found}) < len(found) / 10
+
+
 def test_best_fit_decreasing():
     draw = random.Random(1)
     for window in (16, 100, 128):
