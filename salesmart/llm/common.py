@@ -16,7 +16,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.session import shared_folder
+from salesmart.session import scan_bytes, shared_folder, size_shuffles
 
 WHITE = b"\t\n\x0b\x0c\r "
 SLICE_BYTES = 4 << 20
@@ -52,7 +52,10 @@ def per_process(name: str, make):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. Shuffles get more partitions if it is too large for the session's."""
+    found = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    size_shuffles(spark, scan_bytes(found))
+    return found
 
 
 def id_key(doc_id: Column) -> Column:
