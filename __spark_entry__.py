@@ -154,13 +154,13 @@ def _fact_sales_by_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact_sales_by_lookup(warehouse.plan("flat"), dense)
 
 
-def _dim_products_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Products with dense ids of their own and of every lookup they refer to."""
+def _dim_dense(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dimension with dense ids of its own and of every lookup it refers to."""
     read = _warehouse(spark, sf_dir).table
-    numbered = {d: dense_ids(read(d)) for d in set(FOREIGN_KEYS["dim_products"].values())}
-    products = read("dim_products")
-    foreign_keys = {fk: numbered[d] for fk, d in FOREIGN_KEYS["dim_products"].items()}
-    return with_dense_keys(products, foreign_keys, own=dense_ids(products))
+    numbered = {d: dense_ids(read(d)) for d in set(FOREIGN_KEYS[name].values())}
+    members = read(name)
+    foreign_keys = {fk: numbered[d] for fk, d in FOREIGN_KEYS[name].items()}
+    return with_dense_keys(members, foreign_keys, own=dense_ids(members))
 
 
 def _fact_sales_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,7 +214,6 @@ def queries() -> dict[str, Query]:
         "load_audit": _load_audit,
         "clean_dates": _clean_dates,
         "dense_ids": _dense_ids,
-        "dim_products_dense": _dim_products_dense,
         "dim_upsert": _dim_upsert,
         "pet_first_sale": _pet_first_sale,
         "write_mart": _write_mart,
@@ -223,6 +222,8 @@ def queries() -> dict[str, Query]:
         "fact_sales_by_lookup": _fact_sales_by_lookup,
         "dq_bad_rows": _bad_rows,
     }
+    referring = [t for t in FOREIGN_KEYS if t != "fact_sales"]
+    named |= {f"{t}_dense": partial(_dim_dense, t) for t in referring}
     named |= {t: partial(_table, t) for t in (*WAREHOUSE_TABLES, *MARTS)}
     named |= {n: partial(_report, b) for n, b in {**REPORTS, **CHECKS, **EXPORTS}.items()}
     if llm_queries:

@@ -713,10 +713,20 @@ def _keys() -> dict[str, str]:
          {", ".join(f"(SELECT n FROM {d}_ids i WHERE i.id = p.{fk}) AS {fk}"
                     for fk, d in refers.items())}
   FROM dim_products p"""
+    def dense_dimension(name: str) -> str:
+        refers = dict(FOREIGN_KEYS[name])
+        places = sorted(set(refers.values()))
+        ids = [f"{d}_ids AS (SELECT id, row_number() OVER (ORDER BY id) AS n FROM ({DIMS[d]}))"
+               for d in (name, *places)]
+        columns = [("id", name), *refers.items()]
+        found = ", ".join(f"(SELECT n FROM {d}_ids i WHERE i.id = p.{c}) AS {c}" for c, d in columns)
+        return _with(FLAT, CLEAN, *ids) + f"SELECT * REPLACE ({found}) FROM ({DIMS[name]}) p"
+
     first_sale = """SELECT customer_pet_type AS pet_type, customer_pet_name AS pet_name,
          customer_pet_breed AS pet_breed, pet_category, min(id) AS source_id
   FROM clean GROUP BY ALL"""
     return {
+        **{f"{d}_dense": dense_dimension(d) for d in FOREIGN_KEYS if d.startswith("dim_")},
         "dim_products_dense": _with(FLAT, CLEAN, dense, *numbered) + dense_products,
         "pet_first_sale": _with(FLAT, CLEAN) + first_sale,
         "write_mart": _with(*SALES) + MARTS["sales_by_customer"],

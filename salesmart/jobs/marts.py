@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,8 +28,9 @@ def postgres_reader(spark: SparkSession) -> Callable[[str], DataFrame]:
 
 
 def store_files(read: Callable[[str], DataFrame], target: str) -> None:
-    for name, build in MARTS.items():
-        write_mart(build(read), name, f"{target}/{name}")
+    """All marts at once: most are small and would leave the cluster idle one by one."""
+    with ThreadPoolExecutor(len(MARTS)) as pool:
+        list(pool.map(lambda m: write_mart(MARTS[m](read), m, f"{target}/{m}"), MARTS))
 
 
 def store_clickhouse(read: Callable[[str], DataFrame]) -> None:

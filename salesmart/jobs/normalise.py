@@ -1,28 +1,84 @@
-"""spark-submit: staged sales -> the 18 snowflake tables, as a full refresh."""
+"""spark-submit: staged sales -> the 18 snowflake tables, as a full refresh or with the next files.
+
+Tables in a folder remember which staged files they hold: each load has a number, a list
+of its files (``load_files/load=n``) and its part of the fact (``fact_sales/load=n``),
+written last. A load that was cut off is done again with the same files and replaces its
+part, so that every sale is there once; members already stored are not added again.
+"""
 
 from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from salesmart.plans.warehouse import Warehouse
-from salesmart.schema import DIMENSIONS, WAREHOUSE_TABLES
-from salesmart.session import build_session, remove_folder, scan_bytes, shared_folder
+from salesmart.schema import DIMENSIONS, FLAT_COLUMNS, WAREHOUSE_TABLES
+from salesmart.session import build_session, remove_folder, scan_bytes, shared_folder, written
 from salesmart.sinks.jdbc import write_postgres
-from salesmart.sinks.tables import read_staging, staged_sales, write_dimension, write_fact
+from salesmart.sinks.tables import (
+    append_dimension,
+    read_staging,
+    staged_sales,
+    write_dimension,
+    write_fact,
+)
 from salesmart.sources.base import SalesSource, from_flat
 from salesmart.sources.jdbc import postgres, read_table
 
 
-def store_files(warehouse: Warehouse, target: str) -> None:
+def files_of(staging: DataFrame) -> DataFrame:
+    return staging.where("status = 'loaded'").select("source_file").distinct()
+
+
+def store_files(warehouse: Warehouse, target: str, files: DataFrame | None = None) -> None:
+    """Replace all tables; ``files`` are the staged files they are made of."""
+    for folder in ("fact_sales", "load_files"):
+        remove_folder(warehouse.spark, f"{target}/{folder}")
+
     def write(name: str) -> None:
-        if name == "fact_sales":
-            write_fact(warehouse.table("keyed"), f"{target}/{name}")
-        else:
+        if name != "fact_sales":
             write_dimension(warehouse.plan(name), f"{target}/{name}")
 
+    if files is not None:
+        files.write.parquet(f"{target}/load_files/load=0")
     warehouse.store(WAREHOUSE_TABLES, write)
+    write_fact(warehouse.table("keyed"), f"{target}/fact_sales/load=0")
+
+
+def next_load(spark: SparkSession, staging: DataFrame, target: str) -> tuple[int, DataFrame] | None:
+    """Number and files of the load that was cut off, or of the next one; None if no file is new."""
+    if not written(spark, f"{target}/load_files/load=0"):
+        raise ValueError(f"{target} does not tell which files it holds: refresh it first")
+    listed = spark.read.schema("source_file string, load int").parquet(f"{target}/load_files")
+    number = listed.agg(F.max("load")).first()[0] or 0
+    if written(spark, f"{target}/fact_sales/load={number}"):
+        new = files_of(staging).join(listed, "source_file", "left_anti")
+        if new.isEmpty():
+            return None
+        number += 1
+        # The list is complete with its first row, or not there: it is one file.
+        new.coalesce(1).write.mode("overwrite").parquet(f"{target}/load_files/load={number}")
+    return number, spark.read.schema("source_file string").parquet(
+        f"{target}/load_files/load={number}"
+    )
+
+
+def add_files(spark: SparkSession, staging: str, target: str, work: str | None) -> int | None:
+    """Add the staged files that the tables do not hold; the number of the load, None without one."""
+    rows = read_staging(spark, staging)
+    found = next_load(spark, rows, target)
+    if found is None:
+        return None
+    number, files = found
+    sales = rows.where("status = 'loaded'").join(files, "source_file", "left_semi")
+    warehouse = Warehouse(spark, from_flat(sales.select(*FLAT_COLUMNS), scan_bytes(rows)), work)
+    warehouse.store(
+        DIMENSIONS, lambda name: append_dimension(spark, warehouse.plan(name), f"{target}/{name}")
+    )
+    write_fact(warehouse.table("keyed"), f"{target}/fact_sales/load={number}")
+    return number
 
 
 def store_postgres(warehouse: Warehouse) -> None:
@@ -43,20 +99,28 @@ def main() -> None:
     target = parser.add_mutually_exclusive_group(required=True)
     target.add_argument("--target", help="folder for the tables")
     target.add_argument("--postgres", action="store_true", help="write to PostgreSQL")
+    parser.add_argument("--add", action="store_true", help="add the files that are not there yet")
     args = parser.parse_args()
+    if args.add and not (args.staging and args.target):
+        parser.error("--add goes from --staging to --target")
     spark = build_session("normalise sales")
-    if args.staging:
-        sales = staged_source(spark, args.staging)
-    else:
-        sales = from_flat(read_table(spark, postgres(), args.table, column="id"))
     # Intermediate tables are stored wherever the job runs, and removed when it is done.
     shared = shared_folder(spark) or args.target
     work = shared and f"{shared.rstrip('/')}/_work-{spark.sparkContext.applicationId}"
-    warehouse = Warehouse(spark, sales, work)
-    if args.postgres:
-        store_postgres(warehouse)
+    if args.add:
+        add_files(spark, args.staging, args.target, work)
     else:
-        store_files(warehouse, args.target)
+        files = None
+        if args.staging:
+            sales = staged_source(spark, args.staging)
+            files = files_of(read_staging(spark, args.staging))
+        else:
+            sales = from_flat(read_table(spark, postgres(), args.table, column="id"))
+        warehouse = Warehouse(spark, sales, work)
+        if args.postgres:
+            store_postgres(warehouse)
+        else:
+            store_files(warehouse, args.target, files)
     if work:
         remove_folder(spark, work)
     spark.stop()

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.functions.clean import clean_sales
-from salesmart.functions.keys import encode
-from salesmart.schema import ENTITIES
+from salesmart.functions.keys import encode, surrogate_key
+from salesmart.schema import ENTITIES, Entity
 
 FACT_COLUMNS = (
     "source_id",
@@ -34,37 +34,45 @@ def fact_sales(keyed: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     return keyed.withColumns(foreign_keys).select(*FACT_COLUMNS, *extra)
 
 
+def _comparison(entity: Entity, members: DataFrame) -> Callable[..., Column]:
+    """What tells the members of an entity apart: their key, or their text if a key is held twice."""
+    twice = members.groupBy(entity.key).count().where("count > 1")
+    return surrogate_key if twice.isEmpty() else encode
+
+
 def fact_sales_by_lookup(flat: DataFrame, dense: Callable[[str], DataFrame]) -> DataFrame:
     """The same fact with ids looked up in the dimensions instead of computed.
 
     ``dense("product")`` gives the members of an entity with a column
     ``dense_id``, ``dense("date")`` the days. Each join compares the whole
-    natural key, NULLs included, as one encoded text: it finds one member per
-    sale and keeps every sale, and two members never share a text, as they might
-    share a hash key.
+    natural key, NULLs included, by its 8-byte hash key, so that no text goes
+    through a sale-sized shuffle. An entity with two members of one key, which
+    the members tell before any sale is read, is joined by the encoded text.
     """
     clean = clean_sales(flat)
-    natural = {
-        e.name: F.when(
+    members = {e.name: dense(e.name) for e in ENTITIES.values()}
+    compare = {e.name: _comparison(e, members[e.name]) for e in ENTITIES.values()}
+    natural = [
+        F.when(
             F.col(e.attributes[e.anchor]).isNotNull(),
-            encode(*(F.col(c) for c in e.attributes.values())),
+            compare[e.name](*(F.col(c) for c in e.attributes.values())),
         ).alias(f"{e.name}_natural")
         for e in ENTITIES.values()
-    }
+    ]
     sales = clean.select(
         F.col("id").alias("source_id"),
         "sale_date",
-        *natural.values(),
+        *natural,
         "product_quantity",
         "product_price",
         "sale_quantity",
         F.col("sale_total_price").alias("total_price"),
     )
     for entity in ENTITIES.values():
-        members = dense(entity.name).select(
-            F.col("dense_id").alias(entity.foreign_key),
-            encode(*(F.col(a) for a in entity.attributes)).alias(f"{entity.name}_natural"),
+        same = compare[entity.name](*(F.col(a) for a in entity.attributes))
+        found = members[entity.name].select(
+            F.col("dense_id").alias(entity.foreign_key), same.alias(f"{entity.name}_natural")
         )
-        sales = sales.join(members, f"{entity.name}_natural", "left")
+        sales = sales.join(found, f"{entity.name}_natural", "left")
     days = dense("date").withColumnsRenamed({"dense_id": "date_id", "date": "sale_date"})
     return sales.join(days.drop("id"), "sale_date", "left").select(*FACT_COLUMNS)

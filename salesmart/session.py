@@ -47,6 +47,8 @@ def shared_folder(spark: SparkSession) -> str | None:
 # partition itself is smaller; 100 TB give 51,200 partitions, which a driver can
 # still track. AQE merges partitions that turn out small.
 BYTES_PER_PARTITION = 2 * 1024**3
+SCAN_TASKS = 100_000
+MAX_SPLIT = 1024**3
 _INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
@@ -56,6 +58,12 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def written(spark: SparkSession, folder: str) -> bool:
+    """Whether a table was written there to its end."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def scan_bytes(*frames: DataFrame) -> int:
     """Size of the files behind plain file scans, as the optimizer sees it."""
     return sum(
@@ -94,12 +102,22 @@ def initial_partitions(input_bytes: int, default: int) -> int:
     return max(default, -(-input_bytes // BYTES_PER_PARTITION))
 
 
+def scan_split(input_bytes: int, default: int) -> int:
+    """Bytes a scan task reads: more for large inputs, up to 1 GiB, so that tasks stay
+    below ``SCAN_TASKS`` up to 100 TB and shuffles do not have tasks times partitions blocks."""
+    return max(default, min(MAX_SPLIT, input_bytes // SCAN_TASKS))
+
+
 def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
-    """Start shuffles of a large input with enough partitions to fit into memory.
+    """Start shuffles of a large input with enough partitions to fit into memory, and
+    scans with larger splits.
 
     The default number of partitions would give each hundreds of gigabytes at
     100 TB. A number the user has set stays; small inputs change nothing.
     """
+    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    if (wanted := scan_split(input_bytes, split)) > split:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(wanted))
     default = int(spark.conf.get("spark.sql.shuffle.partitions"))
     wanted = initial_partitions(input_bytes, default)
     if wanted > default and spark.conf.get(_INITIAL, None) is None:

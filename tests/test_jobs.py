@@ -1,12 +1,14 @@
 """The three jobs end to end, from CSV files to marts, twice."""
 
+import pytest
 from conftest import rows
 from test_load import write
 
 from salesmart.jobs import marts, normalise
+from salesmart.jobs.normalise import add_files, files_of
 from salesmart.plans.warehouse import Warehouse
 from salesmart.schema import MART_SCHEMAS, WAREHOUSE_TABLES
-from salesmart.sinks.tables import load_csv
+from salesmart.sinks.tables import load_csv, read_staging
 
 
 def test_files_to_marts_and_again(spark, tmp_path):
@@ -31,3 +33,43 @@ def test_files_to_marts_and_again(spark, tmp_path):
     assert seen[0] == seen[1]
     assert len(seen[0]["fact_sales"]) == 3
     assert len(seen[0]["dim_customers"]) == 2
+
+
+def test_next_files_are_added_once(spark, tmp_path):
+    inbox, staging, tables = tmp_path / "in", str(tmp_path / "staging"), str(tmp_path / "tables")
+    inbox.mkdir()
+    write(inbox / "a.csv", {}, {"id": 2, "customer_age": 40})
+    load_csv(spark, str(inbox), staging)
+
+    def work(n):
+        return str(tmp_path / f"work{n}")
+
+    with pytest.raises(ValueError, match="refresh it first"):
+        add_files(spark, staging, tables, work(0))
+    first = Warehouse(spark, normalise.staged_source(spark, staging), work(1))
+    normalise.store_files(first, tables, files_of(read_staging(spark, staging)))
+    read = marts.file_reader(spark, tables)
+
+    def stored():
+        fact = read("fact_sales").drop("load")
+        return {t: rows(fact if t == "fact_sales" else read(t)) for t in WAREHOUSE_TABLES}
+
+    before = stored()
+    assert add_files(spark, staging, tables, work(2)) is None
+    assert stored() == before
+    # Another file with the same ids, one known customer and one new.
+    write(inbox / "b.csv", {"product_brand": "Other"}, {"id": 2, "customer_country": "Oman"})
+    load_csv(spark, str(inbox), staging)
+    assert add_files(spark, staging, tables, work(3)) == 1
+    after = stored()
+    assert len(after["fact_sales"]) == 4
+    assert len(after["dim_customers"]) == 3 and len(after["dim_products"]) == 2
+    assert add_files(spark, staging, tables, work(4)) is None
+    # A load that was cut off before its end is done again.
+    (tmp_path / "tables" / "fact_sales" / "load=1" / "_SUCCESS").unlink()
+    assert add_files(spark, staging, tables, work(5)) == 1
+    assert stored() == after
+    whole = Warehouse(spark, normalise.staged_source(spark, staging), work(6))
+    for name in WAREHOUSE_TABLES:
+        columns = whole.plan(name).columns
+        assert rows(read(name).select(*columns)) == rows(whole.plan(name))

@@ -1,3 +1,6 @@
+import re
+
+import pytest
 from decimal import Decimal
 
 from conftest import rows
@@ -125,6 +128,27 @@ def test_lookup_joins_give_the_same_fact(warehouse):
         assert (None in dense_of.values()) == ((None, None) in pairs)
 
 
+@pytest.mark.parametrize("collide", [False, True])
+def test_lookup_by_key_and_by_text_where_keys_collide(warehouse, collide):
+    w = warehouse({}, {"id": 2, "product_color": None}, {"id": 3, "customer_email": None})
+
+    def dense(name):
+        if name == "date":
+            return dense_ids(w.table("dim_dates"))
+        e = ENTITIES[name]
+        found = dense_ids(w.table(f"members_{name}"), e.key, tuple(e.attributes))
+        return found.withColumn(e.key, F.lit(7).cast("bigint")) if collide else found
+
+    found = fact_sales_by_lookup(w.plan("flat"), dense)
+    ids = {r.source_id: (r.product_id, r.customer_id) for r in found.collect()}
+    assert len(ids) == 3 and ids[1][0] == ids[3][0] != ids[2][0] is not None
+    assert ids[1][1] == ids[2][1] is not None and ids[3][1] is None
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    texts = re.findall(r"THEN concat_ws\([^\n]* AS \w+_natural#", plan)
+    assert bool(texts) == collide
+
+
+
 def test_flat_and_shaped_sources_agree(spark, testdata, tmp_path):
     shaped = Warehouse(spark, retail_source(spark, testdata), str(tmp_path / "shaped"))
     flat = Warehouse(spark, from_flat(shaped.plan("flat")), str(tmp_path / "flat"))
