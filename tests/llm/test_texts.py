@@ -314,6 +314,17 @@ def test_labelled_quality(spark):
     assert sum(not r.kept for r in rows if r.quality == 0) > 0.9 * sum(r.quality == 0 for r in rows)
 
 
+def test_short_junk_is_rejected(spark):
+    """The bounded sample that cutoff and shrinkage were chosen on, short texts apart."""
+    sf = "/root/testdata/sf0.1"
+    found = quality.judge(spark.read.parquet(f"{sf}/documents.parquet")).where("not base_failed")
+    rows = found.join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").collect()
+    kept = Counter((r.quality, r.n_words < 80) for r in rows if r.kept)
+    all_ = Counter((r.quality, r.n_words < 80) for r in rows)
+    assert (kept[1, True], kept[1, False]) == (all_[1, True], all_[1, False])
+    assert kept[0, False] == 0 and kept[0, True] <= 3
+
+
 def test_equal_rows_are_no_outliers(docs):
     text = " ".join(f"word{i}" for i in range(50))
     found = quality.judge(docs([(i, text, "en", "a") for i in range(200)]))
