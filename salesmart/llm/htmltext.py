@@ -6,8 +6,9 @@ and a few marks of where it stands. A small decision tree, trained on the
 labelled blocks in ``labelled_pages``, tells article text from the rest.
 
 Cases: NULL or empty html gives an empty text; scripts, styles, comments and tags
-that are never closed end with the page; repeated rows are judged alike; an empty
-table gives no rows; other columns are ignored.
+that are never closed end with the page; pictures, frames, choices and templates that
+are never closed end with the block around them, and the blocks in them stay; repeated
+rows are judged alike; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,13 +25,15 @@ from pyspark.sql import functions as F
 
 from salesmart.llm.labelled_pages import LABELLED_PAGES
 
-# Elements whose content is no text of the page.
-_RAW = "script|style|noscript|template|svg|textarea|title|iframe|canvas|object|select|math"
+# Elements whose content is no markup, and others whose content is no text of the page.
+_RAW = "script|style|textarea|title"
+_DROPPED = frozenset("svg foreignobject canvas iframe select noscript template annotation annotation-xml".split())
 _TOKEN = re.compile(
     rf"<!--(?P<comment>)|<(?P<raw>{_RAW})\b|<(?P<end>/?)(?P<name>[a-z][^\s/>]*+)"
     r"(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)|</?[a-z][^>]*+(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)",
     re.I,
 )
+_RAW_START = {n: re.compile(rf"<{n}\b", re.I) for n in _RAW.split("|")}
 _RAW_END = {n: re.compile(rf"</{n}\s*+[^>]*+(?:>|\Z)", re.I) for n in _RAW.split("|")}
 _TAG_END = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*?(?:>|\Z)")
 _BLOCKS = frozenset(
@@ -74,6 +77,20 @@ class _Open:
     label: int | None
 
 
+@dataclass
+class _Drop:
+    """An open dropped element, and what stood before it."""
+
+    name: str
+    depth: int
+    blocks: int
+    parts: list[str]
+    linked: list[str]
+    links: int
+    # A block has begun in it, which stays if the element is never closed.
+    held: bool = False
+
+
 @dataclass
 class _Cutter:
     """Collects blocks while tags go by."""
@@ -83,9 +100,10 @@ class _Cutter:
     parts: list[str] = field(default_factory=list)
     linked: list[str] = field(default_factory=list)
     links: int = 0
+    drops: list[_Drop] = field(default_factory=list)
 
     def text(self, raw: str) -> None:
-        if raw:
+        if raw and (not self.drops or self.drops[-1].held):
             self.parts.append(raw)
             if self.links:
                 self.linked.append(raw)
@@ -106,7 +124,49 @@ class _Cutter:
             )
         self.parts, self.linked = [], []
 
+    def drop(self, name: str) -> None:
+        self.drops.append(
+            _Drop(name, len(self.stack), len(self.blocks), self.parts, self.linked, self.links)
+        )
+        self.parts, self.linked = [], []
+
+    def dropped(self, name: str) -> None:
+        """The end tag of a dropped element: all in it goes."""
+        for k in range(len(self.drops) - 1, -1, -1):
+            at = self.drops[k]
+            if at.name == name:
+                del self.drops[k:], self.blocks[at.blocks :], self.stack[at.depth :]
+                self.parts, self.linked, self.links = at.parts, at.linked, at.links
+                return
+
+    def undrop(self) -> None:
+        """The innermost dropped element has no end tag: blocks that began in it stay."""
+        at = self.drops.pop()
+        if at.held:
+            self.flush()
+            if at.parts:
+                inner, deeper = self.blocks[at.blocks :], self.stack[at.depth :]
+                del self.blocks[at.blocks :], self.stack[at.depth :]
+                self.parts, self.linked = at.parts, at.linked
+                self.flush()
+                self.blocks += inner
+                self.stack += deeper
+        else:
+            self.parts, self.linked, self.links = at.parts, at.linked, at.links
+
     def start(self, name: str, rest: str) -> None:
+        if name in _DROPPED:
+            if not rest.endswith("/"):
+                self.drop(name)
+            return
+        if self.drops and name in _BLOCKS:
+            if self.drops[-1].name == "select" and name == "option":
+                return
+            if self.drops[-1].name == "svg":
+                # As in browsers: no picture holds a block of text.
+                self.undrop()
+            else:
+                self.drops[-1].held = True
         if name == "a":
             self.links = 1
         if name == "br":
@@ -138,24 +198,34 @@ class _Cutter:
         self.stack.append(_Open(name, inside, outside or above.outside, label))
 
     def end(self, name: str) -> None:
+        if name in _DROPPED:
+            self.dropped(name)
+            return
         if name == "a":
             self.links = 0
         if name in _BLOCKS:
-            self.flush()
             self.close(name)
 
     def close(self, name: str, within: frozenset[str] = frozenset()) -> None:
-        for k in range(len(self.stack) - 1, -1, -1):
+        # A paragraph that begins in a dropped element ends none outside of it.
+        least = self.drops[-1].depth if within and self.drops else 0
+        for k in range(len(self.stack) - 1, least - 1, -1):
             if self.stack[k].name == name:
+                while self.drops and self.drops[-1].depth > k:
+                    self.undrop()
+                self.flush()
                 del self.stack[k:]
                 return
             if self.stack[k].name in within:
-                return
+                break
+        if not self.drops or self.drops[-1].held:
+            self.flush()
 
 
 def cut(html: str) -> list[Block]:
     """Text blocks of a page in order."""
     cutter, done = _Cutter(), 0
+    closes: dict[str, tuple[int, int]] = {}
     found = _TOKEN.search(html)
     while found:
         cutter.text(html[done : found.start()])
@@ -168,13 +238,25 @@ def cut(html: str) -> list[Block]:
                 # A name that only begins like it, such as <title-bar>.
                 done = _TAG_END.match(html, done).end()
             else:
-                close = _RAW_END[found["raw"].lower()].search(html, done)
-                done = close.end() if close else len(html)
+                name = found["raw"].lower()
+                if name not in closes or closes[name][0] < done:
+                    close = _RAW_END[name].search(html, done)
+                    closes[name] = close.span() if close else (len(html), len(html))
+                tag = html.find(">", done)
+                if tag >= 0 and html[tag - 1] == "/":
+                    # Empty, as in XHTML, unless its end tag comes before the next of its name.
+                    other = _RAW_START[name].search(html, tag, closes[name][0])
+                    empty = other or closes[name][0] == len(html)
+                else:
+                    empty = False
+                done = tag + 1 if empty else closes[name][1]
         elif found["name"]:
             name = found["name"].lower()
             (cutter.end(name) if found["end"] else cutter.start(name, found["rest"]))
         found = _TOKEN.search(html, done)
     cutter.text(html[done:])
+    while cutter.drops:
+        cutter.undrop()
     cutter.flush()
     return cutter.blocks
 

@@ -219,6 +219,42 @@ def test_odd_pages(spark):
     assert htmltext.extract(found.limit(0).withColumn("html", F.lit(None))).count() == 0
 
 
+ONE, TWO = "The first oar broke near the pier.", "The second held until the evening."
+ICON = "<path d='M0 0'>"
+
+
+@pytest.mark.parametrize(
+    ("html", "expected"),
+    [
+        (f"<svg class='i'/><p>{ONE}</p><p>{TWO}</p>", [ONE, TWO]),
+        (f"<p>{ONE}</p><math/><p>{TWO}</p><svg>{ICON}</svg>", [ONE, TWO]),
+        (f"<p>{ONE} <svg>{ICON}<title>t</title><text>no</text></svg>Then.</p>", [f"{ONE} Then."]),
+        (f"<svg>{ICON}<foreignObject><p>no</p></foreignObject></svg><p>{ONE}</p>", [ONE]),
+        (f"<svg>{ICON}<p>{ONE}</p><svg>{ICON}</svg><p>{TWO}</p>", [ONE, TWO]),
+        (f"<p>{ONE}<svg>{ICON}<text>no</p><p>{TWO}</p>", [ONE, TWO]),
+        (f"{ONE}<canvas>no<p>{TWO}</p>", [ONE, TWO]),
+        (f"<p>{ONE}</p><canvas><p>no</p></canvas><p>{TWO}</p>", [ONE, TWO]),
+        (f"<p>{ONE}</p><noscript><p>no</p><svg></noscript><template>no</template><p>{TWO}</p>", [ONE, TWO]),
+        (f"<p>{ONE} <noscript><p>no</p></noscript>Then.</p>", [f"{ONE} Then."]),
+        (f"<p>{ONE}</p><iframe src='x' /><p>{TWO}</p>", [ONE, TWO]),
+        (f"<div>{ONE}<select><option>no<option>no</div><p>{TWO}</p>", [ONE, TWO]),
+        ("<p>Half of <math><mi>x</mi><annotation>no</annotation></math> sank in one night.</p>", ["Half of x sank in one night."]),
+        (f"<object data='f'><p>{ONE}</p></object><p>{TWO}</p>", [ONE, TWO]),
+        (f"<script src='x'/><p>{ONE}</p><script>no</script><p>{TWO}</p>", [ONE, TWO]),
+        (f"<script/>no</script><p>{ONE}</p></svg><p>{TWO}</p>", [ONE, TWO]),
+    ],
+)
+def test_nothing_is_swallowed(html, expected):
+    assert [b.text for b in htmltext.cut(f"<article>{html}</article>")] == expected
+    assert htmltext.main_text(f"<article>{html}</article>", htmltext.trained_tree()).split("\n\n") == expected
+
+
+def test_unclosed_elements_are_linear():
+    for name in ("svg", "canvas", "script/", "noscript"):
+        found = htmltext.cut(f"<article><p>a<{name}><p>b" * 5_000)
+        assert sum(b.text == "b" for b in found) == 5_000
+
+
 # --- Personal data
 
 RULES = {
