@@ -45,18 +45,31 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _OUTSIDE = frozenset("nav footer aside form button label dialog menu fieldset head".split())
 _INSIDE = frozenset("article main".split())
-_ATTRIBUTE = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
-_HIDDEN = re.compile(r"(?i)\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true")
+_ATTRIBUTE = re.compile(r"""([^\s=/>"']++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>"']++))?""")
+_NAMING = frozenset("class id role aria-label".split())
+_NO_DISPLAY = re.compile(r"(?i)display\s*:\s*none")
+# Class words that say what a wrapper has or lacks, not what it is.
+_HAVING = re.compile(r"(?i)(?<![^\s\"'])(?:has|no|with|without)[-_]\S+")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 _OUTSIDE_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising alert banner breadcrumb breadcrumbs byline "
     "comment comments consent contentinfo cookie cookies copyright discussion disqus feedback footer "
     "form gdpr header login masthead menu modal nav navbar navigation newsletter notice notification "
     "overlay pagination pager popup promo promoted promotion recommended related replies reply "
-    "respond responses search share sharing sidebar signup site social sponsor sponsored subscribe "
+    "respond responses search share sharing sidebar signup social sponsor sponsored subscribe "
     "subscription tags toolbar topbar widget".split()
 )
 _INSIDE_NAMES = frozenset("article content entry main post story text".split())
+# Marks by a name end at an article or main tag, and at these names; some names only at
+# the tags, and those of texts that have articles of their own, by readers or on other
+# pages, not at all.
+_ENDING_NAMES = frozenset("article content entry main post story".split())
+_ASIDE_NAMES = frozenset("cookie cookies footer newsletter sidebar".split())
+_OTHER_NAMES = frozenset(
+    "ad ads advert adverts advertisement advertising comment comments discussion disqus promoted "
+    "recommended related replies reply respond responses sponsored".split()
+)
+_BY_NAME, _BY_ASIDE, _FIRM = 1, 2, 3
 _SENTENCE = re.compile(r"[.!?…。]['\"»”)]*(?:\s|$)")
 
 
@@ -73,7 +86,8 @@ class Block:
 class _Open:
     name: str
     inside: bool
-    outside: bool
+    # 0, or how firmly it is marked as outside of the article.
+    outside: int
     label: int | None
 
 
@@ -114,11 +128,11 @@ class _Cutter:
         words = unescape("".join(self.parts)).split()
         if words:
             linked = len(unescape(" ".join(self.linked)).split())
-            at = self.stack[-1] if self.stack else _Open("", False, False, None)
+            at = self.stack[-1] if self.stack else _Open("", False, 0, None)
             heading = any(o.name in _HEADINGS for o in self.stack[-3:])
             item = any(o.name in ("li", "td", "th", "dt", "dd", "option") for o in self.stack[-3:])
             text = " ".join(words)
-            marks = (at.inside, at.outside, heading, item, bool(_SENTENCE.search(text)), "©" in text)
+            marks = (at.inside, at.outside > 0, heading, item, bool(_SENTENCE.search(text)), "©" in text)
             self.blocks.append(
                 Block(text, len(words), min(linked, len(words)), tuple(map(int, marks)), at.label)
             )
@@ -178,24 +192,43 @@ class _Cutter:
             return
         if name == "p":
             self.close("p", within=_BLOCKS - {"p"})
-        above = self.stack[-1] if self.stack else _Open("", False, False, None)
+        above = self.stack[-1] if self.stack else _Open("", False, 0, None)
         names: set[str] = set()
-        label = above.label
-        if rest:
-            for value in _ATTRIBUTE.findall(rest):
+        label, hidden = above.label, False
+        for key, value in _ATTRIBUTE.findall(rest) if rest else ():
+            key = key.lower()
+            if key in _NAMING:
+                value = _HAVING.sub(" ", value) if key == "class" else value
                 names |= {p.lower() for p in _PARTS.findall(value)}
-            if (at := rest.find("data-main=")) >= 0:
-                label = int(rest[at + 10] == "1")
-        outside = name in _OUTSIDE or not names.isdisjoint(_OUTSIDE_NAMES)
-        if name == "header" and not above.inside:
-            outside = True
+            elif key == "hidden":
+                hidden = True
+            elif key == "aria-hidden":
+                hidden |= value.strip("\"' ").lower() == "true"
+            elif key == "style":
+                hidden |= bool(_NO_DISPLAY.search(value))
+            elif key == "data-main":
+                label = int(value.strip("\"'") == "1")
+        other = not names.isdisjoint(_OTHER_NAMES)
+        outside = 0
+        if name in _OUTSIDE or (name == "header" and not above.inside) or other:
+            outside = _FIRM
+        elif not names.isdisjoint(_ASIDE_NAMES):
+            outside = _BY_ASIDE
+        elif not names.isdisjoint(_OUTSIDE_NAMES):
+            outside = _BY_NAME
         if name in ("article", "main", "body", "html"):
             # The whole of a page is not an advert because of a class of its body.
-            outside = False
-        if rest and _HIDDEN.search(rest):
-            outside = True
+            outside = 0
+        inherited = above.outside
+        if name in _INSIDE and not other:
+            ended = _BY_ASIDE
+        else:
+            ended = 0 if outside or names.isdisjoint(_ENDING_NAMES) else _BY_NAME
+        if inherited <= ended:
+            inherited = 0
+        outside = _FIRM if hidden else max(outside, inherited)
         inside = above.inside or name in _INSIDE or not names.isdisjoint(_INSIDE_NAMES)
-        self.stack.append(_Open(name, inside, outside or above.outside, label))
+        self.stack.append(_Open(name, inside, outside, label))
 
     def end(self, name: str) -> None:
         if name in _DROPPED:

@@ -136,4 +136,17 @@ LABELLED_PAGES = (
     <tr><td>20</td><td>litres</td></tr></table></main><aside data-main=0><p>Rope is sold by the yard in our shop.</p></aside></body>""",
     """<body><div id="entry" data-main=1><h2>Ja</h2><p>Nein.</p><p>Doch.</p><p>Ach so</p></div>
     <div class="comments" data-main=0><p>Schön.</p><p>Sehr schön geschrieben, danke dafür.</p></div></body>""",
+    # Articles in wrappers whose names speak of the layout.
+    """<body class="no-sidebar"><div id="page" class="site overflow-hidden"><div class="site-content has-sidebar"><article data-main=1>
+    <h1>The well in the yard</h1><p>It was dug by hand, and the water has been cold ever since.</p><p>Nobody fills it in.</p>
+    </article><div class="sidebar" data-main=0><p>Wells and pumps of all kinds, at our yard by the station.</p></div></div>
+    <div class="site-footer" data-main=0><p>© The Yard Page. Write to us on any day.</p></div></div></body>""",
+    """<body><div class="page-header-fixed social" aria-hidden="false"><div class="widget"><div class="entry-content" data-main=1>
+    <h2>Two kites</h2><p>The red one flew, and the blue one came down in the neighbour's pear tree.</p><p>It is still there.</p>
+    <div class="share" data-main=0>Send this on</div></div></div></div>
+    <div class="comments" data-main=0><div class="content"><p>We had a kite like that, and it went the same way.</p></div></div></body>""",
+    """<body><div class="sidebar-layout form"><main data-main=1><h1>Ice on the canal</h1><p>The locks were shut on Friday.</p>
+    <p>Skaters came from three towns, and the baker sold out before noon.</p></main></div>
+    <div class="related" data-main=0><article><p>How the canal was dug, and who paid for it in the end.</p></article></div>
+    <div hidden data-main=0><article><p>This page was moved, and you should not see this text.</p></article></div></body>""",
 )

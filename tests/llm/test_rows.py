@@ -255,6 +255,31 @@ def test_unclosed_elements_are_linear():
         assert sum(b.text == "b" for b in found) == 5_000
 
 
+@pytest.mark.parametrize(
+    ("before", "after", "stays"),
+    [
+        ('<div id="page" class="site"><div class="site-content"><article>', "</article></div></div>", True),
+        ('<div class="overflow-hidden" aria-hidden="false"><article>', "</article></div>", True),
+        ('<div class="form social tags widget"><main>', "</main></div>", True),
+        ('<div class="header-fixed"><div class="entry-content">', "</div></div>", True),
+        ('<div class="modal-open"><div id="post-12">', "</div></div>", True),
+        ('<div class="layout-sidebar"><main>', "</main></div>", True),
+        ('<div class="with-comments has-sidebar"><div class="content">', "</div></div>", True),
+        ("<div hidden><article>", "</article></div>", False),
+        ('<div style="color: red; display: none"><article>', "</article></div>", False),
+        ("<div aria-hidden=true><article>", "</article></div>", False),
+        ('<div class="comments"><article class="comment-body">', "</article></div>", False),
+        ('<div class="comments"><div class="content">', "</div></div>", False),
+        ('<div class="sidebar"><div class="content">', "</div></div>", False),
+        ("<aside><article>", "</article></aside>", False),
+    ],
+)
+def test_wrappers_do_not_decide(before, after, stays):
+    html = f"<body>{before}<h2>Oars</h2><p>{ONE}</p><p>{TWO}</p>{after}</body>"
+    expected = f"Oars\n\n{ONE}\n\n{TWO}" if stays else ""
+    assert htmltext.main_text(html, htmltext.trained_tree()) == expected
+
+
 # --- Personal data
 
 RULES = {
