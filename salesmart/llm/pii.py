@@ -20,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -114,22 +115,43 @@ _DIGIT_WORDS = {
 _DOTS = "dot|punkt|point|punto"
 _ATS = "at|arroba|ät"
 _WORD = "|".join(sorted(_DIGIT_WORDS, key=len, reverse=True))
-_TOKEN = rf"(?:(?:{_WORD}|{_DOTS}|plus)\b|[+(]?[0-9]++[).]?)"
+_OPEN, _SHUT = r"[\[({<]\s{0,3}", r"\s{0,3}[\])}>]"
+_TOKEN = rf"(?:(?:{_WORD}|{_DOTS}|plus)\b|{_OPEN}(?:\.|{_DOTS}){_SHUT}|[+(]?[0-9]++[).]?)"
 _SPELLED = re.compile(rf"(?i)(?<!\w){_TOKEN}(?:[\s,-]{{1,3}}{_TOKEN})+")
 _SPELLED_HINT = re.compile(
-    rf"(?i)\b(?:{_WORD})\b(?:[\s,-]{{1,3}}(?:{_DOTS}|plus|[0-9]++)\b){{0,2}}[\s,-]{{1,3}}(?:{_WORD})\b"
+    rf"(?i)\b(?:{_WORD})\b[\s,-]{{1,3}}(?:(?:{_WORD}|{_DOTS}|plus)\b|[\[({{<+]?\s?[0-9.]|{_OPEN}(?:{_DOTS})\b)"
+    rf"|(?:[0-9][).]?|[\])}}>]|\b(?:{_DOTS}|plus))[\s,-]{{1,3}}(?:{_WORD})\b"
 )
 _BRACKETED = re.compile(
-    rf"(?i)\s?[\[({{<]\s?(?:(?P<at>@|{_ATS})|(?P<dot>\.|{_DOTS}))\s?[\])}}>]\s?"
+    rf"(?i)\s{{0,3}}{_OPEN}(?:(?P<at>@|{_ATS})|(?P<dot>\.|{_DOTS})){_SHUT}\s{{0,3}}"
 )
 _LABEL = r"[A-Za-z0-9-]{1,63}"
+_AT_SIGN = rf"(?:@|\s{{0,3}}{_OPEN}(?:@|{_ATS}){_SHUT}\s{{0,3}}|\s{{1,3}}(?:{_ATS})\s{{1,3}})"
+_DOT_SIGN = rf"(?:\.|\s{{0,3}}{_OPEN}(?:\.|{_DOTS}){_SHUT}\s{{0,3}}|\s{{1,3}}(?:{_DOTS})\s{{1,3}})"
+# An address whose signs are plain, bracketed or said, each for itself.
 _SAID = re.compile(
-    rf"(?i)(?<![\w.-])[\w.%+-]{{1,64}}(?:\s{{1,2}}dot\s{{1,2}}[\w%+-]{{1,64}}){{0,4}}"
-    rf"\s{{1,2}}at\s{{1,2}}{_LABEL}(?:(?:\s{{1,2}}dot\s{{1,2}}|\.){_LABEL}){{0,6}}"
-    rf"\s{{1,2}}dot\s{{1,2}}[A-Za-z]{{2,24}}\b"
+    rf"(?i)(?<![\w.%+-])(?P<local>[\w%+-]{{1,64}}(?:{_DOT_SIGN}[\w%+-]{{1,64}}){{0,4}})(?P<at>{_AT_SIGN})"
+    rf"(?P<domain>{_LABEL}(?:{_DOT_SIGN}{_LABEL}){{0,6}}{_DOT_SIGN}(?P<top>[A-Za-z]{{2,24}}))\b"
+)
+_SAID_IP = re.compile(rf"(?i)(?<![\w.])[0-9]{{1,3}}(?:{_DOT_SIGN}[0-9]{{1,3}}){{3}}(?!\w)")
+_DOT = re.compile(rf"(?i){_DOT_SIGN}")
+_SAID_HINT = re.compile(
+    rf"(?i)\s(?:{_DOTS})\s|[\[({{<]\s{{0,3}}(?:[@.]|(?:{_ATS}|{_DOTS})\b)"
+    rf"|\s(?:{_ATS})\s{{1,3}}{_LABEL}\.[a-z]"
+)
+# What an address with little disguise ends in, and the words that stand
+# before "at" in prose.
+_TOPS = frozenset("com org net edu gov info biz io co eu de fr es uk ch nl pl se pt ru ca au mx ar br jp example test".split())
+_PROSE = frozenset(
+    "a about all am an and are arrive arrived as ask at available back based be been begin bought buy "
+    "call check click come contact created directly documentation documented download downloaded email "
+    "everyone file files find found free from go guide had has have he help her here him home hosted i "
+    "information is it join know learn listed live located look looked looking mail me meet more news "
+    "not now of online or order our out page pages people post posted published questions read "
+    "register registered report see seen she shop sign site sold start started staying stop store "
+    "support talk team that the them there these they this those time up update us version "
+    "visit was we website were with work worked working works write written you".split()
 )
-_SAID_SIGN = re.compile(r"(?i)\s{1,2}(at|dot)\s{1,2}")
-_SAID_HINT = re.compile(r"(?i)\sdot\s")
 _LEAST_SPELLED, _PHONE_DIGITS = 4, (10, 15)
 
 
@@ -190,11 +212,14 @@ def spelled_digits(found: Rewritten) -> list[tuple[int, int]]:
         written, spelled = [], 0
         for part in map(str.lower, parts):
             spelled += part in _DIGIT_WORDS
-            sign = "." if part in _DOTS.split("|") else "+" if part == "plus" else part
+            sign = "." if part.strip("[](){}<> \t\n") in (".", *_DOTS.split("|")) else "+" if part == "plus" else part
             written.append(_DIGIT_WORDS.get(part, sign))
-        if spelled < _LEAST_SPELLED:
-            continue
         joined = "".join(written)
+        # A few words are a disguise only if they make the whole an identifier.
+        if not spelled or spelled < _LEAST_SPELLED and not any(
+            s[1:] == (0, len(joined)) for s in find(joined)
+        ):
+            continue
         edits.append((m.start(), m.end(), joined))
         digits = _NOT_DIGIT.sub("", joined)
         if spelled >= _PHONE_DIGITS[0] and len(digits) <= _PHONE_DIGITS[1] and "." not in joined:
@@ -203,17 +228,39 @@ def spelled_digits(found: Rewritten) -> list[tuple[int, int]]:
     return phones
 
 
+def is_address(m: re.Match[str]) -> bool:
+    """Whether signs that are disguised in ``m`` stand for those of an address."""
+    at, domain = m["at"].strip().lower(), m["domain"]
+    signs = [x.strip().lower() for x in _DOT.findall(domain)]
+    if at == "@" or not at.isalpha():
+        return True
+    if any(x == "dot" or not x.isalpha() and x != "." for x in signs):
+        return True
+    # Said "at", and dots that are plain or words of prose: "look at this point".
+    if m["top"] not in _TOPS or domain.lower().startswith("www."):
+        return False
+    return at != "at" or not (m["local"].lower() in _PROSE or m.string[m.end() : m.end() + 1] == "/")
+
+
 def said_signs(found: Rewritten) -> None:
     """Writes at and dot signs in brackets, or said in words as in an address."""
+    edits = []
+    for m in _SAID.finditer(found.text):
+        if is_address(m):
+            for name in ("local", "domain"):
+                signs = _DOT.finditer(found.text, *m.span(name))
+                edits += [(x.start(), x.end(), ".") for x in signs if x[0] != "."]
+            if m["at"] != "@":
+                edits.append((*m.span("at"), "@"))
+    found.replace(sorted(edits))
+    edits = []
+    for m in _SAID_IP.finditer(found.text):
+        signs = _DOT.finditer(found.text, *m.span())
+        edits += [(x.start(), x.end(), ".") for x in signs if x[0] != "."]
+    found.replace(edits)
     found.replace(
         [(m.start(), m.end(), "@" if m["at"] else ".") for m in _BRACKETED.finditer(found.text)]
     )
-    if _SAID_HINT.search(found.text):
-        edits = []
-        for m in _SAID.finditer(found.text):
-            for sign in _SAID_SIGN.finditer(found.text, m.start(), m.end()):
-                edits.append((sign.start(), sign.end(), "@" if sign[1].lower() == "at" else "."))
-        found.replace(edits)
 
 
 def disguised(text: str, base: list[Span]) -> list[Span]:
@@ -225,19 +272,21 @@ def disguised(text: str, base: list[Span]) -> list[Span]:
     phones: list[tuple[int, int]] = []
     if spelled := _SPELLED_HINT.search(found.text):
         phones = spelled_digits(found)
-    said = _BRACKETED.search(found.text) or _SAID_HINT.search(found.text)
+    said = _SAID_HINT.search(found.text)
     if said:
         said_signs(found)
     if not (strange or spelled or said) or found.text == text:
         return []
     spans = [(kind, *found.source(a, b)) for kind, a, b in find(found.text)]
     spans += [("phone", a, b) for a, b in phones]
-    taken = {kind: [s for s in base if s[0] == kind] for kind in KINDS}
+    plain = {kind: [s[1:] for s in base if s[0] == kind] for kind in KINDS}
+    last = dict.fromkeys(KINDS, 0)
     added: list[Span] = []
     for span in ordered(spans):
         kind, start, end = span
-        if all(end <= s[1] or s[2] <= start for s in taken[kind]):
-            taken[kind].append(span)
+        before = bisect_left(plain[kind], (end, 0))
+        if start >= last[kind] and (not before or plain[kind][before - 1][1] <= start):
+            last[kind] = end
             added.append(span)
     return added
 

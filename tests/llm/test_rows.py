@@ -351,6 +351,58 @@ def test_clean_text_is_left_alone(text):
     assert pii.find(text) + pii.disguised(text, []) == []
 
 
+def found_as(text, kind):
+    before, after = "é🙂 Write to: ", " , thanks."
+    whole = before + text + after
+    assert pii.disguised(whole, pii.find(whole)) == [(kind, len(before), len(before) + len(text))]
+
+
+def test_every_mixture_of_signs():
+    ats = ("@", " at ", "   at ", " [at] ", "(at)", " { @ } ", " arroba ", " ät ")
+    dots = (".", " dot ", " dot   ", " [dot] ", "(.)", " punkt ", " punto ", " point ")
+    for at in ats:
+        for dot in dots:
+            for other in dots:
+                if (at, dot, other) != ("@", ".", ".") and not (at == "@" and dot == "."):
+                    found_as(f"jane{at}mail{dot}example{other}com", "email")
+            if (at, dot) != ("@", "."):
+                found_as(f"jane{at}example{dot}com", "email")
+                found_as(f"jane dot doe{at}example{dot}com", "email")
+
+
+@pytest.mark.parametrize(
+    ("text", "kind"),
+    [
+        ("192 dot 168 dot 1 dot 10", "ip"),
+        ("192   dot 168.1[.]10", "ip"),
+        ("192 punto 168 punkt 1 (dot) 10", "ip"),
+        ("one nine two [dot] one six eight dot 0 dot 1", "ip"),
+        ("192 dot 168 dot one dot 10", "ip"),
+        ("4111 1111 1111 1 one one one", "card"),
+        ("4111 1111 1111 111 one", "card"),
+        ("plus 1 407 555 771 zero", "phone"),
+    ],
+)
+def test_lightly_disguised(text, kind):
+    found_as(text, kind)
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "Look at this point we made, and at some point in May.",
+        "Read more at example.com, or see us at www.example.org today.",
+        "The code is hosted at example.com/code, look at it.",
+        "We arrived at noon.Then we left at one.",
+        "In 2024, one of 12 sold; version 1.2 dot 3 came at last.",
+        "Call 4111 1111 one day, two times, 3 point 5 percent.",
+        "Er kam auf den punkt, el punto de partida, un point de vue.",
+    ],
+)
+def test_clean_sentences(text):
+    assert pii.disguised(text, pii.find(text)) == []
+
+
 def test_clean_documents_are_left_alone(sample):
     found = pii.find_private(sample)
     assert found.where("n_disguised > 0").count() == 0
