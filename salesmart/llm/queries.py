@@ -16,6 +16,7 @@ from salesmart.llm import (
     packing,
     pii,
     quality,
+    repair,
     simhash,
     substring,
     tokencounts,
@@ -103,6 +104,11 @@ def op10_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).drop("k", "th")
 
 
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = repair.damage(table(spark, sf_dir, "conversations"))
+    return repair.summary(repair.repair(damaged))
+
+
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
@@ -117,6 +123,7 @@ def queries() -> dict[str, Query]:
             op8_line_dedup,
             op9_repeated_passages,
             op10_robust_outliers,
+            op11_structure_repair,
         )
     }
 
