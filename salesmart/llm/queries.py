@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from salesmart.llm import (
     ann,
+    chatformat,
     htmltext,
     linededup,
     mixing,
@@ -109,6 +110,12 @@ def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.summary(repair.repair(damaged))
 
 
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    formatted = chatformat.format_chat(given.unionByName(chatformat.probe_rows(spark)))
+    return chatformat.summary(formatted)
+
+
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
@@ -124,6 +131,7 @@ def queries() -> dict[str, Query]:
             op9_repeated_passages,
             op10_robust_outliers,
             op11_structure_repair,
+            op12_chat_format,
         )
     }
 

@@ -4,15 +4,19 @@ import hashlib
 import itertools
 import random
 import re
+import sys
 import zlib
 from collections import defaultdict
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark import cloudpickle
 
-from salesmart.llm import repair, turns
+from salesmart.llm import chatformat, repair, turns
 from salesmart.llm.queries import queries
 
+# Templates of this file travel to the tasks by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SCHEMA = "conv_id bigint, turn bigint, role string, text string, part string, rows string, n string"
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -198,3 +202,127 @@ def test_repair_query(spark):
     rows = as_rows(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
     found = queries()["op11_structure_repair"](spark, sf_dir)
     assert {r.conv_id: tuple(r[f] for f in FIELDS) for r in found.collect()} == brute_repair(rows)
+
+
+# ---- formatting
+
+
+def eos_template(conversation):
+    """Ends with a mark that moves on: history is rewritten by each turn."""
+    return "".join(f"[{r}]{t};" for r, t in conversation) + "<eos>"
+
+
+def thought_template(conversation):
+    """Thoughts of all but the last turn are dropped."""
+    drop = lambda t: re.sub("<think>.*?</think>", "", t)
+    last = len(conversation) - 1
+    return "".join(f"[{r}]{t if i == last else drop(t)};" for i, (r, t) in enumerate(conversation))
+
+
+def numbered_template(conversation):
+    """Looks back to the beginning: a turn's text depends on how many came before."""
+    return "".join(f"{i}. {r}: {t}\n" for i, (r, t) in enumerate(conversation))
+
+
+def trimmed_template(conversation):
+    return "".join(f"[{r}] {t.strip()} ;" for r, t in conversation)
+
+
+def twice_template(conversation):
+    return "".join(f"{r}: {t} / {t}\n" for r, t in conversation)
+
+
+NASTY = ["\\", "[INST", "]", "</s>", "<s>", " [/INST]", "<|end|>", "<|text|>", "<", "[", "\\INST]", " ", "x", "</", "s>", "é"]
+
+
+def test_template_is_read_back():
+    draw = random.Random(9)
+    for _ in range(3000):
+        made = [
+            (draw.choice(["user", "assistant", "system", "", "<|text|>", "a[b"]), "".join(draw.choices(NASTY, k=draw.randrange(6))))
+            for _ in range(draw.randrange(1, 5))
+        ]
+        output = chatformat.inst_template(made)
+        assert list(chatformat.read_inst(output)) == made
+        found = chatformat.render(chatformat.inst_template, made)
+        assert found["formatted"] == output and not found["rewrites"]
+        starts = [s["start"] for s in found["turns"]]
+        assert starts == sorted(starts) and all(a["end"] == b["start"] for a, b in zip(found["turns"], found["turns"][1:]))
+        learnt = [chatformat.unescape(output[s["text_start"] : s["text_end"]]) for s in found["turns"] if s["learn"]]
+        assert learnt == [t for r, t in made if r == "assistant"]
+
+
+TALK = [("system", "sys"), ("user", "hi"), ("assistant", "<think>hm</think>yes"), ("user", "so"), ("assistant", "<think>ok</think>no")]
+
+
+def learnt_texts(found):
+    return [found["formatted"][s["text_start"] : s["text_end"]] for s in found["turns"] if s["learn"]]
+
+
+def test_templates_that_rewrite_history():
+    moved = chatformat.render(eos_template, TALK)
+    # The mark moves with every turn but the first; the texts before it stand.
+    assert moved["rewrites"] == [1, 2, 3, 4]
+    assert learnt_texts(moved) == [t for r, t in TALK if r == "assistant"]
+    thoughts = chatformat.render(thought_template, TALK)
+    assert thoughts["rewrites"] == [3]
+    assert learnt_texts(thoughts) == ["<think>ok</think>no"]
+    assert chatformat.render(numbered_template, TALK)["rewrites"] == []
+    assert learnt_texts(chatformat.render(trimmed_template, [("assistant", " a b  ")])) == ["a b"]
+    assert learnt_texts(chatformat.render(twice_template, TALK)) == []
+
+
+def brute_format(rows):
+    grouped = defaultdict(list)
+    for conv, turn, role, text in [*rows, (-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]:
+        grouped[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    out = {}
+    for conv, found in grouped.items():
+        said = [r[2:] for r in sorted(found)]
+        learnt = "".join(t for r, t in said if r == "assistant")
+        sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+        out[conv] = (
+            len(said), sha("".join(f"{r}\n{t}\n" for r, t in said)), len(learnt), sha(learnt),
+            len(chatformat.inst_template(said)), 0,
+        )
+    return out
+
+
+def summarised(found):
+    return {r[0]: tuple(r[1:]) for r in found.collect()}
+
+
+@pytest.mark.parametrize("rows_, bytes_", [(128, 1 << 20), (7, 1 << 20), (3, 100), (1, 1)])
+def test_format_whole_and_in_pieces(spark, monkeypatch, rows_, bytes_):
+    monkeypatch.setattr(chatformat, "PIECE_TURNS", rows_)
+    monkeypatch.setattr(chatformat, "PIECE_BYTES", bytes_)
+    both = conversations(spark, EDGE).select("conv_id", "turn", "role", "text")
+    both = both.unionByName(chatformat.probe_rows(spark))
+    found = chatformat.format_chat(both)
+    assert summarised(chatformat.summary(found)) == brute_format(EDGE)
+    if rows_ < 128:
+        assert found.where("conv_id = 5 and not whole").count() >= 60 // 7
+    assert chatformat.format_chat(conversations(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize(
+    "template, cut", [(chatformat.inst_template, True), (eos_template, False), (thought_template, False), (numbered_template, False)]
+)
+def test_pieces_join_to_the_whole_output(spark, monkeypatch, template, cut):
+    """Templates that look far back, or rewrite, are called with whole conversations."""
+    monkeypatch.setattr(chatformat, "PIECE_TURNS", 6)
+    rows = [(1, i, ("user", "assistant")[i % 2], f"<think>t{i}</think>said {i}") for i in range(40)]
+    found = chatformat.format_chat(conversations(spark, rows), template).orderBy("part").collect()
+    assert (len(found) > 1) == cut
+    said = [r[2:] for r in rows]
+    assert "".join(r.formatted for r in found) == template(said)
+    whole = chatformat.render(template, said)
+    learnt = [r.formatted[t.text_start : t.text_end] for r in found for t in r.turns if t.learn]
+    assert learnt == learnt_texts(whole)
+    assert sum(len(r.rewrites) for r in found) == len(whole["rewrites"])
+
+
+def test_format_query(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    rows = as_rows(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    assert summarised(queries()["op12_chat_format"](spark, sf_dir)) == brute_format(rows)
