@@ -14,6 +14,7 @@ from salesmart.llm import (
     htmltext,
     linededup,
     mixing,
+    negatives,
     packing,
     pii,
     quality,
@@ -116,6 +117,12 @@ def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chatformat.summary(formatted)
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
@@ -132,6 +139,7 @@ def queries() -> dict[str, Query]:
             op10_robust_outliers,
             op11_structure_repair,
             op12_chat_format,
+            op13_hard_negatives,
         )
     }
 
