@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.schema import DATE_COLUMNS, DATE_FORMAT
+from salesmart.schema import DATE_COLUMNS, DATE_FORMAT, MONEY
 
 
 def parse_date(text: Column) -> Column:
@@ -25,6 +25,11 @@ def clean_sales(flat: DataFrame) -> DataFrame:
     )
 
 
+def money(total: Column) -> Column:
+    """A money total in the type that all of them have."""
+    return total.cast(MONEY)
+
+
 def ratio(total: Column, count: Column) -> Column:
     """total / count to 4 digits, divided as decimals so that no half is lost."""
     return (total / count).cast("decimal(28,4)").cast("double")

@@ -1,84 +1,103 @@
 """spark-submit: staged sales -> the 18 snowflake tables, as a full refresh or with the next files.
 
-Tables in a folder remember which staged files they hold: each load has a number, a list
-of its files (``load_files/load=n``) and its part of the fact (``fact_sales/load=n``),
-written last. A load that was cut off is done again with the same files and replaces its
-part, so that every sale is there once; members already stored are not added again.
+Tables in a folder are versions (see ``sinks/snapshots.py``): readers see all tables of one
+version, and a run that dies leaves the version before. A version is committed only if the
+rules of ``plans/gates.py`` hold. It notes which staged loads it holds; ``--add`` reads the
+others only, adds their new members, their sales and the sums of these sales.
 """
 
 from __future__ import annotations
 
 import argparse
+from collections.abc import Sequence
+from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
+from salesmart.operators.upsert import unseen_members
+from salesmart.plans.gates import enforce, fact_metrics
+from salesmart.plans.sums import SUMS, merged, sums_of
 from salesmart.plans.warehouse import Warehouse
-from salesmart.schema import DIMENSIONS, FLAT_COLUMNS, WAREHOUSE_TABLES
-from salesmart.session import build_session, remove_folder, scan_bytes, shared_folder, written
+from salesmart.schema import DIMENSIONS, FLAT_COLUMNS
+from salesmart.session import build_session, remove_folder, scan_bytes, shared_folder
 from salesmart.sinks.jdbc import write_postgres
-from salesmart.sinks.tables import (
-    append_dimension,
-    read_staging,
-    staged_sales,
-    write_dimension,
-    write_fact,
-)
+from salesmart.sinks.snapshots import Attempt, Snapshot, remove_old
+from salesmart.sinks.tables import fact_rows, read_staging, staged_loads
 from salesmart.sources.base import SalesSource, from_flat
 from salesmart.sources.jdbc import postgres, read_table
 
+# Note of a version: the staged loads that it holds.
+STAGED = "staged"
 
-def files_of(staging: DataFrame) -> DataFrame:
-    return staging.where("status = 'loaded'").select("source_file").distinct()
 
+def expected_of(loads: dict[str, dict], parts: Sequence[str]) -> dict[str, int | Decimal]:
+    """Rows and money that the loads have noted."""
+    noted = [loads[p] for p in parts]
+    return {
+        "rows": sum(n["rows_loaded"] for n in noted),
+        "revenue": sum((Decimal(n["revenue"]) for n in noted), Decimal(0)),
+    }
 
-def store_files(warehouse: Warehouse, target: str, files: DataFrame | None = None) -> None:
-    """Replace all tables; ``files`` are the staged files they are made of."""
-    for folder in ("fact_sales", "load_files"):
-        remove_folder(warehouse.spark, f"{target}/{folder}")
 
-    def write(name: str) -> None:
-        if name != "fact_sales":
-            write_dimension(warehouse.plan(name), f"{target}/{name}")
+def _by_year(writer):
+    return writer.partitionBy("sale_year")
 
-    if files is not None:
-        files.write.parquet(f"{target}/load_files/load=0")
-    warehouse.store(WAREHOUSE_TABLES, write)
-    write_fact(warehouse.table("keyed"), f"{target}/fact_sales/load=0")
 
-
-def next_load(spark: SparkSession, staging: DataFrame, target: str) -> tuple[int, DataFrame] | None:
-    """Number and files of the load that was cut off, or of the next one; None if no file is new."""
-    if not written(spark, f"{target}/load_files/load=0"):
+def write_sales(attempt: Attempt, warehouse: Warehouse, write) -> None:
+    """The fact and, from what was written, its sums per foreign key."""
+    write("fact_sales", fact_rows(warehouse.table("keyed")), _by_year, **fact_metrics())
+    # Six roles of very different numbers of members: one file per role or few more.
+    by_role = lambda w: w.partitionBy("role")
+    sums = sums_of(attempt.added("fact_sales")).hint("rebalance", "role")
+    if write == attempt.add:
+        attempt.add(SUMS, sums, by_role, merge=lambda s: merged(s).hint("rebalance", "role"))
+    else:
+        attempt.replace(SUMS, sums, by_role)
+
+
+def store_files(
+    warehouse: Warehouse,
+    target: str,
+    staged: Sequence[str] | None = None,
+    expected: dict[str, int | Decimal] | None = None,
+) -> Snapshot:
+    """Replace all tables at once; ``staged`` are the loads they are made of."""
+    attempt = Attempt(warehouse.spark, target, refresh=True)
+    warehouse.store(DIMENSIONS, lambda name: attempt.replace(name, warehouse.plan(name)))
+    write_sales(attempt, warehouse, attempt.replace)
+    enforce(attempt, expected)
+    if staged is not None:
+        attempt.notes[STAGED] = list(staged)
+    return attempt.commit()
+
+
+def add_files(spark: SparkSession, staging: str, target: str, work: str | None) -> Snapshot | None:
+    """Add the staged loads that the tables do not hold; None if there are none."""
+    attempt = Attempt(spark, target)
+    if STAGED not in attempt.notes:
         raise ValueError(f"{target} does not tell which files it holds: refresh it first")
-    listed = spark.read.schema("source_file string, load int").parquet(f"{target}/load_files")
-    number = listed.agg(F.max("load")).first()[0] or 0
-    if written(spark, f"{target}/fact_sales/load={number}"):
-        new = files_of(staging).join(listed, "source_file", "left_anti")
-        if new.isEmpty():
-            return None
-        number += 1
-        # The list is complete with its first row, or not there: it is one file.
-        new.coalesce(1).write.mode("overwrite").parquet(f"{target}/load_files/load={number}")
-    return number, spark.read.schema("source_file string").parquet(
-        f"{target}/load_files/load={number}"
-    )
-
-
-def add_files(spark: SparkSession, staging: str, target: str, work: str | None) -> int | None:
-    """Add the staged files that the tables do not hold; the number of the load, None without one."""
-    rows = read_staging(spark, staging)
-    found = next_load(spark, rows, target)
-    if found is None:
+    loads = staged_loads(spark, staging)
+    parts = [p for p in loads if p not in attempt.notes[STAGED]]
+    if not parts:
         return None
-    number, files = found
-    sales = rows.where("status = 'loaded'").join(files, "source_file", "left_semi")
-    warehouse = Warehouse(spark, from_flat(sales.select(*FLAT_COLUMNS), scan_bytes(rows)), work)
-    warehouse.store(
-        DIMENSIONS, lambda name: append_dimension(spark, warehouse.plan(name), f"{target}/{name}")
-    )
-    write_fact(warehouse.table("keyed"), f"{target}/fact_sales/load={number}")
-    return number
+    warehouse = Warehouse(spark, staged_source(spark, staging, parts), work)
+
+    def add(name: str) -> None:
+        members = warehouse.plan(name)
+        attempt.add(name, unseen_members(members, attempt.read(name)), merge=lambda rows: rows)
+
+    warehouse.store(DIMENSIONS, add)
+    write_sales(attempt, warehouse, attempt.add)
+    enforce(attempt, expected_of(loads, parts))
+    attempt.notes[STAGED] = [*attempt.notes[STAGED], *parts]
+    return attempt.commit()
+
+
+def refresh_files(spark: SparkSession, staging: str, target: str, work: str | None) -> Snapshot:
+    """Build all tables from all that is staged."""
+    loads = staged_loads(spark, staging)
+    warehouse = Warehouse(spark, staged_source(spark, staging, [*loads]), work)
+    return store_files(warehouse, target, [*loads], expected_of(loads, [*loads]))
 
 
 def store_postgres(warehouse: Warehouse) -> None:
@@ -87,8 +106,12 @@ def store_postgres(warehouse: Warehouse) -> None:
         write_postgres(warehouse.plan(name), store, name)
 
 
-def staged_source(spark: SparkSession, staging: str) -> SalesSource:
-    return from_flat(staged_sales(spark, staging), scan_bytes(read_staging(spark, staging)))
+def staged_source(
+    spark: SparkSession, staging: str, parts: Sequence[str] | None = None
+) -> SalesSource:
+    rows = read_staging(spark, staging, parts)
+    sales = rows.where("status = 'loaded'").select(*FLAT_COLUMNS)
+    return from_flat(sales, scan_bytes(rows))
 
 
 def main() -> None:
@@ -109,18 +132,20 @@ def main() -> None:
     work = shared and f"{shared.rstrip('/')}/_work-{spark.sparkContext.applicationId}"
     if args.add:
         add_files(spark, args.staging, args.target, work)
+    elif args.staging and args.target:
+        refresh_files(spark, args.staging, args.target, work)
     else:
-        files = None
         if args.staging:
             sales = staged_source(spark, args.staging)
-            files = files_of(read_staging(spark, args.staging))
         else:
             sales = from_flat(read_table(spark, postgres(), args.table, column="id"))
         warehouse = Warehouse(spark, sales, work)
         if args.postgres:
             store_postgres(warehouse)
         else:
-            store_files(warehouse, args.target, files)
+            store_files(warehouse, args.target)
+    if args.target:
+        remove_old(spark, args.target)
     if work:
         remove_folder(spark, work)
     spark.stop()

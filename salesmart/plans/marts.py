@@ -3,25 +3,25 @@
 Each mart first adds up the fact per foreign key, where tasks combine their
 own rows before the shuffle, and only then joins the dimension: the join meets
 one row per key, so a key that holds a large share of the sales is no hot spot.
+
+The sums per key come from the fact (``MARTS``), or from stored sums of its loads, which
+are added up (``MARTS_OF_SUMS``, see ``plans/sums.py``): then no sale is read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.functions.clean import ratio
-from salesmart.schema import MONEY
+from salesmart.functions.clean import money, ratio
+from salesmart.plans.sums import SUMS, merged
 
 Reader = Callable[[str], DataFrame]
 
 
-def money(total: Column) -> Column:
-    return total.cast(MONEY)
-
-
 def _revenue() -> Column:
     return money(F.sum("total_price"))
 
@@ -36,8 +36,8 @@ def _names(read: Reader, table: str, id_name: str, name: str) -> DataFrame:
     return read(table).select(F.col("id").alias(id_name), F.col("name").alias(name))
 
 
-def sales_by_product(read: Reader) -> DataFrame:
-    per_product = (
+def _product_sums(read: Reader) -> DataFrame:
+    return (
         read("fact_sales")
         .where("product_id is not null")
         .groupBy("product_id")
@@ -47,6 +47,9 @@ def sales_by_product(read: Reader) -> DataFrame:
             F.count("*").alias("sales"),
         )
     )
+
+
+def sales_by_product(per_product: DataFrame, read: Reader) -> DataFrame:
     products = read("dim_products").select(
         F.col("id").alias("product_id"),
         F.col("name").alias("product_name"),
@@ -71,12 +74,15 @@ def sales_by_product(read: Reader) -> DataFrame:
     )
 
 
-def sales_by_customer(read: Reader) -> DataFrame:
-    per_customer = (
+def _customer_sums(read: Reader) -> DataFrame:
+    return (
         _dated(read("fact_sales").where("customer_id is not null"), read)
         .groupBy("customer_id")
         .agg(_revenue().alias("total_spent"), F.count("total_price").alias("priced"))
     )
+
+
+def sales_by_customer(per_customer: DataFrame, read: Reader) -> DataFrame:
     customers = read("dim_customers").select(
         F.col("id").alias("customer_id"), "first_name", "last_name", "country_id"
     )
@@ -97,13 +103,16 @@ def sales_by_customer(read: Reader) -> DataFrame:
     )
 
 
-def sales_by_time(read: Reader) -> DataFrame:
-    per_day = (
+def _day_sums(read: Reader) -> DataFrame:
+    return (
         read("fact_sales")
         .where("date_id is not null")
         .groupBy("date_id")
         .agg(_revenue().alias("revenue"), F.count("*").alias("orders"))
     )
+
+
+def sales_by_time(per_day: DataFrame, read: Reader) -> DataFrame:
     days = read("dim_dates").select(
         F.col("id").alias("date_id"), F.year("date").alias("year"), F.month("date").alias("month")
     )
@@ -117,12 +126,15 @@ def sales_by_time(read: Reader) -> DataFrame:
     )
 
 
-def sales_by_store(read: Reader) -> DataFrame:
-    per_store = (
+def _store_sums(read: Reader) -> DataFrame:
+    return (
         _dated(read("fact_sales").where("store_id is not null"), read)
         .groupBy("store_id")
         .agg(_revenue().alias("total_revenue"), F.count("*").alias("orders"))
     )
+
+
+def sales_by_store(per_store: DataFrame, read: Reader) -> DataFrame:
     stores = read("dim_stores").select(
         F.col("id").alias("store_id"),
         F.col("name").alias("store_name"),
@@ -146,10 +158,10 @@ def sales_by_store(read: Reader) -> DataFrame:
     )
 
 
-def sales_by_supplier(read: Reader) -> DataFrame:
+def _supplier_sums(read: Reader) -> DataFrame:
     # The price average weighs every sale. The fact holds the price of its
     # product, so the sales need not be joined to the products for it.
-    per_supplier = (
+    return (
         read("fact_sales")
         .where("supplier_id is not null")
         .groupBy("supplier_id")
@@ -161,6 +173,9 @@ def sales_by_supplier(read: Reader) -> DataFrame:
             F.count("product_quantity").alias("counted"),
         )
     )
+
+
+def sales_by_supplier(per_supplier: DataFrame, read: Reader) -> DataFrame:
     suppliers = read("dim_suppliers").select(
         F.col("id").alias("supplier_id"), F.col("name").alias("supplier_name"), "country_id"
     )
@@ -181,13 +196,16 @@ def sales_by_supplier(read: Reader) -> DataFrame:
     )
 
 
-def product_quality(read: Reader) -> DataFrame:
-    per_product = (
+def _quality_sums(read: Reader) -> DataFrame:
+    return (
         read("fact_sales")
         .where("product_id is not null")
         .groupBy("product_id")
         .agg(F.sum("product_quantity").alias("total_quantity"), F.count("*").alias("sales"))
     )
+
+
+def product_quality(per_product: DataFrame, read: Reader) -> DataFrame:
     products = read("dim_products").select(
         F.col("id").alias("product_id"),
         F.col("name").alias("product_name"),
@@ -204,11 +222,65 @@ def product_quality(read: Reader) -> DataFrame:
     )
 
 
-MARTS: dict[str, Callable[[Reader], DataFrame]] = {
-    "sales_by_product": sales_by_product,
-    "sales_by_customer": sales_by_customer,
-    "sales_by_time": sales_by_time,
-    "sales_by_store": sales_by_store,
-    "sales_by_supplier": sales_by_supplier,
-    "product_quality": product_quality,
-}
+# Mart -> sums per key from the fact, the mart of such sums, and the same sums as columns of
+# the stored ones: foreign key, which keys count, and column -> stored column.
+_BUILT = {
+    "sales_by_product": (
+        _product_sums,
+        sales_by_product,
+        ("product_id", "sales", {"total_revenue": "revenue", "total_quantity": "quantity", "sales": "sales"}),
+    ),
+    "sales_by_customer": (
+        _customer_sums,
+        sales_by_customer,
+        ("customer_id", "dated_sales", {"total_spent": "dated_revenue", "priced": "dated_priced"}),
+    ),
+    "sales_by_time": (
+        _day_sums,
+        sales_by_time,
+        ("date_id", "sales", {"revenue": "revenue", "orders": "sales"}),
+    ),
+    "sales_by_store": (
+        _store_sums,
+        sales_by_store,
+        ("store_id", "dated_sales", {"total_revenue": "dated_revenue", "orders": "dated_sales"}),
+    ),
+    "sales_by_supplier": (
+        _supplier_sums,
+        sales_by_supplier,
+        (
+            "supplier_id",
+            "sales",
+            {
+                "total_revenue": "revenue",
+                "prices": "prices",
+                "priced": "price_count",
+                "quantity": "quantity",
+                "counted": "counted",
+            },
+        ),
+    ),
+    "product_quality": (
+        _quality_sums,
+        product_quality,
+        ("product_id", "sales", {"total_quantity": "quantity", "sales": "sales"}),
+    ),
+}
+
+
+def _of_fact(name: str, read: Reader) -> DataFrame:
+    sums, mart, _ = _BUILT[name]
+    return mart(sums(read), read)
+
+
+def _of_sums(name: str, read: Reader) -> DataFrame:
+    _, mart, (key, counts, columns) = _BUILT[name]
+    stored = merged(read(SUMS).where(F.col("role") == key)).where(F.col("id").isNotNull())
+    per_key = stored.where(F.col(counts) > 0).select(
+        F.col("id").alias(key), *(F.col(c).alias(n) for n, c in columns.items())
+    )
+    return mart(per_key, read)
+
+
+MARTS: dict[str, Callable[[Reader], DataFrame]] = {n: partial(_of_fact, n) for n in _BUILT}
+MARTS_OF_SUMS: dict[str, Callable[[Reader], DataFrame]] = {n: partial(_of_sums, n) for n in _BUILT}

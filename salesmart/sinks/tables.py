@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Sequence
+from dataclasses import asdict, dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesmart.functions.clean import money
+from salesmart.functions.keys import row_digest
 from salesmart.operators.facts import fact_sales
 from salesmart.operators.upsert import unseen_members
 from salesmart.plans.quality import bad_row_reasons
 from salesmart.schema import FLAT_COLUMNS, MART_SCHEMAS, MART_SORT_KEYS
+from salesmart.sinks.snapshots import Attempt, read_parts, snapshot
 from salesmart.sources.csv import CORRUPT, csv_files, read_sales_csv
 
 
+# Tables and the note of a staging folder.
+ROWS, FILES, LOADS = "rows", "files", "loads"
+
+
 @dataclass(frozen=True)
 class LoadAudit:
     files: int
@@ -23,30 +30,30 @@ class LoadAudit:
     rows_rejected: int
 
 
-def read_staging(spark: SparkSession, staging: str) -> DataFrame:
-    """All staged rows with ``status`` (loaded, rejected) and ``reasons``."""
-    return spark.read.parquet(staging)
+def read_staging(spark: SparkSession, staging: str, parts: Sequence[str] | None = None) -> DataFrame:
+    """All staged rows with ``status`` (loaded, rejected) and ``reasons``, or those of some loads."""
+    rows = snapshot(spark, staging).tables.get(ROWS)
+    if rows is None:
+        raise ValueError(f"nothing is staged in {staging}")
+    return read_parts(spark, staging, rows, None if parts is None else tuple(parts))
 
 
-def staged_sales(spark: SparkSession, staging: str) -> DataFrame:
+def staged_sales(spark: SparkSession, staging: str, parts: Sequence[str] | None = None) -> DataFrame:
     """The well-formed flat rows; the rejected ones are another partition and not read."""
-    return read_staging(spark, staging).where("status = 'loaded'").select(*FLAT_COLUMNS)
+    return read_staging(spark, staging, parts).where("status = 'loaded'").select(*FLAT_COLUMNS)
+
 
+def staged_loads(spark: SparkSession, staging: str) -> dict[str, dict]:
+    """What is noted of every load, by the name of its part of the staged rows."""
+    return dict(snapshot(spark, staging).notes.get(LOADS, {}))
 
-def new_files(spark: SparkSession, files: list[str], staging: str) -> list[str]:
-    """Those of the files that are not staged; names staged before stay on the executors."""
-    try:
-        staged = read_staging(spark, staging).select("source_file").distinct()
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return files
-        raise
-    # One spelling per file, as ``plain_path`` gives it; a plus sign is no space here.
-    plain = F.regexp_replace("source_file", "^file:/+", "file:/")
-    plain = F.url_decode(F.replace(plain, F.lit("+"), F.lit("%2B")))
-    listed = spark.createDataFrame([(f,) for f in files], "name string")
-    left = listed.join(staged.select(plain.alias("name")), "name", "left_anti")
-    return sorted(r.name for r in left.collect())
+
+def new_files(spark: SparkSession, files: list[str], staged: DataFrame | None) -> list[str]:
+    """Those of the files that no committed load lists; the listed names stay on the executors."""
+    if staged is None:
+        return files
+    listed = spark.createDataFrame([(f,) for f in files], "source_file string")
+    return sorted(r.source_file for r in listed.join(staged, "source_file", "left_anti").collect())
 
 
 def load_csv(spark: SparkSession, path: str, staging: str) -> LoadAudit:
@@ -54,10 +61,18 @@ def load_csv(spark: SparkSession, path: str, staging: str) -> LoadAudit:
 
     Malformed records and rows with an impossible date go to the partition
     ``status=rejected`` with their reasons and, where malformed, their text.
-    A file that is already staged is left alone, so a repeated load adds nothing.
+
+    A load is a version of the staging folder (see ``snapshots``): its rows, the names of
+    its files and a note of its counts, its money and a digest of its rows are committed
+    together. A load that dies leaves nothing that is read, and a file of a committed load
+    is left alone: to find out, only the lists of files are read, no row.
     """
     files = csv_files(spark, path)
-    files = files and new_files(spark, files, staging)
+    if not files:
+        return LoadAudit(0, 0, 0, 0)
+    attempt = Attempt(spark, staging)
+    known = attempt.read(FILES) if FILES in attempt.base.tables else None
+    files = new_files(spark, files, known)
     if not files:
         return LoadAudit(0, 0, 0, 0)
     rejected = F.size("reasons") > 0
@@ -66,44 +81,55 @@ def load_csv(spark: SparkSession, path: str, staging: str) -> LoadAudit:
         .withColumn("reasons", bad_row_reasons(CORRUPT))
         .withColumn("status", F.when(rejected, F.lit("rejected")).otherwise(F.lit("loaded")))
     )
-    seen = Observation("load")
-    counted = rows.observe(
-        seen,
-        F.count(F.lit(1)).alias("rows_read"),
-        F.count(F.when(rejected, 1)).alias("rows_rejected"),
+    attempt.add(
+        ROWS,
+        rows,
+        lambda w: w.partitionBy("status"),
+        rows_read=F.count(F.lit(1)),
+        rows_rejected=F.count(F.when(rejected, 1)),
+        revenue=money(F.sum(F.when(~rejected, F.col("sale_total_price")))),
+        digest=row_digest(*FLAT_COLUMNS),
     )
-    counted.write.mode("append").partitionBy("status").parquet(staging)
-    counts = seen.get
-    return LoadAudit(
+    attempt.add(FILES, spark.createDataFrame([(f,) for f in files], "source_file string").coalesce(1))
+    counts = attempt.observed[ROWS]
+    audit = LoadAudit(
         len(files),
         counts["rows_read"],
         counts["rows_read"] - counts["rows_rejected"],
         counts["rows_rejected"],
     )
+    (part,) = attempt.new[ROWS].parts
+    noted = {**asdict(audit), "revenue": str(counts["revenue"] or 0), "digest": str(counts["digest"] or 0)}
+    attempt.notes[LOADS] = {**attempt.notes.get(LOADS, {}), part: noted}
+    attempt.commit()
+    return audit
 
 
-def write_mart(mart: DataFrame, name: str, path: str) -> None:
-    """Replace a stored mart, its rows in the mart's sort order across and within files."""
+def mart_rows(mart: DataFrame, name: str) -> DataFrame:
+    """Rows of a mart in its sort order, across and within the files they are written to."""
     order = MART_SORT_KEYS[name]
     columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in MART_SCHEMAS[name]]
-    (
-        mart.select(*columns)
-        .repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .write.mode("overwrite")
-        .parquet(path)
-    )
+    return mart.select(*columns).repartitionByRange(*order).sortWithinPartitions(*order)
 
 
-def write_fact(keyed: DataFrame, path: str) -> None:
-    """Replace the stored fact, partitioned by sale year.
+def write_mart(mart: DataFrame, name: str, path: str) -> None:
+    """Replace a stored mart, its rows in the mart's sort order across and within files."""
+    mart_rows(mart, name).write.mode("overwrite").parquet(path)
+
+
+def fact_rows(keyed: DataFrame) -> DataFrame:
+    """The fact with its sale year, by which its files are partitioned.
 
     It is rebalanced first: AQE gives a big year several tasks and small years
     few files, instead of a file per task and year.
     """
     fact = fact_sales(keyed.withColumn("sale_year", F.year("sale_date")), extra=("sale_year",))
-    fact = fact.hint("rebalance", "sale_year")
-    fact.write.mode("overwrite").partitionBy("sale_year").parquet(path)
+    return fact.hint("rebalance", "sale_year")
+
+
+def write_fact(keyed: DataFrame, path: str) -> None:
+    """Replace the stored fact, partitioned by sale year."""
+    fact_rows(keyed).write.mode("overwrite").partitionBy("sale_year").parquet(path)
 
 
 def write_dimension(dimension: DataFrame, path: str) -> None:

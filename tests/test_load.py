@@ -1,4 +1,5 @@
 import csv
+import shutil
 from datetime import date
 from decimal import Decimal
 
@@ -222,6 +223,42 @@ def test_second_load_adds_only_new_files(spark, folder):
     assert sorted(r.id for r in staged(spark, folder).collect()) == [1, 2, 3]
 
 
+def test_a_repeated_load_reads_the_lists_of_files_only(spark, folder, monkeypatch):
+    from salesmart.sinks import tables
+    from salesmart.sinks.snapshots import Attempt
+
+    write(folder / "a.csv", {}, {"id": 2, "sale_total_price": Decimal("1.50")}, {"id": 3, "sale_date": "soon"})
+    staging = str(folder.parent / "staging")
+    load(spark, folder)
+    (note,) = tables.staged_loads(spark, staging).values()
+    assert (note["files"], note["rows_read"], note["rows_loaded"], note["rows_rejected"]) == (1, 3, 2, 1)
+    assert Decimal(note["revenue"]) == sum(r.sale_total_price for r in staged(spark, folder).collect())
+    names = FLAT_COLUMNS
+    digest = read_staging(spark, staging).agg(tables.row_digest(*names)).first()[0]
+    assert Decimal(note["digest"]) == digest
+    shutil.rmtree(folder.parent / "staging" / "rows")
+    assert load(spark, folder) == LoadAudit(0, 0, 0, 0)
+
+
+def test_a_load_that_dies_leaves_nothing(spark, folder, monkeypatch):
+    from salesmart.sinks.snapshots import Attempt
+
+    write(folder / "a.csv", {}, {"id": 2})
+    load(spark, folder)
+    write(folder / "b.csv", {"id": 3})
+
+    def dies(self):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Attempt, "commit", dies)
+        with pytest.raises(RuntimeError, match="lost"):
+            load(spark, folder)
+    assert sorted(r.id for r in staged(spark, folder).collect()) == [1, 2]
+    assert load(spark, folder) == LoadAudit(1, 1, 1, 0)
+    assert sorted(r.id for r in staged(spark, folder).collect()) == [1, 2, 3]
+
+
 def test_odd_names_are_known_the_second_time(spark, folder):
     names = ("a b", "a+b", "50%", "x%20y", "é", "[1]")
     for i, name in enumerate(names):
