@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from dataclasses import dataclass, replace
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,14 +24,70 @@ def encode(*values: Column) -> Column:
     return F.concat_ws(SEPARATOR, *parts)
 
 
+KEY_BITS = 60
+# Colliding members that are told apart by expressions in the row; beyond that keys are too short.
+MOST_SECOND_KEYS = 20_000
+
+
+def _number(digest: Column, first: int) -> Column:
+    """60 bits of a digest, from one of its hexadecimal digits on."""
+    return F.conv(F.substring(digest, first, 15), 16, 10).cast("bigint")
+
+
+@dataclass(frozen=True)
+class Keys:
+    """How keys are computed from a tuple, wherever the tuple stands.
+
+    Equal tuples get equal keys in every run: 60 bits of a digest. Of two different members of
+    a dimension with one key, all but one get a *second key* from other bits of the digest,
+    beyond the range of first keys. ``second`` lists these members, as (dimension, key, second
+    number). It is kept with the tables, so that a key that was given once stays, and is so
+    short that each row looks it up by itself: keys need no join with or without it.
+
+    ``bits`` shortens the first keys, for tests.
+    """
+
+    bits: int = KEY_BITS
+    second: tuple[tuple[str, int, int], ...] = ()
+
+    def __post_init__(self) -> None:
+        if len(self.second) > MOST_SECOND_KEYS:
+            raise ValueError(f"{len(self.second)} colliding members: keys of {self.bits} bits are too short")
+
+    def numbers(self, *values: Column) -> tuple[Column, Column]:
+        """First and second number of a tuple."""
+        digest = F.md5(encode(*values).cast("binary"))
+        return F.shiftright(_number(digest, 1), KEY_BITS - self.bits), _number(digest, 17)
+
+    def surrogate(self, dimension: str, *values: Column) -> Column:
+        first, second = self.numbers(*values)
+        own = [(key, number) for name, key, number in self.second if name == dimension]
+        if not own:
+            return first
+        # Few rows get as far as the second comparison, and only those that are listed to the third.
+        keys, numbers = (sorted({pair[i] for pair in own}) for i in (0, 1))
+        pairs = [F.struct(*(F.lit(n).cast("bigint") for n in pair)) for pair in own]
+        listed = first.isin(*keys) & second.isin(*numbers) & F.struct(first, second).isin(*pairs)
+        return F.when(listed, second + F.lit(1 << KEY_BITS)).otherwise(first)
+
+    def lookup(self, dimension: str, value: Column) -> Column:
+        """Key of a single-valued lookup; NULL refers to nothing."""
+        return F.when(value.isNotNull(), self.surrogate(dimension, value))
+
+    def extended(self, members: Iterable[tuple[str, int, int]]) -> Keys:
+        return replace(self, second=tuple(sorted({*self.second, *members})))
+
+
+PLAIN = Keys()
+
+
 def surrogate_key(*values: Column) -> Column:
     """60-bit key of a tuple: equal tuples get equal keys in every run.
 
     Because the key depends on nothing but the tuple, a foreign key is computed
     where the row stands, with no lookup join.
     """
-    digest = F.md5(encode(*values).cast("binary"))
-    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+    return PLAIN.numbers(*values)[0]
 
 
 def lookup_key(value: Column) -> Column:

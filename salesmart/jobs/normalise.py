@@ -9,25 +9,32 @@ others only, adds their new members, their sales and the sums of these sales.
 from __future__ import annotations
 
 import argparse
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from decimal import Decimal
+from itertools import count
 
 from pyspark.sql import SparkSession
 
-from salesmart.operators.upsert import unseen_members
+from salesmart.functions.keys import PLAIN, Keys
+from salesmart.operators.upsert import unseen_keys
+from salesmart.plans.collisions import from_note, noted, settled
 from salesmart.plans.gates import enforce, fact_metrics
 from salesmart.plans.sums import SUMS, merged, sums_of
 from salesmart.plans.warehouse import Warehouse
 from salesmart.schema import DIMENSIONS, FLAT_COLUMNS
 from salesmart.session import build_session, remove_folder, scan_bytes, shared_folder
 from salesmart.sinks.jdbc import write_postgres
+from salesmart.sinks.registry import IDS, register
 from salesmart.sinks.snapshots import Attempt, Snapshot, remove_old
 from salesmart.sinks.tables import fact_rows, read_staging, staged_loads
 from salesmart.sources.base import SalesSource, from_flat
 from salesmart.sources.jdbc import postgres, read_table
 
-# Note of a version: the staged loads that it holds.
-STAGED = "staged"
+# Notes of a version: the staged loads that it holds, and how its keys are computed.
+STAGED, KEYS = "staged", "keys"
+
+# A warehouse whose keys are computed in a given way.
+Make = Callable[[Keys], Warehouse]
 
 
 def expected_of(loads: dict[str, dict], parts: Sequence[str]) -> dict[str, int | Decimal]:
@@ -56,22 +63,64 @@ def write_sales(attempt: Attempt, warehouse: Warehouse, write) -> None:
 
 
 def store_files(
-    warehouse: Warehouse,
+    make: Make,
     target: str,
     staged: Sequence[str] | None = None,
     expected: dict[str, int | Decimal] | None = None,
+    ids: bool = False,
 ) -> Snapshot:
-    """Replace all tables at once; ``staged`` are the loads they are made of."""
+    """Replace all tables at once; ``staged`` are the loads they are made of.
+
+    With ``ids``, or where the target has them already, members have dense ids that stay.
+    """
+    warehouse = settled(make)
     attempt = Attempt(warehouse.spark, target, refresh=True)
-    warehouse.store(DIMENSIONS, lambda name: attempt.replace(name, warehouse.plan(name)))
+    warehouse.store(DIMENSIONS, lambda name: attempt.replace(name, warehouse.table(name)))
     write_sales(attempt, warehouse, attempt.replace)
     enforce(attempt, expected)
+    if ids or IDS in attempt.base.tables:
+        register(attempt)
     if staged is not None:
         attempt.notes[STAGED] = list(staged)
+    attempt.notes[KEYS] = noted(warehouse.source.keys)
+    return attempt.commit()
+
+
+def add_sales(
+    make: Make,
+    attempt: Attempt,
+    expected: dict[str, int | Decimal] | None = None,
+    ids: bool = False,
+) -> Snapshot:
+    """Add sales that the tables do not hold, with their members and their sums."""
+    warehouse = settled(make, from_note(attempt.notes.get(KEYS)), attempt.read)
+
+    def add(name: str) -> None:
+        unseen = unseen_keys(warehouse.table(name), attempt.read(name))
+        attempt.add(name, unseen, merge=lambda rows: rows)
+
+    warehouse.store(DIMENSIONS, add)
+    write_sales(attempt, warehouse, attempt.add)
+    enforce(attempt, expected)
+    if ids or IDS in attempt.base.tables:
+        register(attempt)
+    attempt.notes[KEYS] = noted(warehouse.source.keys)
     return attempt.commit()
 
 
-def add_files(spark: SparkSession, staging: str, target: str, work: str | None) -> Snapshot | None:
+def _staged(spark: SparkSession, staging: str, parts: Sequence[str], work: str | None) -> Make:
+    rounds = count()
+
+    def make(keys: Keys) -> Warehouse:
+        root = work and f"{work}/{next(rounds)}"
+        return Warehouse(spark, staged_source(spark, staging, parts, keys), root)
+
+    return make
+
+
+def add_files(
+    spark: SparkSession, staging: str, target: str, work: str | None, ids: bool = False
+) -> Snapshot | None:
     """Add the staged loads that the tables do not hold; None if there are none."""
     attempt = Attempt(spark, target)
     if STAGED not in attempt.notes:
@@ -80,24 +129,17 @@ def add_files(spark: SparkSession, staging: str, target: str, work: str | None)
     parts = [p for p in loads if p not in attempt.notes[STAGED]]
     if not parts:
         return None
-    warehouse = Warehouse(spark, staged_source(spark, staging, parts), work)
-
-    def add(name: str) -> None:
-        members = warehouse.plan(name)
-        attempt.add(name, unseen_members(members, attempt.read(name)), merge=lambda rows: rows)
-
-    warehouse.store(DIMENSIONS, add)
-    write_sales(attempt, warehouse, attempt.add)
-    enforce(attempt, expected_of(loads, parts))
     attempt.notes[STAGED] = [*attempt.notes[STAGED], *parts]
-    return attempt.commit()
+    return add_sales(_staged(spark, staging, parts, work), attempt, expected_of(loads, parts), ids)
 
 
-def refresh_files(spark: SparkSession, staging: str, target: str, work: str | None) -> Snapshot:
+def refresh_files(
+    spark: SparkSession, staging: str, target: str, work: str | None, ids: bool = False
+) -> Snapshot:
     """Build all tables from all that is staged."""
     loads = staged_loads(spark, staging)
-    warehouse = Warehouse(spark, staged_source(spark, staging, [*loads]), work)
-    return store_files(warehouse, target, [*loads], expected_of(loads, [*loads]))
+    parts = [*loads]
+    return store_files(_staged(spark, staging, parts, work), target, parts, expected_of(loads, parts), ids)
 
 
 def store_postgres(warehouse: Warehouse) -> None:
@@ -107,11 +149,11 @@ def store_postgres(warehouse: Warehouse) -> None:
 
 
 def staged_source(
-    spark: SparkSession, staging: str, parts: Sequence[str] | None = None
+    spark: SparkSession, staging: str, parts: Sequence[str] | None = None, keys: Keys = PLAIN
 ) -> SalesSource:
     rows = read_staging(spark, staging, parts)
     sales = rows.where("status = 'loaded'").select(*FLAT_COLUMNS)
-    return from_flat(sales, scan_bytes(rows))
+    return from_flat(sales, scan_bytes(rows), keys)
 
 
 def main() -> None:
@@ -123,6 +165,7 @@ def main() -> None:
     target.add_argument("--target", help="folder for the tables")
     target.add_argument("--postgres", action="store_true", help="write to PostgreSQL")
     parser.add_argument("--add", action="store_true", help="add the files that are not there yet")
+    parser.add_argument("--ids", action="store_true", help="number the members 1, 2, 3 ..")
     args = parser.parse_args()
     if args.add and not (args.staging and args.target):
         parser.error("--add goes from --staging to --target")
@@ -131,19 +174,22 @@ def main() -> None:
     shared = shared_folder(spark) or args.target
     work = shared and f"{shared.rstrip('/')}/_work-{spark.sparkContext.applicationId}"
     if args.add:
-        add_files(spark, args.staging, args.target, work)
+        add_files(spark, args.staging, args.target, work, args.ids)
     elif args.staging and args.target:
-        refresh_files(spark, args.staging, args.target, work)
+        refresh_files(spark, args.staging, args.target, work, args.ids)
     else:
         if args.staging:
             sales = staged_source(spark, args.staging)
         else:
             sales = from_flat(read_table(spark, postgres(), args.table, column="id"))
-        warehouse = Warehouse(spark, sales, work)
         if args.postgres:
-            store_postgres(warehouse)
+            store_postgres(Warehouse(spark, sales, work))
         else:
-            store_files(warehouse, args.target)
+            rounds = count()
+            make = lambda keys: Warehouse(
+                spark, from_flat(sales.flat, sales.input_bytes, keys), f"{work}/{next(rounds)}"
+            )
+            store_files(make, args.target, ids=args.ids)
     if args.target:
         remove_old(spark, args.target)
     if work:

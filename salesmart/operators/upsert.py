@@ -20,6 +20,15 @@ def unseen_members(members: DataFrame, stored: DataFrame) -> DataFrame:
     return members.join(known, reduce(lambda a, b: a & b, same), "left_anti")
 
 
+def unseen_keys(members: DataFrame, stored: DataFrame) -> DataFrame:
+    """Members whose key the stored dimension does not have.
+
+    For keys that no two members share (see ``plans/collisions.py``): one 8-byte column of
+    the stored side is read and compared.
+    """
+    return members.join(stored.select("id"), "id", "left_anti")
+
+
 def upsert_dimension(stored: DataFrame, members: DataFrame) -> DataFrame:
     """Stored members plus the unseen ones. Running it twice changes nothing."""
     return stored.unionByName(unseen_members(members, stored))

@@ -10,7 +10,7 @@ from threading import Lock, RLock
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.operators.dims import dimension
+from salesmart.operators.dims import dimension, numbered_dimension
 from salesmart.operators.facts import fact_sales
 from salesmart.plans.marts import MARTS
 from salesmart.schema import DIMENSIONS, ENTITIES
@@ -58,11 +58,15 @@ class Warehouse:
         if name == "fact_sales":
             return fact_sales(self.table("keyed"))
         if name in DIMENSIONS:
-            return dimension(name, self.table)
+            return dimension(name, self.table, self.source.keys)
         if name in MARTS:
             return MARTS[name](self.table)
         raise KeyError(name)
 
+    def numbered(self, name: str) -> DataFrame:
+        """A dimension's members with the numbers that their keys come from."""
+        return numbered_dimension(name, self.table, self.source.keys)
+
     def table(self, name: str) -> DataFrame:
         if self.root is None or name in NEVER_WRITTEN:
             return self.plan(name)

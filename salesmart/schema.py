@@ -240,6 +240,9 @@ ENTITY_DIMS = {
     "dim_suppliers": ("supplier", {"city_id": "city", "country_id": "country"}),
 }
 
+# Entity -> its dimension.
+DIMENSION_OF = {entity: table for table, (entity, _) in ENTITY_DIMS.items()}
+
 # Foreign key -> referenced table, per referencing table.
 FOREIGN_KEYS = {
     "fact_sales": {

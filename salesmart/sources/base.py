@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.functions.clean import clean_sales
-from salesmart.functions.keys import lookup_key, surrogate_key
-from salesmart.schema import ENTITIES, Entity
+from salesmart.functions.keys import PLAIN, Keys
+from salesmart.schema import DIMENSION_OF, ENTITIES, Entity
 
 MEASURES = {
     "source_id": "id",
@@ -43,6 +43,7 @@ class SalesSource:
     ``keyed``      one narrow row per sale: member keys, dates, measures
     ``members``    entity, keyed rows -> distinct members that occur in a sale
     ``input_bytes`` size of the files behind it, 0 if unknown
+    ``keys``       how its keys are computed
     """
 
     raw: DataFrame
@@ -50,43 +51,48 @@ class SalesSource:
     keyed: DataFrame
     members: Callable[[Entity, DataFrame], DataFrame]
     input_bytes: int
+    keys: Keys = PLAIN
 
 
 def attribute_columns(entity: Entity) -> list:
     return [F.col(c).alias(a) for a, c in entity.attributes.items()]
 
 
-def key_columns(entity: Entity) -> list:
+def key_columns(entity: Entity, keys: Keys) -> list:
     """Member key and whether a sale with these attributes has the member at all."""
     return [
-        surrogate_key(*(F.col(c) for c in entity.attributes.values())).alias(entity.key),
+        keys.surrogate(
+            DIMENSION_OF[entity.name], *(F.col(c) for c in entity.attributes.values())
+        ).alias(entity.key),
         F.col(entity.attributes[entity.anchor]).isNotNull().alias(entity.flag),
     ]
 
 
-def member_key(entity: Entity):
+def member_key(entity: Entity, keys: Keys):
     """Key of a frame that already carries the entity's attribute names."""
-    return surrogate_key(*(F.col(a) for a in entity.attributes)).alias(entity.key)
+    columns = (F.col(a) for a in entity.attributes)
+    return keys.surrogate(DIMENSION_OF[entity.name], *columns).alias(entity.key)
 
 
-def missing_key(entity: Entity, types: dict[str, str]):
+def missing_key(entity: Entity, types: dict[str, str], keys: Keys):
     """Key of the member all of whose attributes are NULL, of a sale whose owner is unknown."""
-    return surrogate_key(*(F.lit(None).cast(types[a]) for a in entity.attributes))
+    nothing = (F.lit(None).cast(types[a]) for a in entity.attributes)
+    return keys.surrogate(DIMENSION_OF[entity.name], *nothing)
 
 
-def date_key_columns() -> list:
-    return [F.col("sale_date"), lookup_key(F.col("sale_date")).alias("date_id")]
+def date_key_columns(keys: Keys) -> list:
+    return [F.col("sale_date"), keys.lookup("dim_dates", F.col("sale_date")).alias("date_id")]
 
 
-def from_flat(flat: DataFrame, input_bytes: int = 0) -> SalesSource:
+def from_flat(flat: DataFrame, input_bytes: int = 0, keys: Keys = PLAIN) -> SalesSource:
     """Source over a flat table: everything is computed from its own columns."""
     clean = clean_sales(flat)
-    keys = [c for e in ENTITIES.values() for c in key_columns(e)]
+    member_keys = [c for e in ENTITIES.values() for c in key_columns(e, keys)]
     measures = [F.col(c).alias(n) for n, c in MEASURES.items() if n != "sale_date"]
-    keyed = clean.select(*measures, *keys, *date_key_columns()).select(*KEYED_COLUMNS)
+    keyed = clean.select(*measures, *member_keys, *date_key_columns(keys)).select(*KEYED_COLUMNS)
 
     def members(entity: Entity, _keyed: DataFrame) -> DataFrame:
         members = clean.select(*attribute_columns(entity)).distinct()
-        return members.select(member_key(entity), "*")
+        return members.select(member_key(entity, keys), "*")
 
-    return SalesSource(flat.select("sale_total_price"), flat, keyed, members, input_bytes)
+    return SalesSource(flat.select("sale_total_price"), flat, keyed, members, input_bytes, keys)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.functions.clean import clean_sales
+from salesmart.functions.keys import PLAIN, Keys
 from salesmart.schema import ENTITIES, FLAT_COLUMNS, Entity
 from salesmart.sources.base import (
     KEYED_COLUMNS,
@@ -109,7 +110,7 @@ def _shape(columns: dict[str, str]) -> list:
     return [F.expr(e).alias(c) for c, e in columns.items()]
 
 
-def retail_source(spark: SparkSession, path: str) -> SalesSource:
+def retail_source(spark: SparkSession, path: str, keys: Keys = PLAIN) -> SalesSource:
     scans = {t: spark.read.parquet(f"{path}/{t}.parquet") for t in TABLES}
     read = scans.__getitem__
 
@@ -175,13 +176,13 @@ def retail_source(spark: SparkSession, path: str) -> SalesSource:
     flat = sales(orders_with(customers, WIDE), parts, suppliers, WIDE).select(*FLAT_COLUMNS)
 
     def keyed_by(frame: DataFrame, keep: list[str], *entities: str) -> DataFrame:
-        keys = [c for name in entities for c in key_columns(ENTITIES[name])]
-        return frame.select(*keep, *keys)
+        computed = [c for name in entities for c in key_columns(ENTITIES[name], keys)]
+        return frame.select(*keep, *computed)
 
     customer_keys = keyed_by(customers, ["c_custkey", "r_name"], "customer", "store")
     member_keys = [c for n in ("customer", "store") for c in (ENTITIES[n].key, ENTITIES[n].flag)]
     order_keys = clean_sales(orders_with(customer_keys, NARROW)).select(
-        "o_orderkey", *member_keys, *key_columns(ENTITIES["seller"]), *date_key_columns()
+        "o_orderkey", *member_keys, *key_columns(ENTITIES["seller"], keys), *date_key_columns(keys)
     )
     part_keys = keyed_by(clean_sales(parts), ["p_partkey", "product_price"], "product")
     supplier_keys = keyed_by(suppliers, ["s_suppkey"], "supplier")
@@ -199,7 +200,7 @@ def retail_source(spark: SparkSession, path: str) -> SalesSource:
     for name, owner in owners.items():
         entity = ENTITIES[name]
         types = dict(owner.select(*attribute_columns(entity)).dtypes)
-        unknown[entity.key] = F.coalesce(F.col(entity.key), missing_key(entity, types))
+        unknown[entity.key] = F.coalesce(F.col(entity.key), missing_key(entity, types, keys))
         unknown[entity.flag] = F.coalesce(F.col(entity.flag), F.lit(False))
     keyed = (
         sales(order_keys, part_keys, supplier_keys, NARROW)
@@ -216,8 +217,8 @@ def retail_source(spark: SparkSession, path: str) -> SalesSource:
         """
         owned = owners[entity.name].select(*attribute_columns(entity)).distinct()
         types = dict(owned.dtypes)
-        nothing = F.col(entity.key) == missing_key(entity, types)
-        owned = owned.select(member_key(entity), "*").where(~nothing)
+        nothing = F.col(entity.key) == missing_key(entity, types, keys)
+        owned = owned.select(member_key(entity, keys), "*").where(~nothing)
         sold = keyed_rows.select(entity.key).distinct()
         # The member without any attribute, if a sale refers to it.
         missing = [F.lit(None).cast(t).alias(a) for a, t in types.items()]
@@ -227,5 +228,5 @@ def retail_source(spark: SparkSession, path: str) -> SalesSource:
     raw = read("lineitem").select(
         F.expr(LINE_COLUMNS["sale_total_price"]).alias("sale_total_price")
     )
-    return SalesSource(raw, flat, keyed, members, scan_bytes(*scans.values()))
+    return SalesSource(raw, flat, keyed, members, scan_bytes(*scans.values()), keys)
 

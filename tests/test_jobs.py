@@ -276,3 +276,106 @@ def test_two_writers_of_one_version(spark, tmp_path):
     shutil.copy(tmp_path / "t" / "_snapshots" / "v000001.json", tmp_path / "t" / "_snapshots" / ".v000002.json-x")
     assert snapshots.versions(spark, folder) == [1]
     assert reader(spark, str(tmp_path / "none"), None) and snapshot(spark, str(tmp_path / "none")).version == 0
+
+
+def natural(read):
+    """Every sale with the names its keys lead to, and the marts without their keys."""
+    names = {
+        "customer_id": ("dim_customers", ["first_name", "age", "email"]),
+        "product_id": ("dim_products", ["name", "price", "weight"]),
+        "store_id": ("dim_stores", ["name", "location"]),
+        "supplier_id": ("dim_suppliers", ["name", "email"]),
+        "seller_id": ("dim_sellers", ["first_name", "email"]),
+        "date_id": ("dim_dates", ["date"]),
+    }
+    sales = read("fact_sales")
+    for key, (table, columns) in names.items():
+        named = read(table).select(F.col("id").alias(key), *(F.col(c).alias(f"{key}_{c}") for c in columns))
+        sales = sales.join(named, key, "left")
+    cities = read("dim_cities").select(F.col("id").alias("city_id"), F.col("name").alias("city"))
+    stores = read("dim_stores").join(cities, "city_id", "left").select("name", "location", "city")
+    return {"sales": rows(sales.drop(*names, "sale_year")), "stores": rows(stores)}
+
+
+@pytest.mark.parametrize("bits", [5, 12])
+def test_members_that_share_a_key_are_told_apart(spark, lake, monkeypatch, bits):
+    """With keys of a few bits nearly all members collide, in the first load and with stored ones."""
+    from salesmart.functions.keys import Keys
+    from salesmart.plans import collisions
+
+    def sales(first):
+        return [
+            {"id": i, "customer_email": f"c{i % 17}@example.com", "customer_country": f"Land {i % 9}",
+             "product_name": f"p{i % 23}", "product_brand": f"b{i % 5}", "store_name": f"s{i % 7}",
+             "store_city": f"Town {i % 11}", "supplier_name": f"u{i % 13}", "sale_date": f"01/{1 + i % 28:02d}/2021"}
+            for i in range(first, first + 40)
+        ]
+
+    def run(short):
+        lake.tables, lake.marts = (f"{lake.staging}-{short}-{x}" for x in "tm")
+        with monkeypatch.context() as patch:
+            if short:
+                patch.setattr(normalise, "settled", lambda make, keys=None, stored=None: collisions.settled(
+                    make, keys if keys and keys.second else Keys(bits), stored))
+            lake.refresh()
+            first = lake.stored()
+            lake.load(f"b{short}.csv", *sales(30))
+            added = lake.add()
+        marts.store_files(spark, lake.tables, lake.marts)
+        read = reader(spark, lake.tables)
+        # What was stored keeps its keys.
+        for table in DIMENSIONS:
+            assert set(first[table]) <= set(rows(read(table)))
+        found = natural(read)
+        for mart in MARTS:
+            named = reader(spark, lake.marts)(mart)
+            found[mart] = rows(named.drop(*(c for c in named.columns if c.endswith("_id"))))
+        return found, added
+
+    lake.load("a.csv", *sales(0))
+    plain, _ = run(0)
+    shutil.rmtree(lake.staging)
+    (lake.inbox / "b0.csv").unlink()
+    lake.load("a.csv", *sales(0))
+    short, added = run(bits)
+    assert short == plain
+    keys = added.notes["keys"]
+    assert keys["bits"] == bits and len(keys["second"]) > (30 if bits == 5 else 0)
+    source = lake.rebuilt
+    joins = [
+        normalise.staged_source(spark, lake.staging, None, collisions.from_note(keys)).keyed,
+        normalise.staged_source(spark, lake.staging).keyed,
+    ]
+    assert source and not any("Join" in j._jdf.queryExecution().executedPlan().toString() for j in joins)
+
+
+def test_dense_ids_stay(spark, lake):
+    from salesmart.sinks.registry import IDS, dense_reader
+
+    lake.load("a.csv", *({"id": i, "product_name": f"p{i}"} for i in range(5)))
+    refresh_files(spark, lake.staging, lake.tables, lake.work(), ids=True)
+    seen = []
+
+    def ids():
+        found = reader(spark, lake.tables)(IDS).where("dimension = 'dim_products'").collect()
+        numbers = {r.id: r.dense_id for r in found}
+        assert sorted(numbers.values()) == list(range(1, len(found) + 1))
+        for before in seen:
+            assert before.items() <= numbers.items()
+        seen.append(numbers)
+        return numbers
+
+    assert len(ids()) == 5
+    for i in (1, 2):
+        lake.load(f"b{i}.csv", *({"id": 10 * i + j, "product_name": f"p{j + 3 * i}"} for j in range(5)))
+        lake.add()
+        assert len(ids()) == 5 + 3 * i
+    again = seen[-1]
+    lake.refresh()
+    assert ids() == again
+    read, dense = reader(spark, lake.tables), dense_reader(reader(spark, lake.tables))
+    assert sorted(r.id for r in dense("dim_products").collect()) == list(range(1, 12))
+    by_name = {r.id: r.name for r in dense("dim_products").collect()}
+    by_key = {r.id: r.name for r in read("dim_products").collect()}
+    named = sorted((r.source_id, by_name[r.product_id]) for r in dense("fact_sales").collect())
+    assert named == sorted((r.source_id, by_key[r.product_id]) for r in read("fact_sales").collect())
