@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import sys
+import warnings
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
+from itertools import count
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,13 +15,18 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import oracle_queries  # noqa: E402
-from salesmart.functions.clean import parse_date  # noqa: E402
+from salesmart.functions.clean import money, parse_date  # noqa: E402
+from salesmart.functions.keys import Keys  # noqa: E402
+from salesmart.jobs.normalise import store_files  # noqa: E402
 from salesmart.operators.dense import dense_ids, with_dense_keys  # noqa: E402
 from salesmart.operators.distinct import first_per_key, union_distinct  # noqa: E402
 from salesmart.operators.facts import fact_sales_by_lookup  # noqa: E402
 from salesmart.operators.upsert import unseen_members  # noqa: E402
+from salesmart.plans.collisions import settled  # noqa: E402
+from salesmart.plans.digests import dq_digest  # noqa: E402
 from salesmart.plans.feed import unpad, write_feed  # noqa: E402
-from salesmart.plans.marts import MARTS, money  # noqa: E402
+from salesmart.plans.lake import grown, of_loads, stopped_refresh  # noqa: E402
+from salesmart.plans.marts import MARTS, MARTS_OF_SUMS  # noqa: E402
 from salesmart.plans.quality import CHECKS, dq_bad_rows  # noqa: E402
 from salesmart.plans.reports import REPORTS  # noqa: E402
 from salesmart.plans.warehouse import Warehouse, shared_warehouse  # noqa: E402
@@ -27,11 +34,15 @@ from salesmart.schema import (  # noqa: E402
     DATE_COLUMNS,
     ENTITIES,
     FOREIGN_KEYS,
+    MONEY,
     PET_ATTRIBUTES,
     WAREHOUSE_TABLES,
 )
 from salesmart.session import SETTINGS  # noqa: E402
+from salesmart.sinks.changes import EXPORT_KEYS, applied, changes  # noqa: E402
 from salesmart.sinks.export import EXPORTS  # noqa: E402
+from salesmart.sinks.registry import IDS  # noqa: E402
+from salesmart.sinks.snapshots import reader  # noqa: E402
 from salesmart.sinks.tables import (  # noqa: E402
     LoadAudit,
     load_csv,
@@ -40,19 +51,38 @@ from salesmart.sinks.tables import (  # noqa: E402
     write_fact,
     write_mart,
 )
+from salesmart.sources.base import from_flat  # noqa: E402
 from salesmart.sources.retail import retail_source  # noqa: E402
 
 # The corpus operators and their pipeline are optional: without their folder the rest works.
 try:
     import corpus_pipeline
     import salesmart.llm.queries as llm_queries
-except ModuleNotFoundError as missing:
-    if not (missing.name or "").startswith(("corpus_pipeline", "salesmart.llm")):
-        raise
+except ImportError as missing:
+    # Their folder, or a package that only they need: the sales queries do without.
+    warnings.warn(f"no corpus queries: {missing}", stacklevel=1)
     llm_queries = corpus_pipeline = None
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Mart -> its row key, revenue and quantity, for results that hold all marts.
+MART_SHAPES = {
+    "sales_by_product": ("product_id", "total_revenue", "total_quantity"),
+    "sales_by_customer": ("customer_id", "total_spent", "null"),
+    "sales_by_time": ("year * 100 + month", "total_revenue", "total_orders"),
+    "sales_by_store": ("store_id", "total_revenue", "null"),
+    "sales_by_supplier": ("supplier_id", "total_revenue", "null"),
+    "product_quality": ("product_id", "null", "total_quantity"),
+}
+# Mart -> columns that do not come from keys.
+NAMED_MARTS = {
+    "sales_by_product": ("product_name", "category", "total_revenue", "total_quantity"),
+    "sales_by_customer": ("customer_name", "country", "total_spent", "avg_order_value"),
+    "sales_by_store": ("store_name", "city", "country", "total_revenue"),
+}
+NUMBERED = ("dim_customers", "dim_products", "dim_dates")
+SHORT_BITS = 16
+
 _SKEW = "spark.sql.adaptive.forceOptimizeSkewedJoin"
 
 
@@ -202,6 +232,110 @@ def _write_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return yearly.agg(F.count("*").alias("row_count"), money(F.sum("total_price")).alias("revenue"))
 
 
+_LAKES: dict[tuple[str, str], str] = {}
+
+
+def _lake(spark: SparkSession, sf_dir: str) -> str:
+    """Tables after a refresh and two loads that were added, with dense ids."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LAKES:
+        folder = _stored(spark, sf_dir, "lake")
+        grown(_warehouse(spark, sf_dir), folder)
+        _LAKES[key] = folder
+    return _LAKES[key]
+
+
+def _refresh_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per table after a refresh, one that stopped half-way, and one with all sales."""
+    folder, warehouse = _stored(spark, sf_dir, "refreshed"), _warehouse(spark, sf_dir)
+    store_files(of_loads(warehouse, 1), folder)
+    stopped_refresh(spark, folder, warehouse.table("dim_countries").limit(1))
+    version = store_files(of_loads(warehouse, 1, 2, 3), folder).version
+    read = reader(spark, folder)
+    counts = [
+        read(t).agg(F.lit(t).alias("table_name"), F.count("*").alias("row_count"))
+        for t in WAREHOUSE_TABLES
+    ]
+    return reduce(DataFrame.unionByName, counts).withColumn("versions", F.lit(version))
+
+
+def _marts_of(read, marts) -> DataFrame:
+    """All rows of all marts in one shape."""
+    parts = []
+    for mart, (key, revenue, quantity) in MART_SHAPES.items():
+        columns = {"row_key": (key, "bigint"), "revenue": (revenue, MONEY), "quantity": (quantity, "bigint")}
+        parts.append(
+            marts[mart](read).select(
+                F.lit(mart).alias("mart"),
+                *(F.expr(e).cast(t).alias(n) for n, (e, t) in columns.items()),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _marts_after_add(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Marts made of the sums that three loads have left."""
+    return _marts_of(reader(spark, _lake(spark, sf_dir)), MARTS_OF_SUMS)
+
+
+def _dense_ids_after_add(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of customers, products and days after three loads, each as it was given first."""
+    found = reader(spark, _lake(spark, sf_dir))(IDS)
+    return found.where(F.col("dimension").isin(*NUMBERED))
+
+
+def _keys_with_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The marts without their ids, from tables whose keys are so short that members share them."""
+    root = _stored(spark, sf_dir, "short")
+    rounds = count()
+
+    def make(keys: Keys) -> Warehouse:
+        source = retail_source(spark, sf_dir, keys)
+        return Warehouse(spark, source, f"{root}/{next(rounds)}")
+
+    read = settled(make, Keys(bits=SHORT_BITS)).table
+    parts = [
+        MARTS[mart](read).select(F.lit(mart).alias("mart"), *columns)
+        for mart, columns in NAMED_MARTS.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _dq_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All tables against those made row by row from the flat sales; in the stored fact the
+    first and the last sale have each other's customer."""
+    warehouse = _warehouse(spark, sf_dir)
+    read = warehouse.table
+    by_row = Warehouse(spark, from_flat(warehouse.plan("flat")), _stored(spark, sf_dir, "by_row"))
+    ends = read("fact_sales").agg(
+        *(f("source_id").alias(n) for f, n in ((F.min, "first"), (F.max, "last"))),
+        F.min_by("customer_id", "source_id").alias("of_first"),
+        F.max_by("customer_id", "source_id").alias("of_last"),
+    ).first()
+    swapped = (
+        F.when(F.col("source_id") == ends["first"], F.lit(ends["of_last"]))
+        .when(F.col("source_id") == ends["last"], F.lit(ends["of_first"]))
+        .otherwise(F.col("customer_id"))
+    )
+
+    def stored(name: str) -> DataFrame:
+        rows = read(name)
+        return rows.withColumn("customer_id", swapped) if name == "fact_sales" else rows
+
+    return dq_digest(by_row.table, stored)
+
+
+def _export_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The key-value export of the first load's marts, with the changes up to the last load made."""
+    folder = _lake(spark, sf_dir)
+    old, new = (
+        EXPORTS["export_kv"](lambda mart, read=reader(spark, folder, version): MARTS_OF_SUMS[mart](read))
+        for version in (1, 3)
+    )
+    key = EXPORT_KEYS["export_kv"]
+    return applied(old, changes(old, new, key), key)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Revenue by product category."""
     return _report(REPORTS["revenue_by_category"], spark, "/root/testdata/sf0.001")
@@ -221,6 +355,12 @@ def queries() -> dict[str, Query]:
         "fact_sales_dense": _fact_sales_dense,
         "fact_sales_by_lookup": _fact_sales_by_lookup,
         "dq_bad_rows": _bad_rows,
+        "refresh_snapshot": _refresh_snapshot,
+        "marts_after_add": _marts_after_add,
+        "dense_ids_after_add": _dense_ids_after_add,
+        "keys_with_collisions": _keys_with_collisions,
+        "dq_digest": _dq_digest,
+        "export_changes": _export_changes,
     }
     referring = [t for t in FOREIGN_KEYS if t != "fact_sales"]
     named |= {f"{t}_dense": partial(_dim_dense, t) for t in referring}

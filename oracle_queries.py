@@ -742,6 +742,74 @@ def _keys() -> dict[str, str]:
     }
 
 
+def _loads() -> dict[str, str]:
+    """Tables that grew by loads must equal those made at once."""
+    tables = {**DIMS, "fact_sales": FACT}
+    counts = " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS row_count, 2 AS versions FROM ({sql})"
+        for t, sql in tables.items()
+    )
+    shapes = {
+        "sales_by_product": ("product_id", "total_revenue", "total_quantity"),
+        "sales_by_customer": ("customer_id", "total_spent", "NULL"),
+        "sales_by_time": ("cast(year AS bigint) * 100 + month", "total_revenue", "total_orders"),
+        "sales_by_store": ("store_id", "total_revenue", "NULL"),
+        "sales_by_supplier": ("supplier_id", "total_revenue", "NULL"),
+        "product_quality": ("product_id", "NULL", "total_quantity"),
+    }
+    all_marts = " UNION ALL ".join(
+        f"SELECT '{m}' AS mart, {k} AS row_key, cast({r} AS {MONEY}) AS revenue, "
+        f"cast({q} AS bigint) AS quantity FROM {m}"
+        for m, (k, r, q) in shapes.items()
+    )
+    named = " UNION ALL BY NAME ".join(
+        (
+            "SELECT 'sales_by_product' AS mart, product_name, category, total_revenue, "
+            "total_quantity FROM sales_by_product",
+            "SELECT 'sales_by_customer' AS mart, customer_name, country, total_spent, "
+            "avg_order_value FROM sales_by_customer",
+            "SELECT 'sales_by_store' AS mart, store_name, city, country, total_revenue "
+            "FROM sales_by_store",
+        )
+    )
+    load = """CASE WHEN sale_day < date '1997-01-01' THEN 1
+         WHEN sale_day < date '1999-01-01' THEN 2 ELSE 3 END"""
+    members = " UNION ALL ".join(
+        [
+            f"SELECT 'dim_customers' AS dimension, customer_key AS id, {load} AS n FROM keys",
+            f"SELECT 'dim_products', product_key, {load} FROM keys",
+            *(
+                f"SELECT 'dim_dates', {lookup(day_)}, {load} FROM keys WHERE {day_} IS NOT NULL"
+                for day_ in ("sale_day", "release_day", "expiry_day")
+            ),
+        ]
+    )
+    numbered = f"""SELECT dimension, id,
+         row_number() OVER (PARTITION BY dimension ORDER BY min(n), id) AS dense_id
+  FROM ({members}) GROUP BY dimension, id"""
+    digests = " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS wanted_rows, count(*) AS stored_rows, "
+        "0 AS differing_rows, cast(NULL AS bigint) AS first_key, cast(NULL AS bigint) AS last_key "
+        f"FROM ({sql})"
+        for t, sql in DIMS.items()
+    )
+    swapped = f"""SELECT 'fact_sales' AS table_name, count(*) AS wanted_rows,
+         count(*) AS stored_rows,
+         CASE WHEN min_by(coalesce(customer_id, 0), source_id)
+                   <> max_by(coalesce(customer_id, 0), source_id) THEN 2 ELSE 0 END AS differing_rows,
+         min(source_id) AS first_key, max(source_id) AS last_key
+  FROM ({FACT})"""
+    marts = [mart(m) for m in MARTS]
+    return {
+        "refresh_snapshot": _with(*SALES) + counts,
+        "marts_after_add": _with(*SALES, *marts) + all_marts,
+        "keys_with_collisions": _with(*SALES, *marts) + named,
+        "dense_ids_after_add": _with(*SALES) + numbered,
+        "dq_digest": _with(*SALES) + f"{digests} UNION ALL {swapped}",
+        "export_changes": _exports()["export_kv"],
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     queries = {"src_flat": _with(FLAT) + "SELECT * FROM flat"}
     queries |= _load()
@@ -753,4 +821,5 @@ def oracle_sql() -> dict[str, str]:
         queries[name] = _with(*SALES, *(mart(m) for m in marts)) + sql
     queries |= _quality()
     queries |= _exports()
+    queries |= _loads()
     return queries

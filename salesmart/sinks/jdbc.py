@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -129,15 +129,50 @@ def without_nulls(frame: DataFrame) -> DataFrame:
     )
 
 
+def next_table(mart: str) -> str:
+    return f"{mart}__next"
+
+
+def exchange_statements(mart: str) -> list[str]:
+    """Put the new rows in the mart's place at once, and drop the old ones."""
+    after = next_table(mart)
+    return [
+        clickhouse_ddl(mart),
+        f"EXCHANGE TABLES {mart} AND {after}",
+        f"DROP TABLE {after}",
+    ]
+
+
+def run_statements(spark: SparkSession, store: JdbcStore, statements: list[str]) -> None:
+    """Run SQL by the driver's own connection; no rows go through it."""
+    jvm = spark._jvm
+    jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(store.options["driver"])
+    properties = jvm.java.util.Properties()
+    for name in ("user", "password"):
+        if name in store.options:
+            properties.setProperty(name, store.options[name])
+    connection = jvm.java.sql.DriverManager.getConnection(store.url, properties)
+    try:
+        statement = connection.createStatement()
+        for text in statements:
+            statement.execute(text)
+    finally:
+        connection.close()
+
+
 def write_clickhouse(
     frame: DataFrame, store: JdbcStore, mart: str, connections: int = 16, batch: int = 100_000
 ) -> None:
-    """Replace a mart. Spark knows no dialect of ClickHouse, so it can't empty the
-    table: it is dropped and made anew, with Spark's column types and this engine.
-    Between the two steps readers find no table."""
-    options = write_options(store, mart, connections, batch)
+    """Replace a mart without a moment in which readers find no table or half of one.
+
+    The rows go to a second table, which is made anew with Spark's column types and this
+    engine; then the two change names. A run that dies leaves the mart as it was, and its
+    second table is replaced by the next run.
+    """
+    options = write_options(store, next_table(mart), connections, batch)
     options["createTableOptions"] = (
         f"ENGINE = MergeTree() ORDER BY ({', '.join(MART_SORT_KEYS[mart])})"
     )
     dealt = without_nulls(frame).repartition(connections)
     dealt.write.format("jdbc").options(**options).mode("overwrite").save()
+    run_statements(frame.sparkSession, store, exchange_statements(mart))

@@ -5,8 +5,8 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from salesmart.schema import FOREIGN_KEYS, MART_SCHEMAS, MART_SORT_KEYS, WAREHOUSE_TABLES
-from salesmart.sinks import export
+from salesmart.schema import ENTITIES, FOREIGN_KEYS, MART_SCHEMAS, MART_SORT_KEYS, WAREHOUSE_TABLES
+from salesmart.sinks import export, jdbc
 from salesmart.sinks.jdbc import (
     clickhouse_ddl,
     postgres_column_types,
@@ -19,7 +19,14 @@ from salesmart.sinks.jdbc import (
 )
 from salesmart.sinks.tables import append_dimension, write_fact, write_mart
 from salesmart.session import BYTES_PER_PARTITION, initial_partitions, sized_side
-from salesmart.sources.jdbc import clickhouse, partition_options, postgres
+from salesmart.sources.jdbc import (
+    bucket_query,
+    clickhouse,
+    counted_ranges,
+    partition_options,
+    postgres,
+    range_predicates,
+)
 
 
 def test_mart_is_replaced_and_sorted(spark, warehouse, tmp_path):
@@ -113,8 +120,14 @@ def test_postgres_write_empties_with_references(warehouse, monkeypatch):
     assert (seen["truncate"], seen["cascadeTruncate"]) == ("true", "true")
     assert seen["dbtable"] == "public.dim_countries"
     seen.clear()
+    ran = []
+    monkeypatch.setattr(jdbc, "run_statements", lambda spark, store, statements: ran.extend(statements))
     write_clickhouse(warehouse({}).plan("sales_by_time"), clickhouse({}), "sales_by_time")
     assert "truncate" not in seen and "MergeTree" in seen["createTableOptions"]
+    # The mart itself is only touched by the exchange of names.
+    assert seen["dbtable"] == "sales_by_time__next"
+    assert ran[0].startswith("CREATE TABLE IF NOT EXISTS sales_by_time (")
+    assert ran[1:] == ["EXCHANGE TABLES sales_by_time AND sales_by_time__next", "DROP TABLE sales_by_time__next"]
 
 
 def test_clickhouse_options():
@@ -134,6 +147,104 @@ def test_partitioned_read_options():
         partition_options("id", 5, 1, 4)
 
 
+IDS = {
+    "even": range(10_000),
+    "one stretch": [*range(500), *range(10**12, 10**12 + 9_500)],
+    "growing gaps": [i**3 for i in range(-2_000, 2_000)],
+    "one id": [7],
+    "two far": [-(2**40), 2**40],
+    "repeated": [*([5] * 3_000), *range(6, 1_006)],
+}
+
+
+@pytest.mark.parametrize("name", IDS)
+def test_reads_are_split_by_counted_rows(spark, name):
+    ids = list(IDS[name])
+    asked = []
+
+    def count(first, width, end):
+        asked.append(width)
+        found = {}
+        for i in ids:
+            if first <= i < end:
+                found[(i - first) // width] = found.get((i - first) // width, 0) + 1
+        return found
+
+    partitions = 8
+    most = max(1, len(ids) // (4 * partitions))
+    ranges = counted_ranges(count, min(ids), max(ids), most)
+    assert sum(n for _, _, n in ranges) == len(ids)
+    predicates = range_predicates("id", ranges, partitions)
+    assert len(predicates) <= partitions
+    frame = spark.createDataFrame([(i,) for i in [*ids, None, min(ids) - 5, max(ids) + 5]], "id bigint")
+    held = [frame.where(p) for p in predicates]
+    sizes = [h.count() for h in held]
+    assert sum(sizes) == len(ids) + 3
+    assert rows(frame) == sorted((r for h in held for r in rows(h)), key=repr)
+    if name not in ("repeated", "one id", "two far"):
+        # Even ranges between smallest and largest would give most rows to one connection.
+        assert max(sizes) <= 1.5 * len(ids) / partitions
+    assert len(asked) < 200
+
+
+def test_buckets_are_counted_by_the_database():
+    query = bucket_query("t", "id", -5, 10, 100)
+    assert query == (
+        "(select floor((id - -5) / 10.0) as bucket, count(*) as n from t "
+        "where id >= -5 and id < 100 group by floor((id - -5) / 10.0)) as buckets"
+    )
+
+
+def test_files_of_the_fact_are_narrow_in_three_columns(spark, tmp_path):
+    """Part of the pieces of files that a filter on one value has to read, by their statistics."""
+    import pyarrow.parquet as pq
+
+    from salesmart.functions.keys import surrogate_key
+    from salesmart.sinks.tables import fact_rows
+
+    number = F.col("id")
+    keyed = spark.range(60_000).select(
+        number.alias("source_id"),
+        *(surrogate_key(F.lit(c), F.pmod(F.xxhash64(number, F.lit(c)), F.lit(n))).alias(f"{c}_key")
+          for c, n in (("customer", 999), ("seller", 5), ("product", 2000), ("store", 125), ("supplier", 100))),
+        *(F.lit(True).alias(f"{c}_flag") for c in ("customer", "seller", "product", "store", "supplier")),
+        F.date_add(F.lit("2020-01-01").cast("date"), F.pmod(F.xxhash64(number), F.lit(366)).cast("int")).alias("sale_date"),
+        *(F.lit(1).alias(c) for c in ("date_id", "product_quantity", "product_price", "sale_quantity", "total_price")),
+    )
+    names = {e.key: f"{e.name}_key" for e in ENTITIES.values()} | {e.flag: f"{e.name}_flag" for e in ENTITIES.values()}
+    keyed = keyed.withColumnsRenamed({v: k for k, v in names.items()})
+    small = {"parquet.block.size": "16384", "parquet.page.size.row.check.min": "50", "parquet.block.size.row.check.min": "100",
+             "parquet.block.size.row.check.max": "100", "parquet.enable.dictionary": "false"}
+
+    def share(frame, folder):
+        frame.write.options(**small).partitionBy("sale_year").parquet(str(tmp_path / folder))
+        groups = [
+            pq.ParquetFile(f).metadata.row_group(g)
+            for f in (tmp_path / folder).rglob("*.parquet")
+            for g in range(pq.ParquetFile(f).num_row_groups)
+        ]
+        assert len(groups) >= 100
+        found = {}
+        for column in ("sale_date", "product_id", "store_id"):
+            limits = [
+                (c.statistics.min, c.statistics.max)
+                for g in groups
+                for c in (g.column(i) for i in range(g.num_columns))
+                if c.path_in_schema == column
+            ]
+            values = [r[0] for r in frame.select(column).distinct().limit(100).collect()]
+            reads = [sum(a <= v <= b for a, b in limits) / len(limits) for v in values]
+            found[column] = sum(reads) / len(reads)
+        return found
+
+    ordered = fact_rows(keyed)
+    clustered = share(ordered, "clustered")
+    by_chance = ordered.withColumn("chance", F.xxhash64("source_id")).repartitionByRange(4, "chance")
+    plain = share(by_chance.sortWithinPartitions("sale_year", "chance").drop("chance"), "plain")
+    assert all(v > 0.9 for v in plain.values()), plain
+    assert all(v < 0.35 for v in clustered.values()), clustered
+
+
 def test_target_table_definitions(warehouse):
     assert postgres_table("dim_product_materials") == "public.dim_product_verbose"
     assert postgres_table("dim_cities") == "public.dim_cities"
