@@ -13,9 +13,11 @@ table if its file is below the session's limit, else it splits hot sources.
 
 Cases: NULL source is a source of its own; a text counts one character at least,
 so that sources of empty texts can be repeated too; sources without a weight get
-weight 0 where weights are given; rows with the same doc_id are repeated
-equally often; an empty table gives no rows; other columns are kept, those
-named copy and shuffle_key are replaced.
+weight 0 where weights are given; a document without doc_id is known by its text's
+hash; rows with the same doc_id, or without one and of the same text, are repeated
+equally often, and ties in shuffle_key come in the order of doc_id and copy; empty and very
+long texts are copied like others, and count by their characters; an empty table gives no
+rows; other columns are kept, those named copy and shuffle_key are replaced.
 """
 
 from __future__ import annotations
@@ -90,7 +92,8 @@ def mix(
     )
     table = table.withColumnsRenamed({"part_count": "_llm_parts", "cdf": "_llm_cdf"})
     joined = docs.join(table, F.col("source").eqNullSafe(F.col("_llm_source")))
-    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))
+    text_hash = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    name = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), text_hash))
     joined = joined.withColumn("_llm_name", name)
     count = F.aggregate(
         F.transform(
@@ -111,4 +114,6 @@ def mix(
     key = unit(F.lit(f"{seed}:k"), F.col("copy").cast("string"), F.col("_llm_name"))
     copies = copies.withColumn("shuffle_key", key)
     copies = copies.drop("_llm_source", "_llm_parts", "_llm_cdf", "_llm_name", "_llm_n")
-    return copies.repartition("shuffle_key").sortWithinPartitions("shuffle_key", "doc_id", "copy")
+    # Rows that share an id, and so their keys, are told apart by their texts.
+    dealt = copies.repartition("shuffle_key", F.xxhash64("text"))
+    return dealt.sortWithinPartitions("shuffle_key", "doc_id", "copy")

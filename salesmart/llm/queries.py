@@ -149,8 +149,11 @@ def oracle_sql() -> dict[str, str]:
 
 
 OP7 = f"""
-with size as (select source, sum(greatest(length(coalesce(text, '')), 1)) as chars
-              from documents group by source),
+with doc as materialized (
+    select doc_id, lang, source, text, row_number() over () as r,
+           coalesce(doc_id::varchar, 'text ' || md5(coalesce(text, ''))) as name from documents),
+size as (select source, sum(greatest(length(coalesce(text, '')), 1)) as chars
+         from doc group by source),
 rate as (select source,
                 1.0 / (select count(*) from size)
                 * (select sum(chars) from size)::double / chars as rate from size),
@@ -161,16 +164,17 @@ term as (select source, parts, j,
 cdf as (select source, parts, j,
                sum(p) over (partition by source order by j rows unbounded preceding) as c
         from term),
-draw as (select doc_id, source, k,
-                ('0x' || substr(md5('{mixing.SEED}:n:' || k || ':' || doc_id), 1, 13))::bigint as u
-         from documents join part using (source), range(64) t(k) where k < parts),
-number as (select doc_id, count(*) filter (c * 4503599627370496.0 <= u) as n
-           from draw join cdf using (source) group by doc_id),
-copies as (select doc_id, unnest(range(n)) as copy from number where n > 0)
+draw as (select r, doc.source, k,
+                ('0x' || substr(md5('{mixing.SEED}:n:' || k || ':' || name), 1, 13))::bigint as u
+         from doc join part on doc.source is not distinct from part.source, range(64) t(k)
+         where k < parts),
+number as (select r, count(*) filter (c * 4503599627370496.0 <= u) as n
+           from draw join cdf on draw.source is not distinct from cdf.source group by r),
+copies as (select r, unnest(range(n)) as copy from number where n > 0)
 select doc_id, lang, source, copy, text,
-       ('0x' || substr(md5('{mixing.SEED}:k:' || copy || ':' || doc_id), 1, 13))::bigint
+       ('0x' || substr(md5('{mixing.SEED}:k:' || copy || ':' || name), 1, 13))::bigint
            as shuffle_key
-from copies join documents using (doc_id)
+from copies join doc using (r)
 """
 
 OP8 = f"""

@@ -169,11 +169,12 @@ def copies(rows, seed, weights=None, epochs=1.0):
     every = sum(weights.get(s, 0.0) for s in chars)
     out = Counter()
     for doc, text, source in rows:
+        name = f"text {hashlib.md5((text or '').encode()).hexdigest()}" if doc is None else doc
         rate = weights.get(source, 0) / every * sum(chars.values()) * epochs / chars[source]
         parts = max(1, math.ceil(rate / 16))
         n = 0
         for part in range(parts):
-            u = _unit(f"{seed}:n:{part}:{'-' if doc is None else doc}") / 2**52
+            u = _unit(f"{seed}:n:{part}:{name}") / 2**52
             total = term = math.exp(-rate / parts)
             j = 0
             while total <= u and j < 99:

@@ -270,6 +270,32 @@ def test_rates_reach_the_weights(spark):
     assert all(abs(r["count"] - 10_000) < 400 for r in found)
 
 
+def test_documents_without_id_are_drawn_one_by_one(spark):
+    rows = [(None, f"text {i}", "en", "a", 9) for i in range(20_000)]
+    found = mixing.mix(spark.createDataFrame(rows, SCHEMA))
+    per_text = Counter(r.text for r in found.select("text").collect())
+    assert sum(per_text.values()) == pytest.approx(20_000, rel=0.03)
+    assert 0.36 < 1 - len(per_text) / 20_000 < 0.38
+    parts = found.repartition(16, "shuffle_key", F.xxhash64("text")).groupBy(F.spark_partition_id()).count()
+    assert max(r["count"] for r in parts.collect()) < 2 * sum(per_text.values()) / 16
+    # Rows of one id are spread as well.
+    rows = [(7, f"text {i}", "en", "a", 9) for i in range(4_000)]
+    one = mixing.mix(spark.createDataFrame(rows, SCHEMA)).groupBy(F.spark_partition_id()).count()
+    counts = [r["count"] for r in one.collect()]
+    assert not counts or max(counts) < 2 * sum(counts) / len(counts)
+
+
+def test_mixing_equals_sql_with_odd_rows(docs):
+    rows = [r for r in EDGE if len(r[1] or "") < 99_999]
+    rows += [(None, f"t {i}", "en", "abc"[i % 3]) for i in range(200)] + [(None, "no source " * 50, "en", None)] * 3
+    made = docs(rows, clashing=False)
+    duck = duckdb.connect()
+    duck.register("documents", made.toArrow())
+    columns = ["doc_id", "lang", "source", "copy", "shuffle_key", "text"]
+    expected = duck.execute(f"select {', '.join(columns)} from ({oracle_sql()['op7_poisson_mixing']})").fetchall()
+    assert sorted_rows(mixing.mix(made), *columns) == sorted(expected, key=repr)
+
+
 # --- Quality
 
 
