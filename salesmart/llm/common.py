@@ -123,17 +123,36 @@ class Words:
         return len(self.starts)
 
     def hashes(self, seed: int) -> np.ndarray:
-        """A 64-bit hash of each word: a polynomial of random numbers for its bytes, mixed."""
+        """A 64-bit hash of each word: two polynomials of random numbers for its bytes, mixed.
+
+        They are taken modulo a prime. Modulo a power of two there are words, long ones of
+        two letters, that meet whatever the numbers are.
+        """
         if not len(self):
             return np.empty(0, np.uint64)
-        random = np.random.Generator(np.random.PCG64(seed))
-        numbers = random.integers(1, 2**63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
         lengths = self.ends - self.starts
-        powers = powers_of(int(random.integers(2**40, 2**62)) * 2 + 1, int(lengths.max()))
         heads = np.cumsum(lengths) - lengths
         place = np.arange(int(lengths.sum())) - np.repeat(heads, lengths)
         bytes_ = self.data[place + np.repeat(self.starts, lengths)]
-        return mixed(np.add.reduceat(numbers[bytes_] * powers[place], heads))
+        random = np.random.Generator(np.random.PCG64(seed))
+        halves = []
+        for _ in range(2):
+            numbers = random.integers(1, _PRIME, 256, np.uint64)
+            powers = prime_powers(int(random.integers(2**20, _PRIME - 1)), int(lengths.max()))
+            # Below 2 to the 31 each, so that a word's sum has room for any length.
+            terms = reduced(numbers[bytes_] * powers[place])
+            halves.append(np.add.reduceat(terms, heads) % np.uint64(_PRIME))
+        return mixed((halves[0] << np.uint64(32)) | halves[1])
+
+    def spaced(self) -> tuple[memoryview, np.ndarray]:
+        """All words joined by one space each, and where each begins (one more at the end)."""
+        lengths = self.ends - self.starts
+        begins = np.zeros(len(self) + 1, np.int64)
+        np.cumsum(lengths + 1, out=begins[1:])
+        joined = np.full(int(begins[-1]), 32, np.uint8)
+        place = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        joined[np.repeat(begins[:-1], lengths) + place] = self.data[np.repeat(self.starts, lengths) + place]
+        return memoryview(joined), begins
 
     def text(self, row: int, keep: np.ndarray | None = None) -> bytes:
         """Words of a row, joined by one space; ``keep`` is a mask over all words."""
@@ -150,11 +169,23 @@ class Words:
         return b" ".join([data[a:b] for a, b in bounds])
 
 
-def powers_of(base: int, count: int) -> np.ndarray:
-    """1, base, base squared and so on, modulo 2 to the 64."""
-    powers = np.full(max(1, count), base, np.uint64)
-    powers[0] = 1
-    return np.cumprod(powers, dtype=np.uint64)
+# A Mersenne prime, whose remainders need no division.
+_PRIME = (1 << 31) - 1
+
+
+def reduced(x: np.ndarray) -> np.ndarray:
+    """Remainders of numbers below 2 to the 62 modulo the prime, in part: below 2 to the 32."""
+    x = (x & np.uint64(_PRIME)) + (x >> np.uint64(31))
+    return (x & np.uint64(_PRIME)) + (x >> np.uint64(31))
+
+
+def prime_powers(base: int, count: int) -> np.ndarray:
+    """1, base, base squared and so on modulo the prime, by doubling."""
+    powers = np.ones(1, np.uint64)
+    while len(powers) < count:
+        step = np.uint64(pow(base, len(powers), _PRIME))
+        powers = np.concatenate([powers, powers * step % np.uint64(_PRIME)])
+    return powers[:count]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -13,31 +13,36 @@ may be equal:
   branch, and its rows stay as spans in the coordinates of their documents;
 * the other paths of a shared minimizer may branch off each other; only these
   are cut into single edges again, one document for each different path, which
-  are looked up in the documents at the paths' coordinates, compared by their
-  own 64-bit hash within the minimizer, and joined back.
+  are looked up in the documents at the paths' coordinates, compared within the
+  minimizer, and joined back.
+
+Hashes of words only choose minimizers, so that words that share one cost time and no more.
+What is repeated is decided by the words that stand at the coordinates: paths and edges are
+compared by 128 bits of a cryptographic digest of their words, taken where the text is read.
 
 The spans are then joined to the documents and removed from their texts.
 
 Cases: NULL text has no words; texts shorter than a window lose nothing; repeated
 rows are occurrences of their own and lose everything a window covers; NULL
 doc_ids are documents like others; an empty table gives no rows; very long texts
-are handled one at a time; other columns are kept.
+are handled one at a time; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import Words, id_key, mixed, powers_of, stored, text_key, text_slices, windows
+from salesmart.llm.common import Words, id_key, stored, text_key, text_slices, windows
 
 WINDOW = 35
 MINIMIZER = 12
-_PATH = "k bigint, th bigint, start bigint, edges int, minimizer bigint, path bigint"
+_PATH = "k bigint, th bigint, start bigint, edges int, minimizer bigint, path bigint, path2 bigint"
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -51,24 +56,27 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return best
 
 
-def prefix_sums(hashes: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
-    powers = powers_of(base, len(hashes) + 1)
-    sums = np.zeros(len(hashes) + 1, np.uint64)
-    np.cumsum(hashes * powers[:-1], out=sums[1:])
-    return sums, powers_of(pow(base, -1, 1 << 64), len(hashes) + 1)
+def digests(words: Words, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """128 bits, as two columns, of the words of each span."""
+    if not len(starts):
+        return np.empty((0, 2), np.int64)
+    text, begins = words.spaced()
+    ends = begins[starts + lengths] - 1
+    digest = lambda a, b: blake2b(text[a:b], digest_size=16).digest()
+    found = b"".join(map(digest, begins[starts].tolist(), ends.tolist()))
+    return np.frombuffer(found, np.int64).reshape(-1, 2)
 
 
-_BASE = 0x9E3779B97F4A7C15
-_WORD_SEED, _MINIMIZER_SEED, _EDGE_SEED = 101, 103, 107
+_WORD_SEED, _MINIMIZER_SEED = 101, 103
 
 
 def paths_of(words: Words, size: int, short: int) -> dict[str, np.ndarray]:
-    """Paths of all rows: row, start (word in the row), edges, minimizer, path (hash)."""
+    """Paths of all rows: row, start (word in the row), edges, minimizer, path (digest)."""
     hashes = words.hashes(_WORD_SEED)
     count = len(hashes) - size + 1
     if count <= 0:
         empty = np.empty(0, np.int64)
-        return dict(row=empty, start=empty, edges=empty, minimizer=empty, path=empty)
+        return dict.fromkeys(("row", "start", "edges", "minimizer", "path", "path2"), empty)
     small = windows(hashes, short, _MINIMIZER_SEED)
     least = sliding_least(small, size - short + 1)
     at = np.flatnonzero(words.row[:count] == words.row[size - 1 :])
@@ -77,15 +85,15 @@ def paths_of(words: Words, size: int, short: int) -> dict[str, np.ndarray]:
     heads = np.flatnonzero(first)
     edges = np.diff(np.append(heads, len(at)))
     starts = at[heads]
-    sums, back = prefix_sums(hashes, _BASE)
-    path = mixed((sums[starts + edges + size - 1] - sums[starts]) * back[starts])
+    path = digests(words, starts, edges + size - 1)
     row = words.row[starts]
     return dict(
         row=row,
         start=starts - words.first[row],
         edges=edges,
         minimizer=small[least[starts]].view(np.int64),
-        path=mixed(path + edges.astype(np.uint64)).view(np.int64),
+        path=path[:, 0],
+        path2=path[:, 1],
     )
 
 
@@ -113,8 +121,9 @@ def paths(docs: DataFrame, size: int = WINDOW, short: int = MINIMIZER) -> DataFr
                         pa.array(got["edges"].astype(np.int32)),
                         pa.array(got["minimizer"]),
                         pa.array(got["path"]),
+                        pa.array(got["path2"]),
                     ],
-                    ["k", "th", "start", "edges", "minimizer", "path"],
+                    ["k", "th", "start", "edges", "minimizer", "path", "path2"],
                 )
 
     return _rows(docs).mapInArrow(run, _PATH)
@@ -128,7 +137,6 @@ def _edges(texts: DataFrame, asked: DataFrame, size: int) -> DataFrame:
             for first, count in text_slices(batch):
                 part = batch.slice(first, count)
                 words = Words(part.column("text"))
-                hashes = windows(words.hashes(_WORD_SEED), size, _EDGE_SEED)
                 lists = part.column("asked")
                 flat = lists.flatten()
                 owner = np.repeat(np.arange(count), pa.compute.list_value_length(lists).to_numpy())
@@ -138,16 +146,19 @@ def _edges(texts: DataFrame, asked: DataFrame, size: int) -> DataFrame:
                 inner = np.arange(len(each)) - np.repeat(np.cumsum(edges) - edges, edges)
                 at = field("start")[each] + inner
                 row = pa.array(owner[each])
+                first_word = words.first[owner[each]] + at
+                edge = digests(words, first_word, np.full(len(at), size))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("k").take(row),
                         part.column("th").take(row),
                         pa.array(at),
                         pa.array(field("minimizer")[each]),
-                        pa.array(hashes[words.first[owner[each]] + at].view(np.int64)),
+                        pa.array(edge[:, 0]),
+                        pa.array(edge[:, 1]),
                         pa.array(field("again")[each]),
                     ],
-                    ["k", "th", "at", "minimizer", "edge", "again"],
+                    ["k", "th", "at", "minimizer", "edge", "edge2", "again"],
                 )
 
     lists = asked.groupBy("k", "th").agg(
@@ -156,7 +167,7 @@ def _edges(texts: DataFrame, asked: DataFrame, size: int) -> DataFrame:
     # Repeated rows give the same edges again; theirs all have ``again``.
     joined = texts.join(lists, ["k", "th"]).select("k", "th", "text", "asked")
     return joined.mapInArrow(
-        run, "k bigint, th bigint, at bigint, minimizer bigint, edge bigint, again boolean"
+        run, "k bigint, th bigint, at bigint, minimizer bigint, edge bigint, edge2 bigint, again boolean"
     )
 
 
@@ -167,26 +178,27 @@ def repeated_spans(docs: DataFrame, size: int = WINDOW, short: int = MINIMIZER)
     is repeated.
     """
     every = stored(paths(docs, size, short), "paths")
-    shared = every.groupBy("minimizer").agg(
-        F.count("*").alias("n"), F.min("path").alias("p0"), F.max("path").alias("p1")
-    )
-    shared = shared.where("n > 1").select("minimizer", (F.col("p0") != F.col("p1")).alias("branches"))
+    ends = [f(c).alias(f"{n}_{c}") for c in ("path", "path2") for n, f in (("least", F.min), ("most", F.max))]
+    differ = (F.col("least_path") != F.col("most_path")) | (F.col("least_path2") != F.col("most_path2"))
+    shared = every.groupBy("minimizer").agg(F.count("*").alias("n"), *ends)
+    # What is joined to the paths is stored before: in a stage of its own, the join's
+    # skewed partitions, those of very common passages, are split.
+    shared = stored(shared.where("n > 1").select("minimizer", differ.alias("branches")), "shared")
     hits = stored(every.join(shared, "minimizer"), "shared_paths")
     plain = hits.where("not branches")
-    counts = hits.where("branches").groupBy("minimizer", "path").agg(
+    path, edge = ["minimizer", "path", "path2"], ["minimizer", "edge", "edge2"]
+    counts = hits.where("branches").groupBy(*path).agg(
         F.count("*").alias("n"),
         F.min(F.struct("k", "th", "start", "edges")).alias("first"),
     )
     counts = stored(counts, "branching_paths")
-    again = counts.where("n > 1").select("minimizer", "path")
-    whole = hits.where("branches").join(again, ["minimizer", "path"], "left_semi")
+    again = counts.where("n > 1").select(*path)
+    whole = hits.where("branches").join(again, path, "left_semi")
     asked = counts.select("first.*", "minimizer", (F.col("n") > 1).alias("again"))
     edges = stored(_edges(_rows(docs), asked, size), "edges")
-    twice = edges.groupBy("minimizer", "edge").agg(
-        F.count("*").alias("n"), F.bool_or("again").alias("again")
-    )
-    twice = twice.where("n > 1 or again").select("minimizer", "edge")
-    single = edges.where("not again").join(twice, ["minimizer", "edge"], "left_semi")
+    twice = edges.groupBy(*edge).agg(F.count("*").alias("n"), F.bool_or("again").alias("again"))
+    twice = stored(twice.where("n > 1 or again").select(*edge), "repeated_edges")
+    single = edges.where("not again").join(twice, edge, "left_semi")
     span = ("k", "th", "start", "words")
     long = plain.unionByName(whole).withColumn("words", F.col("edges") + F.lit(size - 1))
     short_ones = single.withColumn("start", F.col("at")).withColumn("words", F.lit(size))

@@ -160,6 +160,38 @@ def test_passages_equal_brute_force(docs):
     assert substring.remove_repeats(docs([])).count() == 0
 
 
+def thue_morse(n):
+    """A word of two letters and its complement, which polynomials modulo 2 to the 64 take for one."""
+    ones = [i.bit_count() & 1 for i in range(n)]
+    return "".join("ab"[x] for x in ones), "".join("ba"[x] for x in ones)
+
+
+def test_different_words_of_one_polynomial_hash(docs):
+    one, other = thue_morse(1024)
+    around = [f"w{i}" for i in range(20)]
+    rows = [(1, " ".join([*around, one, *around[::-1]]), "en", "a"), (2, " ".join([*around, other, *around[::-1]]), "en", "a")]
+    rows += [(3, " ".join([*"abcdefg", one, *"hijklmn", *"abcdefg", other, *"hijklmn"]), "en", "a")]
+    rows += [(4, "x" * 5_000 + " " + " ".join(around * 2), "en", "a"), (5, "x" * 4_999 + " " + " ".join(around * 2), "en", "a")]
+    found = substring.remove_repeats(docs(rows))
+    expected = brute.remove_repeats([r[:2] for r in rows])
+    assert sorted_rows(found, "doc_id", "n_words", "n_removed", "text") == sorted(expected, key=repr)
+    assert [r[2] for r in expected[:2]] == [0, 0]
+    counts = {r.doc_id: r.n_repeat_words for r in quality.judge(docs(rows)).collect()}
+    assert counts == {r[0]: brute.base_counts(r[1])[4] for r in rows} and counts[3] == 0
+
+
+def test_passages_are_compared_word_by_word(docs, monkeypatch):
+    """With word hashes that all meet, nothing but the work changes."""
+    from salesmart.llm.common import Words
+
+    monkeypatch.setattr(Words, "hashes", lambda self, seed: self.row.astype(np.uint64) * np.uint64(0) + np.uint64(5))
+    draw = random.Random(8)
+    rows = [(i, " ".join(draw.choices("abc", k=40)), "en", "a") for i in range(30)]
+    found = substring.remove_repeats(docs(rows), size=7, short=3)
+    expected = brute.remove_repeats([r[:2] for r in rows], 7)
+    assert sorted_rows(found, "doc_id", "n_words", "n_removed", "text") == sorted(expected, key=repr)
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_passages_of_few_words(docs, seed):
     """Periodic texts, passages that start and end in the middle of others, copies."""
