@@ -14,7 +14,9 @@ padded by nearly as much; all other corpora that we measured are padded by
 below two percent.
 
 Cases: NULL text is empty, and a document without text is its end id alone;
-every row is a document of its own, repeated or not, with or without doc_id; an
+every row is a document of its own, repeated or not, with or without doc_id; of pieces of
+one length the one of the smaller doc_id (NULL first), then start, comes first, so that a
+task gives the same sequences in every run; very long texts are encoded one at a time; an
 empty table gives no rows; other columns are ignored.
 """
 
@@ -172,4 +174,7 @@ def pack(
             first += int(sequence.max()) + 1
 
     schema = PIECE + (", ids array<int>" if ids else "") + ", sequence_id bigint, offset bigint"
-    return cut.repartition(tasks).mapInArrow(run, schema)
+    # Rows of a task come in the order in which blocks are fetched. Sorted, a task that is
+    # run again packs them in the same way, and sequences that were read before still hold.
+    dealt = cut.repartition(tasks).sortWithinPartitions("doc_id", "start", "ids_crc32", "doc_tokens")
+    return dealt.mapInArrow(run, schema)
