@@ -14,8 +14,10 @@ a key's first document is a plain minimum.
 
 Cases: NULL or empty text is one empty line; rows without doc_id count as one
 document that comes after all others; rows with the same doc_id are one
-document, so lines they share stay; repeated rows get the same bitmap; an empty
-table gives no rows; other columns are kept by ``drop_lines``.
+document, so lines they share stay; repeated rows get the same bitmap; a text may have any
+number of lines, and takes time in proportion to them; ties, which are lines of one key and
+document, all stay or all go; an empty table gives no rows; other columns are kept by
+``drop_lines``, those named n_lines and n_dropped are replaced.
 """
 
 from __future__ import annotations
@@ -59,7 +61,7 @@ def _lines(text: Column) -> Column:
 
 
 def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """o, th and words (array of word number and 64 bits, 1: keep) of every
+    """o, th and words (array of word number and 64 bits, 1: keep, in order) of every
     document that loses a line."""
     rows = _rows(docs).select(
         F.col("_llm_o").alias("o"),
@@ -87,7 +89,8 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     bit = F.expr("shiftleft(1L, cast(pos % 64 as int))")
     words = dropped.groupBy("o", "th", F.expr("pos div 64").cast("int").alias("word"))
     words = words.agg(F.bitwise_not(F.bit_or(bit)).alias("bits"))
-    return words.groupBy("o", "th").agg(F.collect_list(F.struct("word", "bits")).alias("words"))
+    listed = F.array_sort(F.collect_list(F.struct("word", "bits")))
+    return words.groupBy("o", "th").agg(listed.alias("words"))
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
@@ -97,13 +100,15 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     )
     joined = _rows(docs).join(marks.hint("shuffle_hash"), ["_llm_o", "_llm_th"], "left")
     plain = F.coalesce(F.col("text"), F.lit(""))
-    # The words become an array without gaps, bound to a lambda variable, so that it
-    # is made once per document and not once per line.
+    # The words become an array without gaps, in one pass over them, bound to a lambda
+    # variable, so that it is made once per document and not once per line.
     kept = F.expr(
         r"""
         element_at(transform(
-            array(transform(sequence(0, cast((n_lines - 1) div 64 as int)),
-                            w -> coalesce(element_at(map_from_entries(_llm_w), w), -1L))),
+            array(concat(
+                flatten(transform(_llm_w, (e, i) -> concat(
+                    array_repeat(-1L, e.word - if(i = 0, -1, _llm_w[i - 1].word) - 1), array(e.bits)))),
+                array_repeat(-1L, cast((n_lines - 1) div 64 as int) - element_at(_llm_w, -1).word))),
             dense -> array_join(transform(filter(
                 transform(split(text, '\n', -1), (x, i) -> struct(x, i)),
                 s -> shiftrightunsigned(dense[cast(s.i div 64 as int)], cast(s.i % 64 as int)) & 1 = 1

@@ -137,6 +137,15 @@ def test_bitmaps_hold_only_words_with_dropped_lines(docs):
     assert [(w.word, ~w.bits) for w in found.words] == [(150 // 64, 1 << 150 % 64)]
 
 
+def test_a_text_of_very_many_lines(docs):
+    lines = [f"line number {i} of a long text" for i in range(200_000)]
+    shared = "\n".join(lines[i] for i in (0, 63, 64, 77_777, 199_999))
+    rows = [(1, shared, "en", "a"), (2, "\n".join(lines), "en", "a"), (3, "\n".join(lines[:130]) + "\nown line here", "en", "a")]
+    found = linededup.drop_lines(docs(rows, clashing=False))
+    expected = brute.drop_lines([r[:2] for r in rows])
+    assert sorted_rows(found, "doc_id", "n_lines", "n_dropped", "text") == sorted(expected, key=repr)
+
+
 @pytest.mark.parametrize("name", ["op7_poisson_mixing", "op8_line_dedup"])
 def test_native_query_equals_sql(spark, testdata, name):
     duck = duckdb.connect()
@@ -277,6 +286,16 @@ def test_best_fit_decreasing():
         assert sorted(rooms) == brute.best_fit(lengths.tolist(), window)
 
 
+def test_packing_does_not_depend_on_the_order_of_rows(docs, tokenizer):
+    rows = [(i % 40, f"some words {'and more ' * (i % 30)}", "en", "a") for i in range(200)]
+    columns = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    found = [
+        sorted_rows(packing.pack(docs(order), *tokenizer, window=64), *columns)
+        for order in (rows, rows[::-1], random.Random(3).sample(rows, len(rows)))
+    ]
+    assert found[0] == found[1] == found[2]
+
+
 # --- Mixing
 
 
