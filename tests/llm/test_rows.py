@@ -67,6 +67,22 @@ def test_chunks_leave_nothing_out(spark, monkeypatch):
     assert got == exact(rows, lambda q: q % 5 == 0, 3)
 
 
+def test_few_vectors_of_another_length_get_all_candidates(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BUCKET_ROWS", 16)
+    draw = np.random.default_rng(7)
+    rows = [(i, draw.normal(size=8).tolist()) for i in range(1, 3000)]
+    rows += [(i, draw.normal(size=32).tolist()) for i in (5000, 5001, 5002, 5003)]
+    # Opposite to all others: no probe of theirs finds them, and theirs find few.
+    rows += [(6000, (-40 * np.ones(8) + draw.normal(size=8)).tolist())]
+    found = ann.nearest(vectors(spark, rows), F.col("vec_id") % 1000 == 0)
+    got = {}
+    for r in found.collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, round(r.score, 9)))
+    wanted = exact(rows, lambda q: q % 1000 == 0)
+    assert {q: len(v) for q, v in got.items()} == {1000: 5, 2000: 5, 5000: 3, 6000: 5}
+    assert sorted(got[5000]) == [w[1:] for w in wanted if w[0] == 5000]
+
+
 @pytest.mark.parametrize("bucket_rows", [512, 16])
 def test_recall(spark, monkeypatch, bucket_rows):
     """Also with buckets so small that two rotations are combined."""
