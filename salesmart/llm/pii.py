@@ -2,17 +2,19 @@
 
 Plain identifiers are found by base rules. Then two transducers rewrite the
 text, each keeping for every character it writes the span of the source it came
-from: the first turns look-alike letters, wide and foreign digits into ASCII and
-drops invisible characters; the second turns spelled digits and disguised at and
-dot signs into what they stand for. The same rules find identifiers in what
-comes out, and their spans are mapped back to the source. A found span is added
-unless a plain one of its kind overlaps it.
-
-Every rule is linear in the text: repeats are possessive or start at fixed signs.
-
-Cases: NULL and empty texts have no spans; every row is judged by itself, so
-repeated rows, NULL ids and empty tables need nothing special; other columns are
-ignored.
+from: the first turns look-alike and compatibility letters, foreign digits, spaces
+and dashes into ASCII and drops invisible characters; the second turns spelled
+digits and disguised at and dot signs into what they stand for. The same rules find
+identifiers in what comes out, and their spans are mapped back to the source. A found
+span is added unless it lies within a plain one of its kind: of an address of which
+only the end is plain, the whole is added beside its end.
+
+Every rule is linear in the text and has no bound on words, pieces or spaces: repeats
+are possessive, and addresses are put together from a single pass over words and signs.
+
+Cases: NULL and empty texts have no spans, very long ones are judged whole; every row is
+judged by itself, so repeated rows, NULL ids and empty tables need nothing special; of
+spans that tie in start the order of kinds decides; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -92,14 +94,13 @@ def ordered(spans: list[Span]) -> list[Span]:
 # Letters of other scripts that look like Latin ones.
 _LOOKALIKES = dict(
     zip(
-        "АВЕЅІЈКМНОРСТХУаеѕіјорсхуԁԛԝһΑΒΕΖΗΙΚΜΝΟΡΤΥΧοαιυνρıɡ∙•",
-        "ABESIJKMHOPCTXYaesijopcxydqwhABEZHIKMNOPTYXoaiuvpig..",
+        "АВЕЅІЈКМНОРСТХУаеѕіјорсхуԁԛԝһкмтнвӏΑΒΕΖΗΙΚΜΝΟΡΤΥΧοαιυνρκıɡօսհո∙•",
+        "ABESIJKMHOPCTXYaesijopcxydqwhkmthblABEZHIKMNOPTYXoaiuvpkigouhn..",
         strict=True,
     )
 )
-_INVISIBLE = frozenset("­​‌‍⁠﻿")
-# Characters beyond the Latin letters, and the soft hyphen.
-_STRANGE = re.compile(r"[^\x00-\xac\xae-ɏ]")
+# Characters beyond the Latin letters, the no-break space and the soft hyphen.
+_STRANGE = re.compile(r"[\xa0\xad]|[^\x00-ɏ]")
 
 # Digits as words in four languages.
 _DIGIT_WORDS = {
@@ -115,43 +116,51 @@ _DIGIT_WORDS = {
 _DOTS = "dot|punkt|point|punto"
 _ATS = "at|arroba|ät"
 _WORD = "|".join(sorted(_DIGIT_WORDS, key=len, reverse=True))
-_OPEN, _SHUT = r"[\[({<]\s{0,3}", r"\s{0,3}[\])}>]"
+_OPEN, _SHUT = r"[\[({<]\s*+", r"\s*+[\])}>]"
 _TOKEN = rf"(?:(?:{_WORD}|{_DOTS}|plus)\b|{_OPEN}(?:\.|{_DOTS}){_SHUT}|[+(]?[0-9]++[).]?)"
-_SPELLED = re.compile(rf"(?i)(?<!\w){_TOKEN}(?:[\s,-]{{1,3}}{_TOKEN})+")
+_SPELLED = re.compile(rf"(?i)(?<!\w){_TOKEN}(?:[\s,-]++{_TOKEN})+")
 _SPELLED_HINT = re.compile(
-    rf"(?i)\b(?:{_WORD})\b[\s,-]{{1,3}}(?:(?:{_WORD}|{_DOTS}|plus)\b|[\[({{<+]?\s?[0-9.]|{_OPEN}(?:{_DOTS})\b)"
-    rf"|(?:[0-9][).]?|[\])}}>]|\b(?:{_DOTS}|plus))[\s,-]{{1,3}}(?:{_WORD})\b"
+    rf"(?i)\b(?:{_WORD})\b[\s,-]++(?:(?:{_WORD}|{_DOTS}|plus)\b|[\[({{<+]?\s?[0-9.]|{_OPEN}(?:{_DOTS})\b)"
+    rf"|(?:[0-9][).]?|[\])}}>]|\b(?:{_DOTS}|plus))[\s,-]++(?:{_WORD})\b"
 )
 _BRACKETED = re.compile(
-    rf"(?i)\s{{0,3}}{_OPEN}(?:(?P<at>@|{_ATS})|(?P<dot>\.|{_DOTS})){_SHUT}\s{{0,3}}"
-)
-_LABEL = r"[A-Za-z0-9-]{1,63}"
-_AT_SIGN = rf"(?:@|\s{{0,3}}{_OPEN}(?:@|{_ATS}){_SHUT}\s{{0,3}}|\s{{1,3}}(?:{_ATS})\s{{1,3}})"
-_DOT_SIGN = rf"(?:\.|\s{{0,3}}{_OPEN}(?:\.|{_DOTS}){_SHUT}\s{{0,3}}|\s{{1,3}}(?:{_DOTS})\s{{1,3}})"
-# An address whose signs are plain, bracketed or said, each for itself.
-_SAID = re.compile(
-    rf"(?i)(?<![\w.%+-])(?P<local>[\w%+-]{{1,64}}(?:{_DOT_SIGN}[\w%+-]{{1,64}}){{0,4}})(?P<at>{_AT_SIGN})"
-    rf"(?P<domain>{_LABEL}(?:{_DOT_SIGN}{_LABEL}){{0,6}}{_DOT_SIGN}(?P<top>[A-Za-z]{{2,24}}))\b"
+    rf"(?i)\s*+{_OPEN}(?:(?P<at>@|{_ATS})|(?P<dot>\.|{_DOTS})){_SHUT}\s*+"
 )
+
+
+def _sign(plain: str, words: str) -> str:
+    """A sign as itself, in brackets, between dashes, or as a word or itself between spaces."""
+    framed = rf"\s++[-*_/~|]++(?:{plain}|{words})[-*_/~|]++\s++"
+    return rf"(?:\s*+{_OPEN}(?:{plain}|{words}){_SHUT}\s*+|{framed}|\s++(?:{plain}|{words})\s++|{plain})"
+
+
+_AT_SIGN, _DOT_SIGN = _sign("@", _ATS), _sign(r"\.", _DOTS)
+# What addresses are made of, one after another.
+_PARTS = re.compile(rf"(?i)(?P<at>{_AT_SIGN})|(?P<dot>{_DOT_SIGN})|(?P<word>[\w%+-]++)|\s++|.", re.S)
+_LABEL, _TOP = re.compile("[A-Za-z0-9-]+"), re.compile("[A-Za-z]{2,24}")
 _SAID_IP = re.compile(rf"(?i)(?<![\w.])[0-9]{{1,3}}(?:{_DOT_SIGN}[0-9]{{1,3}}){{3}}(?!\w)")
 _DOT = re.compile(rf"(?i){_DOT_SIGN}")
 _SAID_HINT = re.compile(
-    rf"(?i)\s(?:{_DOTS})\s|[\[({{<]\s{{0,3}}(?:[@.]|(?:{_ATS}|{_DOTS})\b)"
-    rf"|\s(?:{_ATS})\s{{1,3}}{_LABEL}\.[a-z]"
+    rf"(?i)\s(?:{_DOTS}|[.@])\s|[\[({{<]\s*+(?:[@.]|(?:{_ATS}|{_DOTS})\b)"
+    rf"|\s(?:{_ATS})\s++[A-Za-z0-9-]++\.[a-z]|\s[-*_/~|]++(?:{_ATS}|{_DOTS})[-*_/~|]"
 )
-# What an address with little disguise ends in, and the words that stand
-# before "at" in prose.
-_TOPS = frozenset("com org net edu gov info biz io co eu de fr es uk ch nl pl se pt ru ca au mx ar br jp example test".split())
+# What an address with little disguise ends in beside two-letter endings, the
+# words of prose that look like such an ending, and those that stand before "at" in prose.
+_TOPS = frozenset("com org net edu gov info biz example test dev app online shop site".split())
+_NO_TOPS = frozenset("an as at be by do go he if in is it me my no of on or so to up us we".split())
 _PROSE = frozenset(
     "a about all am an and are arrive arrived as ask at available back based be been begin bought buy "
-    "call check click come contact created directly documentation documented download downloaded email "
+    "call check click come created directly documentation documented download downloaded email "
     "everyone file files find found free from go guide had has have he help her here him home hosted i "
-    "information is it join know learn listed live located look looked looking mail me meet more news "
-    "not now of online or order our out page pages people post posted published questions read "
+    "is it join know learn listed live located look looked looking mail me meet more "
+    "not now of online or order our out page pages people post posted published read "
     "register registered report see seen she shop sign site sold start started staying stop store "
-    "support talk team that the them there these they this those time up update us version "
+    "talk that the them there these they this those time up update us version "
     "visit was we website were with work worked working works write written you".split()
 )
+# Names of accounts that are words of prose, too: they count where a sentence or field begins.
+_ROLES = frozenset("contact information news questions support team".split())
+_BEGINS = re.compile(r"(?i)(?:^|[\n:;,(\[<>\"'|]|\b(?:to|mail|email|e-mail|contact|reach|via|or|and))\s*\Z")
 _LEAST_SPELLED, _PHONE_DIGITS = 4, (10, 15)
 
 
@@ -185,17 +194,22 @@ class Rewritten:
 
 
 def plain_character(c: str) -> str:
-    """ASCII for look-alikes, wide and mathematical letters, and foreign digits."""
-    if c in _INVISIBLE:
-        return ""
+    """ASCII for look-alikes, compatibility letters, foreign digits, spaces and dashes."""
     if c in _LOOKALIKES:
         return _LOOKALIKES[c]
+    kind = unicodedata.category(c)
+    if kind == "Cf":
+        return ""
+    if kind == "Zs":
+        return " "
+    if kind == "Pd" or c == "−":
+        return "-"
     if (value := unicodedata.decimal(c, None)) is not None:
         return str(value)
-    if "！" <= c <= "～" or "﹐" <= c <= "﹫" or "\U0001d400" <= c <= "\U0001d7ff" or c in "。․":
-        written = "." if c == "。" else unicodedata.normalize("NFKC", c)
-        return written if written.isascii() else c
-    return c
+    if c in "。․":
+        return "."
+    written = unicodedata.normalize("NFKC", c)
+    return written if len(written) == 1 and written.isascii() else c
 
 
 def plain_characters(found: Rewritten) -> None:
@@ -228,30 +242,92 @@ def spelled_digits(found: Rewritten) -> list[tuple[int, int]]:
     return phones
 
 
-def is_address(m: re.Match[str]) -> bool:
-    """Whether signs that are disguised in ``m`` stand for those of an address."""
-    at, domain = m["at"].strip().lower(), m["domain"]
-    signs = [x.strip().lower() for x in _DOT.findall(domain)]
-    if at == "@" or not at.isalpha():
+class Chain:
+    """Words with dot signs between them, as (start, end) in the text."""
+
+    def __init__(self) -> None:
+        self.words: list[tuple[int, int]] = []
+        self.dots: list[tuple[int, int]] = []
+
+    def whole(self) -> bool:
+        """Ends with a word."""
+        return len(self.words) > len(self.dots)
+
+
+def is_address(text: str, local: Chain, at: str, domain: Chain) -> bool:
+    """Whether the signs between these words stand for those of an address."""
+    signs = [text[a:b].strip().lower() for a, b in domain.dots]
+    top = text[slice(*domain.words[-1])]
+    spaced = at != at.strip()
+    at = at.strip().lower()
+    if at == "@" and not spaced or any(x == "dot" or not x.isalpha() and x != "." for x in signs):
         return True
-    if any(x == "dot" or not x.isalpha() and x != "." for x in signs):
+    if at not in ("@", *_ATS.split("|")):
         return True
     # Said "at", and dots that are plain or words of prose: "look at this point".
-    if m["top"] not in _TOPS or domain.lower().startswith("www."):
+    first = text[slice(*domain.words[0])].lower()
+    end = top in _TOPS or len(top) == 2 and top.islower() and top not in _NO_TOPS or top == "uk"
+    if not end or first == "www" or any(x != "." for x in signs) and top.lower() not in _TOPS and at == "at":
         return False
-    return at != "at" or not (m["local"].lower() in _PROSE or m.string[m.end() : m.end() + 1] == "/")
+    start, word = local.words[0][0], text[local.words[0][0] : local.words[-1][1]].lower()
+    if word in _ROLES:
+        return bool(_BEGINS.search(text[max(0, start - 24) : start]))
+    follows = text[domain.words[-1][1] : domain.words[-1][1] + 1]
+    return at not in ("at", "@") or not (word in _PROSE or follows == "/")
+
+
+def addresses(text: str) -> Iterator[tuple[Chain, tuple[int, int], Chain]]:
+    """Local part, at sign and domain of what may be an address, in one pass."""
+    local, at, chain = None, None, Chain()
+
+    def complete() -> tuple[Chain, tuple[int, int], Chain] | None:
+        """The address that ends here, its domain cut at the last word that may end one."""
+        if at is None:
+            return None
+        n = 0
+        while n < len(chain.words) and _LABEL.fullmatch(text, *chain.words[n]):
+            n += 1
+        while n > 1 and not _TOP.fullmatch(text, *chain.words[n - 1]):
+            n -= 1
+        if n < 2:
+            return None
+        domain = Chain()
+        domain.words, domain.dots = chain.words[:n], chain.dots[: n - 1]
+        found = (local, at, domain)
+        return found if is_address(text, local, text[slice(*at)], domain) else None
+
+    for m in _PARTS.finditer(text):
+        kind = m.lastgroup
+        if kind == "word" and not chain.whole():
+            chain.words.append(m.span())
+        elif kind == "dot" and chain.whole():
+            chain.dots.append(m.span())
+        elif kind == "at" and chain.whole():
+            found = complete()
+            if found:
+                yield found
+                local, at, chain = None, None, Chain()
+            else:
+                local, at, chain = chain, m.span(), Chain()
+        else:
+            found = complete()
+            if found:
+                yield found
+            local, at, chain = None, None, Chain()
+            if kind == "word":
+                chain.words.append(m.span())
+    if found := complete():
+        yield found
 
 
 def said_signs(found: Rewritten) -> None:
-    """Writes at and dot signs in brackets, or said in words as in an address."""
+    """Writes at and dot signs that are in brackets, framed, spaced or said as in an address."""
     edits = []
-    for m in _SAID.finditer(found.text):
-        if is_address(m):
-            for name in ("local", "domain"):
-                signs = _DOT.finditer(found.text, *m.span(name))
-                edits += [(x.start(), x.end(), ".") for x in signs if x[0] != "."]
-            if m["at"] != "@":
-                edits.append((*m.span("at"), "@"))
+    for local, at, domain in addresses(found.text):
+        dots = [*local.dots, *domain.dots]
+        edits += [(a, b, ".") for a, b in dots if found.text[a:b] != "."]
+        if found.text[slice(*at)] != "@":
+            edits.append((*at, "@"))
     found.replace(sorted(edits))
     edits = []
     for m in _SAID_IP.finditer(found.text):
@@ -284,8 +360,9 @@ def disguised(text: str, base: list[Span]) -> list[Span]:
     added: list[Span] = []
     for span in ordered(spans):
         kind, start, end = span
-        before = bisect_left(plain[kind], (end, 0))
-        if start >= last[kind] and (not before or plain[kind][before - 1][1] <= start):
+        before = bisect_left(plain[kind], (start + 1, 0))
+        within = before and plain[kind][before - 1][1] >= end
+        if start >= last[kind] and not within:
             last[kind] = end
             added.append(span)
     return added

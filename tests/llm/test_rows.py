@@ -419,6 +419,60 @@ def test_clean_sentences(text):
     assert pii.disguised(text, pii.find(text)) == []
 
 
+@pytest.mark.parametrize(
+    ("text", "kind"),
+    [
+        ("jаne@example.com", "email"),
+        ("jane dot doe@example.com", "email"),
+        ("jane@example.com dot au", "email"),
+        ("a.b.c.d.e.f.g at example dot com", "email"),
+        ("jane    (at)    example    (dot)    com", "email"),
+        ("jane @ example . com", "email"),
+        ("jane -at- example -dot- com", "email"),
+        ("ⓙⓐⓝⓔ@ⓔⓧⓐⓜⓟⓛⓔ.com", "email"),
+        ("x" * 90 + " at example dot com", "email"),
+        ("info at example.com", "email"),
+        ("sales at firma.cz", "email"),
+        ("contact at example.com", "email"),
+        ("support at example.com", "email"),
+        ("4111\xa01111\xa01111\xa01111", "card"),
+        ("+1‑407‑555‑7710", "phone"),
+        ("+1\u2009407\u2009555\u20097710", "phone"),
+    ],
+)
+def test_partly_plain_and_unicode_disguises(text, kind):
+    before, after = "é🙂 Write to: ", " , thanks."
+    whole = before + text + after
+    base = pii.find(whole)
+    assert (kind, len(before), len(before) + len(text)) in pii.disguised(whole, base)
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "We stayed at home.It was fine", "Meet me at noon. He said so.", "It is available at example.com now",
+        "our support at example.com was slow", "stay-at-home.com is a site", "He came first . Then she came . So it was",
+        "a — b – c, 10–20 of 1234‑5678", "look at the point of no return", "Arrive @ noon . Then go", "an e‑mail, one or two dots",
+        "see you at the shop. to be sure", "no\xa0break\xa0space and «quotes» … and ½ of it™",
+    ],
+)
+def test_prose_is_left_alone(text):
+    assert pii.disguised(text, pii.find(text)) == []
+
+
+def test_long_chains_are_linear():
+    import time
+
+    took = []
+    for n in (20_000, 80_000):
+        texts = ["a dot " * n, "a at " * n, "a . " * n, " " * n + "at" + " " * n, "( " * n, "a@" * n, "one   " * n, "а\xa0" * n]
+        start = time.perf_counter()
+        for text in texts:
+            pii.disguised(text, pii.find(text))
+        took.append(time.perf_counter() - start)
+    assert took[1] < 8 * took[0]
+
+
 def test_clean_documents_are_left_alone(sample):
     found = pii.find_private(sample)
     assert found.where("n_disguised > 0").count() == 0
