@@ -6,8 +6,9 @@ number of axes looked at grows with the number of rows, so that a bucket holds
 about ``BUCKET_ROWS``; when one rotation's axes are too few, a second one's are
 added. Rows are counted for each length of vector, so that a length of few rows has one
 bucket. A query looks into the ``PROBES`` buckets whose axes are nearest to it in every
-table. What it finds there is ranked by short codes, of 8 bits a component; the best
-``RERANKED`` are compared with it by exact cosine of the vectors. A query that finds fewer
+table. What it finds there is ranked by short codes, of 8 bits a component; ``CELL`` rows of
+each bucket and of these the best ``RERANKED`` are compared with it by exact cosine of the
+vectors. A query that finds fewer
 rows than it is to return, though there are more, is compared with all of its length.
 
 A bucket's rows and queries come one after another in a partition's stream, and only codes
@@ -43,8 +44,11 @@ BUCKET_ROWS = 512
 CHUNK_ROWS = 8192
 CHUNK_QUERIES = 2048
 SEED = 17
-# Candidates of a query and chunk whose vectors are compared; codes rank the others out.
-RERANKED = 64
+# Candidates that a query takes from a chunk, and of all of them those whose vectors are
+# compared with it; codes rank the others out. Both are several times what is returned.
+CELL, RERANKED = 16, 96
+# Power of the number of buckets by which probes grow once a second rotation is needed.
+GROWTH = 0.75
 
 
 def hadamard(rows: np.ndarray) -> np.ndarray:
@@ -81,10 +85,10 @@ def parts_for(rows: int, dims: int) -> list[int]:
 
 
 def probes_for(rows: int, dims: int, probes: int) -> int:
-    """More probes where a second rotation makes buckets finer: twice as many for
+    """More probes where a second rotation makes buckets finer: 2.8 times as many for
     four times the rows. With fewer, recall would fall as the number of rows grows."""
     width = 1 << max(0, dims - 1).bit_length()
-    return int(np.ceil(probes * max(1.0, rows / (BUCKET_ROWS * 2 * width)) ** 0.5))
+    return int(np.ceil(probes * max(1.0, rows / (BUCKET_ROWS * 2 * width)) ** GROWTH))
 
 
 def signed_axes(units: np.ndarray, table: int, part: int, axes: int) -> np.ndarray:
@@ -178,7 +182,7 @@ def valid(embedding: Column) -> Column:
 
 
 def _nearest_codes(rows: dict[str, list], asked: dict[str, list], best: int):
-    """(h1, h2 of the query, id, h1, h2 of the row) of the ``best`` rows of each query by codes."""
+    """(h1, h2 of the query, near, id, h1, h2 of the row) of the ``best`` rows of each query by codes."""
     dims = len(rows["code"][0])
 
     def units(codes: list[bytes]) -> np.ndarray:
@@ -196,7 +200,7 @@ def _nearest_codes(rows: dict[str, list], asked: dict[str, list], best: int):
         take = lambda side, c, at: np.array(side[c], np.int64)[at]
         yield {
             "h1": take(asked, "h1", q), "h2": take(asked, "h2", q),
-            "id": take(rows, "id", r), "r1": take(rows, "h1", r), "r2": take(rows, "h2", r),
+            "near": np.take_along_axis(near, picked, axis=1).ravel(), "id": take(rows, "id", r), "r1": take(rows, "h1", r), "r2": take(rows, "h2", r),
         }
 
 
@@ -276,9 +280,14 @@ def _found(
     chunk = [*cells, "r", "q"]
     both = both.repartition(*chunk).sortWithinPartitions(*chunk, "is_query")
     pairs = both.mapInArrow(
-        candidates(max(RERANKED, 4 * (k + 1))), "h1 bigint, h2 bigint, id bigint, r1 bigint, r2 bigint"
+        candidates(max(CELL, 3 * (k + 1))),
+        "h1 bigint, h2 bigint, near float, id bigint, r1 bigint, r2 bigint",
     )
-    pairs = pairs.dropDuplicates(["h1", "h2", "id", "r1", "r2"])
+    # The same row of several tables, and then the best rows of all tables.
+    pairs = pairs.groupBy("h1", "h2", "id", "r1", "r2").agg(F.max("near").alias("near"))
+    nearest = Window.partitionBy("h1", "h2").orderBy(F.desc("near"), "id", "r1")
+    pairs = pairs.withColumn("n", F.row_number().over(nearest))
+    pairs = pairs.where(F.col("n") <= max(RERANKED, 16 * (k + 1)))
     queries = asking.select("h1", "h2", F.col("embedding").alias("a"))
     vectors = index.select("id", F.col("h1").alias("r1"), F.col("h2").alias("r2"), F.col("embedding").alias("b"))
     both = pairs.join(vectors, ["id", "r1", "r2"]).join(queries, ["h1", "h2"])
