@@ -126,13 +126,18 @@ def quality(rows, floors, share, steps, cutoff, smallest, half, chi):
         pools[(1, name[1])] += groups.pop(name)
     for name in [g for g, m in pools.items() if len(m) < smallest]:
         rest += pools.pop(name)
-    sets = [*groups.values(), *pools.values(), *([rest] if len(rest) >= smallest else [])]
+    sets = [(m, m) for m in (*groups.values(), *pools.values())]
+    if len(rest) >= smallest:
+        sets.append((rest, rest))
+    elif len(good) >= smallest:
+        # Too few: judged by all rows.
+        sets.append((rest, good))
     floor = np.diag(np.array(floors) ** 2)
     distance = np.full(len(rows), np.nan)
-    for members in sets:
-        y = x[members]
+    for members, of in sets:
+        y = x[of]
 
-        def square(mean, cov):
+        def square(mean, cov, y=y):
             d = y - mean
             return np.einsum("ij,jk,ik->i", d, np.linalg.inv(cov + floor), d).clip(0)
 
@@ -143,16 +148,33 @@ def quality(rows, floors, share, steps, cutoff, smallest, half, chi):
         def quantile(column, q):
             return (np.sort(np.floor(column * 512))[math.ceil(q * len(column)) - 1] + 0.5) / 512
 
-        mean = np.array([quantile(c, 0.5) for c in y.T])
-        cov = np.diag([((quantile(c, 0.75) - quantile(c, 0.25)) / 1.349) ** 2 for c in y.T])
-        for _ in range(steps):
+        def step(mean, cov):
             last, bins = nearest(square(mean, cov))
             near = y[bins <= last]
-            mean, cov = near.mean(axis=0), np.cov(near.T, bias=True)
-        last, _ = nearest(square(mean, cov))
+            return near.mean(axis=0), np.cov(near.T, bias=True)
+
+        def log_det(estimate):
+            return np.linalg.slogdet(estimate[1] + floor)[1]
+
+        found = []
+        for q in (0.5, 0.25, 0.75):
+            estimate = (
+                np.array([quantile(c, q) for c in y.T]),
+                np.diag([((quantile(c, 0.75) - quantile(c, 0.25)) / 1.349) ** 2 for c in y.T]),
+            )
+            for _ in range(steps):
+                estimate = step(*estimate)
+            found.append(estimate)
+        best = min(found, key=log_det)
+        for _ in range(12):
+            after = step(*best)
+            if not log_det(after) < log_det(best) - 1e-9:
+                break
+            best = after
+        last, _ = nearest(square(*best))
         scale = max(1.0, (2 ** ((last + 1) / 64) - 1) / chi)
         n = np.array([base[i][0] for i in members])
-        distance[members] = square(mean, cov) / scale * n / (n + half)
+        distance[members] = square(*best, x[members]) / scale * n / (n + half)
     return [(b[5], not b[5] and not d > cutoff, d) for b, d in zip(base, distance)]
 
 

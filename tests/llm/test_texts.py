@@ -382,6 +382,31 @@ def test_quality_equals_brute_force(sample):
     assert kept == sorted(r[0] for r, (_, k, _) in zip(rows, expected) if k)
 
 
+def test_a_block_of_alike_junk_does_not_capture_a_group(docs):
+    """A third of the rows is one kind of junk, far from the others and nearly alike."""
+    draw = random.Random(4)
+    words = ["stone", "river", "a", "of", "winter", "the", "garden", "light", "over", "and", "mountain", "we"]
+    good = [" ".join(draw.choices(words, k=draw.randrange(60, 120))).capitalize() + "." for _ in range(400)]
+    junk = [" ".join(f"BUY{draw.randrange(9999)} $$$ !!! XXL;" for _ in range(25)) for _ in range(200)]
+    rows = [(i, t, "en", "a") for i, t in enumerate(good + junk)]
+    draw.shuffle(rows)
+    kept = {r.doc_id for r in quality.judge(docs(rows)).where("kept").collect()}
+    assert not kept & set(range(400, 600))
+    assert len(kept & set(range(400))) >= 396
+
+
+def test_a_small_rest_is_judged_by_all_rows(docs):
+    draw = random.Random(5)
+    words = ["stone", "river", "a", "of", "winter", "the", "garden", "light", "over", "and"]
+    rows = [(i, " ".join(draw.choices(words, k=80)) + ".", "en", "a") for i in range(120)]
+    rows += [(200, " ".join(draw.choices(words, k=80)) + ".", "xx", "other")]
+    rows += [(201, "$$$ &&& ### !!! " * 3 + " ".join(f"UPPER{i}" for i in range(30)), "yy", None)]
+    found = {r.doc_id: r for r in quality.judge(docs(rows)).collect()}
+    assert found[200].kept and not found[201].kept
+    assert found[201].distance is not None
+    judged(rows, quality.judge(docs(rows)))
+
+
 def test_labelled_quality(spark):
     sf = "/root/testdata/sf0.01"
     found = quality.judge(spark.read.parquet(f"{sf}/documents.parquet"))
