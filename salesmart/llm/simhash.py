@@ -8,13 +8,18 @@ the triangle inequality tells which points near the boundary must be shown to
 the other side as well. Within a shard the tree goes on, down to blocks small
 enough to compare directly, so all pairs within the distance are found.
 
-Each shard returns a forest instead of all its links: as many rows as points at
+A shard that has more than ``MOST_POINTS`` is cut into chunks, by a hash of its points, and
+every pair of chunks is searched by itself, so that no task holds more than two chunks
+however unequal the shards are.
+
+Each search returns a forest instead of all its links: as many rows as points at
 most, with the same connected components.
 
 Cases: NULL text counts as empty; a text without words has fingerprint 0 and
 links like any other; NULL doc_ids take part but never name a component (its id
-is NULL if it has no other); repeated rows are one point; an empty table gives
-no rows; other columns are ignored.
+is NULL if it has no other); repeated rows are one point; a text's bits that are set in
+exactly half of its hashes are 0; very long texts are hashed a part at a time; an empty
+table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,6 +41,8 @@ SHINGLES_AT_ONCE = 1 << 16
 # Points for the tree's upper part; at 8 bytes each the driver holds 1 MB.
 SAMPLE = 1 << 17
 SHARD_POINTS = 20_000
+# Points of a shard that are searched at once, and of each chunk of a larger one.
+MOST_POINTS = 20_000
 BLOCK = 2048
 # Points compared at once; their distances fit into a processor cache.
 TILE = (32, 2048)
@@ -243,9 +250,9 @@ def near_links(prints: DataFrame, bits: int = MAX_BITS, shard_points: int = SHAR
                     ["shard", "fingerprint", "home"],
                 )
 
-    def search(shard):
-        these = shard.column("fingerprint").to_numpy().astype(np.int64).view(np.uint64)
-        home = shard.column("home").to_numpy()
+    def search(cell):
+        these = cell.column("fingerprint").to_numpy().astype(np.int64).view(np.uint64)
+        home = cell.column("home").to_numpy()
         order = np.argsort(these)
         these, home = these[order], home[order]
         root = forest(len(these), linked_blocks(these, home, bits))
@@ -255,7 +262,21 @@ def near_links(prints: DataFrame, bits: int = MAX_BITS, shard_points: int = SHAR
     dealt = prints.select("fingerprint").mapInArrow(
         deal, "shard bigint, fingerprint bigint, home boolean"
     )
-    return dealt.groupBy("shard").applyInArrow(search, "a bigint, b bigint")
+    dealt = stored(dealt, "dealt")
+    sizes = dealt.groupBy("shard").agg(F.ceil(F.count("*") / MOST_POINTS).cast("int").alias("chunks"))
+    # A row per leaf of the tree, which is fitted on a bounded sample.
+    cut = dealt.join(F.broadcast(stored(sizes, "shards")), "shard")
+    mine = F.pmod(F.xxhash64("fingerprint"), F.col("chunks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
+    pairs = cut.select("shard", "fingerprint", "home", mine.alias("mine"), other)
+    cells = pairs.select(
+        "shard",
+        F.least("mine", "other").alias("one"),
+        F.greatest("mine", "other").alias("two"),
+        "fingerprint",
+        "home",
+    )
+    return cells.groupBy("shard", "one", "two").applyInArrow(search, "a bigint, b bigint")
 
 
 def near_duplicates(

@@ -90,6 +90,22 @@ def test_tree_finds_all_pairs(spark):
     assert len(same) == len(set(expected)) == len({r for _, r in same})
 
 
+def test_chunks_of_a_large_shard_find_all_pairs(spark, monkeypatch):
+    """Points so close that no vantage point separates them well."""
+    monkeypatch.setattr(simhash, "MOST_POINTS", 150)
+    points = sorted({0} | {1 << a | 1 << b for a in range(64) for b in range(a)} | {1 << a for a in range(64)})
+    frame = spark.createDataFrame([(p - 2**64 if p >= 2**63 else p,) for p in points], "fingerprint bigint")
+    links = simhash.near_links(frame, 2, shard_points=5_000)
+    assert {r.root for r in components(links).collect()} == {min(p - 2**64 if p >= 2**63 else p for p in points)}
+    draw = np.random.default_rng(8)
+    points = sorted({int(x) for x in draw.integers(0, 2**20, 1500)})
+    frame = spark.createDataFrame([(p,) for p in points], "fingerprint bigint")
+    roots = {r.node: r.root for r in components(simhash.near_links(frame, 2, shard_points=5_000)).collect()}
+    expected = brute.components(points)
+    same = Counter((e, roots.get(p, p)) for p, e in zip(points, expected))
+    assert len(same) == len(set(expected)) == len({r for _, r in same})
+
+
 def test_every_shard_pair_has_a_home():
     draw = np.random.default_rng(6)
     points = np.unique(draw.integers(0, 2**12, 900, np.uint64))
