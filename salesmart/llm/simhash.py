@@ -41,8 +41,9 @@ SHINGLES_AT_ONCE = 1 << 16
 # Points for the tree's upper part; at 8 bytes each the driver holds 1 MB.
 SAMPLE = 1 << 17
 SHARD_POINTS = 20_000
-# Points of a shard that are searched at once, and of each chunk of a larger one.
-MOST_POINTS = 20_000
+# Points of a shard that are searched at once, and of each chunk of a larger one. Shards
+# differ in size, and most stay below some times the points that they are made for.
+MOST_POINTS = 4 * SHARD_POINTS
 BLOCK = 2048
 # Points compared at once; their distances fit into a processor cache.
 TILE = (32, 2048)
