@@ -130,19 +130,38 @@ class Words:
         """
         if not len(self):
             return np.empty(0, np.uint64)
-        lengths = self.ends - self.starts
-        heads = np.cumsum(lengths) - lengths
-        place = np.arange(int(lengths.sum())) - np.repeat(heads, lengths)
-        bytes_ = self.data[place + np.repeat(self.starts, lengths)]
         random = np.random.Generator(np.random.PCG64(seed))
-        halves = []
+        longest = int((self.ends - self.starts).max())
+        tables = []
         for _ in range(2):
             numbers = random.integers(1, _PRIME, 256, np.uint64)
-            powers = prime_powers(int(random.integers(2**20, _PRIME - 1)), int(lengths.max()))
-            # Below 2 to the 31 each, so that a word's sum has room for any length.
-            terms = reduced(numbers[bytes_] * powers[place])
-            halves.append(np.add.reduceat(terms, heads) % np.uint64(_PRIME))
-        return mixed((halves[0] << np.uint64(32)) | halves[1])
+            powers = prime_powers(int(random.integers(2**20, _PRIME - 1)), longest)
+            tables.append((numbers, powers))
+        out = np.empty(len(self), np.uint64)
+        for first, last, heads, place, at in self._runs():
+            bytes_ = self.data[at]
+            # Below 2 to the 32 each, so that a word's sum has room for any length.
+            halves = [
+                np.add.reduceat(reduced(numbers[bytes_] * powers[place]), heads) % np.uint64(_PRIME)
+                for numbers, powers in tables
+            ]
+            out[first:last] = mixed((halves[0] << np.uint64(32)) | halves[1])
+        return out
+
+    def _runs(self, most: int = 1 << 18):
+        """Words in runs of about ``most`` bytes, so that little memory is used for each: first
+        and last word, where each begins among the run's bytes, and of each byte its place in
+        the word and in the data."""
+        lengths = self.ends - self.starts
+        upto, first = np.cumsum(lengths), 0
+        while first < len(self):
+            base = int(upto[first - 1]) if first else 0
+            last = max(first + 1, int(np.searchsorted(upto, base + most, side="right")))
+            own = lengths[first:last]
+            heads = upto[first:last] - own - base
+            place = np.arange(int(own.sum())) - np.repeat(heads, own)
+            yield first, last, heads, place, place + np.repeat(self.starts[first:last], own)
+            first = last
 
     def spaced(self) -> tuple[memoryview, np.ndarray]:
         """All words joined by one space each, and where each begins (one more at the end)."""
@@ -150,8 +169,8 @@ class Words:
         begins = np.zeros(len(self) + 1, np.int64)
         np.cumsum(lengths + 1, out=begins[1:])
         joined = np.full(int(begins[-1]), 32, np.uint8)
-        place = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        joined[np.repeat(begins[:-1], lengths) + place] = self.data[np.repeat(self.starts, lengths) + place]
+        for first, last, _, place, at in self._runs():
+            joined[place + np.repeat(begins[first:last], lengths[first:last])] = self.data[at]
         return memoryview(joined), begins
 
     def text(self, row: int, keep: np.ndarray | None = None) -> bytes:
