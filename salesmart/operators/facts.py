@@ -25,6 +25,9 @@ FACT_COLUMNS = (
     "total_price",
 )
 
+# Entities in the order that sales look them up: those of few members first.
+LOOKED_UP = ("seller", "store", "supplier", "customer", "product")
+
 
 def fact_sales(keyed: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """Foreign keys and measures. A sale without an e-mail (or product name) has no such member."""
@@ -68,11 +71,15 @@ def fact_sales_by_lookup(flat: DataFrame, dense: Callable[[str], DataFrame]) ->
         "sale_quantity",
         F.col("sale_total_price").alias("total_price"),
     )
-    for entity in ENTITIES.values():
+    days = dense("date").withColumnsRenamed({"dense_id": "date_id", "date": "sale_date"})
+    sales = sales.join(days.drop("id"), "sale_date", "left")
+    # Customers and products are many: what the few others are looked up to is shuffled as
+    # small numbers, and products come last, so that customers' hashes travel once.
+    for entity in sorted(ENTITIES.values(), key=lambda e: LOOKED_UP.index(e.name)):
         same = compare[entity.name](*(F.col(a) for a in entity.attributes))
         found = members[entity.name].select(
             F.col("dense_id").alias(entity.foreign_key), same.alias(f"{entity.name}_natural")
         )
         sales = sales.join(found, f"{entity.name}_natural", "left")
-    days = dense("date").withColumnsRenamed({"dense_id": "date_id", "date": "sale_date"})
-    return sales.join(days.drop("id"), "sale_date", "left").select(*FACT_COLUMNS)
+        sales = sales.drop(f"{entity.name}_natural")
+    return sales.select(*FACT_COLUMNS)

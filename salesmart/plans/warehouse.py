@@ -68,7 +68,14 @@ class Warehouse:
         return numbered_dimension(name, self.table, self.source.keys)
 
     def table(self, name: str) -> DataFrame:
-        if self.root is None or name in NEVER_WRITTEN:
+        if name in NEVER_WRITTEN:
+            return self.plan(name)
+        return self.kept(name)
+
+    def kept(self, name: str) -> DataFrame:
+        """A table, written on first use also where ``table`` would give its plan: for those
+        who read flat rows several times."""
+        if self.root is None:
             return self.plan(name)
         with self._guard:
             lock = self._locks[name]
@@ -76,7 +83,7 @@ class Warehouse:
             if name not in self._written:
                 path = f"{self.root}/{name}"
                 frame = self.plan(name)
-                frame.write.mode("overwrite").parquet(path)
+                frame.write.mode("overwrite").option("compression", "zstd").parquet(path)
                 self._written[name] = self.spark.read.schema(frame.schema).parquet(path)
             return self._written[name]
 

@@ -232,3 +232,23 @@ def test_first_per_key_hashes_where_only_the_order_is_kept(spark):
     first = first_per_key(frame, ["k"], ["n"])
     assert "SortAggregate" not in first._jdf.queryExecution().executedPlan().toString()
     assert rows(first) == rows(spark.createDataFrame([("a", 1), (None, 2)], "k string, n int"))
+
+
+def test_flat_rows_are_shaped_after_the_joins_that_shuffle_them(spark, testdata):
+    import re
+
+    from salesmart.sources.retail import retail_source
+
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {n: spark.conf.get(n) for n in changed}
+    try:
+        for name, value in changed.items():
+            spark.conf.set(name, value)
+        flat = retail_source(spark, testdata).flat
+        query = flat._jdf.queryExecution()
+        text = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(query, "formatted")
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    widths = [int(n) for n in re.findall(r"\) Exchange\nInput \[(\d+)\]", text)]
+    assert len(widths) >= 6 and max(widths) <= 14
