@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -44,11 +45,15 @@ class Keys:
     number). It is kept with the tables, so that a key that was given once stays, and is so
     short that each row looks it up by itself: keys need no join with or without it.
 
+    ``whole`` names dimensions of more such members than can be listed: all of their members
+    have their second key.
+
     ``bits`` shortens the first keys, for tests.
     """
 
     bits: int = KEY_BITS
     second: tuple[tuple[str, int, int], ...] = ()
+    whole: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
         if len(self.second) > MOST_SECOND_KEYS:
@@ -61,6 +66,8 @@ class Keys:
 
     def surrogate(self, dimension: str, *values: Column) -> Column:
         first, second = self.numbers(*values)
+        if dimension in self.whole:
+            return second + F.lit(1 << KEY_BITS)
         own = [(key, number) for name, key, number in self.second if name == dimension]
         if not own:
             return first
@@ -77,6 +84,11 @@ class Keys:
     def extended(self, members: Iterable[tuple[str, int, int]]) -> Keys:
         return replace(self, second=tuple(sorted({*self.second, *members})))
 
+    def widened(self, dimensions: Iterable[str]) -> Keys:
+        whole = tuple(sorted({*self.whole, *dimensions}))
+        listed = tuple(member for member in self.second if member[0] not in whole)
+        return replace(self, second=listed, whole=whole)
+
 
 PLAIN = Keys()
 
@@ -102,5 +114,9 @@ def row_digest(*columns: str) -> Column:
     digests of parts add up to that of the whole. NULL and '' give different hashes, as the
     place of a value does.
     """
-    marked = [F.when(F.col(c).isNull(), F.lit(i)) for i, c in enumerate(columns)]
-    return F.sum(F.xxhash64(*columns, F.concat_ws(",", *marked)).cast("decimal(20,0)"))
+    places = [columns[i : i + 60] for i in range(0, len(columns), 60)]
+    absent = [
+        reduce(Column.bitwiseOR, (F.col(c).isNull().cast("bigint") * (1 << i) for i, c in enumerate(part)))
+        for part in places
+    ]
+    return F.sum(F.xxhash64(*columns, *absent).cast("decimal(20,0)"))

@@ -47,6 +47,21 @@ def among_members(warehouse: Warehouse) -> list[tuple[str, int, int]]:
     return _collected(parts)
 
 
+def crowded(warehouse: Warehouse) -> list[str]:
+    """Dimensions to be given second keys as a whole, the most colliding first, so that the
+    colliding members of the others can be listed."""
+    keys = warehouse.source.keys
+    twice = dq_duplicate_keys(warehouse.table).where("duplicate_keys > 0").collect()
+    moved = {r.dimension: r.members - r.distinct_keys for r in twice}
+    if shared := sorted({*moved} & {*keys.whole}):
+        raise ValueError(f"members of {shared} share their second keys too")
+    found = []
+    while sum(moved.values()) + sum(m[0] not in found for m in keys.second) > MOST_SECOND_KEYS and moved:
+        found.append(max(moved, key=moved.get))
+        del moved[found[-1]]
+    return found
+
+
 def with_stored(
     warehouse: Warehouse, stored: Callable[[str], DataFrame]
 ) -> list[tuple[str, int, int]]:
@@ -73,10 +88,14 @@ def settled(
     """A warehouse of which no two members have one key, and none that of a stored member.
 
     ``make`` gives the warehouse with the keys it is told; it is called again with second
-    keys for the members that collide. Members that are stored keep the keys they have.
+    keys for the members that collide. Members that are stored keep the keys they have, so
+    that a dimension is given second keys as a whole only where nothing is stored.
     """
     for _ in range(ROUNDS):
         warehouse = make(keys)
+        if stored is None and (whole := crowded(warehouse)):
+            keys = keys.widened(whole)
+            continue
         # Those that are stored come first, so that they keep their keys.
         found = with_stored(warehouse, stored) if stored else []
         found = found or among_members(warehouse)
@@ -87,10 +106,15 @@ def settled(
 
 
 def noted(keys: Keys) -> dict[str, object]:
-    return {"bits": keys.bits, "second": [[*pair] for pair in keys.second]}
+    return {
+        "bits": keys.bits,
+        "second": [[*pair] for pair in keys.second],
+        "whole": [*keys.whole],
+    }
 
 
 def from_note(note: Mapping[str, object] | None) -> Keys:
     if note is None:
         return PLAIN
-    return Keys(note["bits"], tuple((name, first, second) for name, first, second in note["second"]))
+    second = tuple((name, first, second) for name, first, second in note["second"])
+    return Keys(note["bits"], second, tuple(note.get("whole", ())))

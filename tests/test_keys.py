@@ -94,3 +94,31 @@ def test_dense_foreign_keys_keep_null_and_share_a_table(spark):
     own = dense_ids(table.select("id")).select("id", "dense_id")
     result = with_dense_keys(table, {"start_id": days, "end_id": days}, own)
     assert sorted(map(tuple, result.collect())) == [(1, 1, 2), (2, None, 1)]
+
+
+def test_a_dimension_with_more_collisions_than_can_be_listed_has_second_keys_as_a_whole(
+    spark, flat, tmp_path, monkeypatch
+):
+    from itertools import count
+
+    import salesmart.functions.keys as functions
+    import salesmart.plans.collisions as collisions
+    from salesmart.functions.keys import Keys
+    from salesmart.plans.marts import MARTS
+    from salesmart.plans.warehouse import Warehouse
+    from salesmart.sources.base import from_flat
+
+    monkeypatch.setattr(functions, "MOST_SECOND_KEYS", 6)
+    monkeypatch.setattr(collisions, "MOST_SECOND_KEYS", 6)
+    sales = flat(*({"id": i, "customer_age": i, "supplier_name": f"S{i % 3}"} for i in range(12)))
+    rounds = count()
+
+    def make(keys):
+        return Warehouse(spark, from_flat(sales, keys=keys), f"{tmp_path}/{next(rounds)}")
+
+    found = collisions.settled(make, Keys(bits=1))
+    keys = found.source.keys
+    assert "dim_customers" in keys.whole and len(keys.second) <= 6
+    assert found.table("dim_customers").select("id").distinct().count() == 12
+    assert MARTS["sales_by_customer"](found.table).count() == 12
+    assert collisions.from_note(collisions.noted(keys)) == keys
