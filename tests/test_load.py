@@ -271,3 +271,16 @@ def test_loaded_files_reach_the_marts(spark, folder):
     assert day.date == date(2021, 5, 4)
     (month,) = w.plan("sales_by_time").collect()
     assert (month.year, month.month, month.total_orders) == (2021, 5, 2)
+
+
+def test_the_feed_is_packed_and_loads_from_one_read_of_stored_rows(spark, flat, tmp_path):
+    from salesmart.plans.feed import write_feed
+    from salesmart.sinks.tables import load_csv, staged_sales
+
+    rows = flat(*({"id": i, "supplier_city": "City-3" if i % 3 else "Lima"} for i in range(20)))
+    write_feed(rows, f"{tmp_path}/feed")
+    files = sorted(p.name for p in (tmp_path / "feed").glob("part-*"))
+    assert files and all(f.endswith(".csv.gz") for f in files)
+    audit = load_csv(spark, f"{tmp_path}/feed", f"{tmp_path}/staging")
+    assert audit.files == len(files) and audit.rows_read == audit.rows_loaded == 20
+    assert sorted(r.id for r in staged_sales(spark, f"{tmp_path}/staging").collect()) == list(range(20))
