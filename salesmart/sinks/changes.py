@@ -24,7 +24,7 @@ UPSERT, DELETE = "upsert", "delete"
 def _digests(rows: DataFrame, key: Sequence[str], name: str) -> DataFrame:
     others = [c for c in sorted(rows.columns) if c not in key]
     text = F.to_json(F.struct(*others), {"ignoreNullFields": "false"})
-    return rows.select(*key, F.sha2(text, 256).alias(name))
+    return rows.select(*key, F.unhex(F.sha2(text, 256)).alias(name))
 
 
 def changes(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:

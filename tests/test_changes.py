@@ -78,3 +78,11 @@ def test_changes_lead_from_one_export_to_the_next(warehouse, tmp_path, name):
     assert "upsert" in ops and found.count() < before.count() + after.count()
     assert changes(after, after, key).isEmpty()
     assert {r.op for r in changes(before, before.limit(0), key).collect()} == {"delete"}
+
+
+def test_the_plan_of_export_changes_builds_no_mart_again(spark, testdata):
+    import __spark_entry__ as entry
+
+    found = entry.queries()["export_changes"](spark, testdata)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "Aggregate" not in plan
