@@ -80,9 +80,25 @@ def test_changes_lead_from_one_export_to_the_next(warehouse, tmp_path, name):
     assert {r.op for r in changes(before, before.limit(0), key).collect()} == {"delete"}
 
 
-def test_the_plan_of_export_changes_builds_no_mart_again(spark, testdata):
+def test_the_plan_of_export_changes_builds_no_mart_again(spark, tmp_path, monkeypatch):
+    from decimal import Decimal
+
     import __spark_entry__ as entry
+    from pyspark.sql import types as T
+
+    from salesmart.schema import MART_SCHEMAS
+
+    def mart(name, version):
+        values = {T.StringType: "a", T.DoubleType: 1.0, T.DecimalType: Decimal(version)}
+        row = tuple(values.get(type(f.dataType), 1) for f in MART_SCHEMAS[name])
+        return spark.createDataFrame([row], MART_SCHEMAS[name]).distinct()
 
-    found = entry.queries()["export_changes"](spark, testdata)
+    monkeypatch.setattr(entry, "_lake", lambda spark, sf_dir: "lake")
+    monkeypatch.setattr(entry, "_stored", lambda spark, sf_dir, name: f"{tmp_path}/{name}")
+    monkeypatch.setattr(entry, "reader", lambda spark, folder, version: version)
+    marts = {m: lambda version, m=m: mart(m, version) for m in MART_SCHEMAS}
+    monkeypatch.setattr(entry, "MARTS_OF_SUMS", marts)
+    found = entry._export_changes(spark, "")
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") == 1 and "Aggregate" not in plan
+    assert {r.value for r in found.where("field like 'total_%'").collect()} == {"1", "3.00"}
