@@ -7,6 +7,7 @@ inside each task, and only these counts are shuffled.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -235,10 +236,15 @@ def dq_overflow(read: Reader, narrow: str = NARROW_MONEY) -> DataFrame:
             (mart, f.name) for f in schema if isinstance(f.dataType, T.DecimalType)
         ]
 
+    # Marts that are written on first use are written at once, not one after another.
+    names = list(dict.fromkeys(t for t, _ in columns))
+    with ThreadPoolExecutor(len(names)) as pool:
+        tables = dict(zip(names, pool.map(read, names)))
+
     def check(table: str, column: str) -> DataFrame:
         value = F.col(column)
         too_large = value.isNotNull() & value.try_cast(narrow).isNull()
-        return read(table).agg(
+        return tables[table].agg(
             F.lit(table).alias("table_name"),
             F.lit(column).alias("column_name"),
             F.count(column).alias("non_null"),

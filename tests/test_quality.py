@@ -1,3 +1,4 @@
+import threading
 from decimal import Decimal
 
 from salesmart.plans import quality
@@ -96,3 +97,16 @@ def test_overflow_is_counted_not_raised(warehouse):
     assert got[("fact_sales", "total_price")].non_null == 2
     assert got[("dim_products", "price")].overflowing == 0
     assert got[("sales_by_time", "total_revenue")].overflowing == 1
+
+
+def test_overflow_asks_for_its_tables_at_once(warehouse):
+    w = warehouse({}, {})
+    # Each waits for all others: one after another, the first would wait in vain.
+    met = threading.Barrier(7, timeout=30)
+
+    def read(name):
+        met.wait()
+        return w.table(name)
+
+    got = table(quality.dq_overflow(read), "table_name", "column_name")
+    assert got[("fact_sales", "total_price")].non_null == 2
