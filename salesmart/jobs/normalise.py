@@ -33,6 +33,9 @@ from salesmart.sources.jdbc import postgres, read_table
 # Notes of a version: the staged loads that it holds, and how its keys are computed.
 STAGED, KEYS = "staged", "keys"
 
+# The sales take longest: they come first, and the dimensions are written while they are.
+LONGEST_FIRST = ("fact_sales", *DIMENSIONS)
+
 # A warehouse whose keys are computed in a given way.
 Make = Callable[[Keys], Warehouse]
 
@@ -75,8 +78,14 @@ def store_files(
     """
     warehouse = settled(make)
     attempt = Attempt(warehouse.spark, target, refresh=True)
-    warehouse.store(DIMENSIONS, lambda name: attempt.replace(name, warehouse.table(name)))
-    write_sales(attempt, warehouse, attempt.replace)
+
+    def replace(name: str) -> None:
+        if name == "fact_sales":
+            write_sales(attempt, warehouse, attempt.replace)
+        else:
+            attempt.replace(name, warehouse.table(name))
+
+    warehouse.store(LONGEST_FIRST, replace)
     enforce(attempt, expected)
     if ids or IDS in attempt.base.tables:
         register(attempt)
@@ -96,11 +105,13 @@ def add_sales(
     warehouse = settled(make, from_note(attempt.notes.get(KEYS)), attempt.read)
 
     def add(name: str) -> None:
+        if name == "fact_sales":
+            write_sales(attempt, warehouse, attempt.add)
+            return
         unseen = unseen_keys(warehouse.table(name), attempt.read(name))
         attempt.add(name, unseen, merge=lambda rows: rows)
 
-    warehouse.store(DIMENSIONS, add)
-    write_sales(attempt, warehouse, attempt.add)
+    warehouse.store(LONGEST_FIRST, add)
     enforce(attempt, expected)
     if ids or IDS in attempt.base.tables:
         register(attempt)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from salesmart.functions.keys import MOST_SECOND_KEYS, PLAIN, Keys
@@ -35,11 +35,15 @@ def _collected(parts: list[DataFrame]) -> list[tuple[str, int, int]]:
     return sorted({tuple(r) for r in rows})
 
 
-def among_members(warehouse: Warehouse) -> list[tuple[str, int, int]]:
+def shared_keys(warehouse: Warehouse) -> list[Row]:
+    """The dimensions with members that share a key, and how many (see ``dq_duplicate_keys``)."""
+    return dq_duplicate_keys(warehouse.table).where("duplicate_keys > 0").collect()
+
+
+def among_members(warehouse: Warehouse, twice: list[Row] | None = None) -> list[tuple[str, int, int]]:
     """Members whose key another one has; the one of least second number keeps it."""
-    twice = dq_duplicate_keys(warehouse.table).where("duplicate_keys > 0").collect()
     parts = []
-    for name in (r.dimension for r in twice):
+    for name in (r.dimension for r in (shared_keys(warehouse) if twice is None else twice)):
         members = warehouse.numbered(name)
         shared = members.groupBy("id").agg(F.min(NUMBERS[1]).alias("least"), F.count("*").alias("n"))
         moved = members.join(shared.where("n > 1"), "id").where(F.col(NUMBERS[1]) > F.col("least"))
@@ -47,11 +51,11 @@ def among_members(warehouse: Warehouse) -> list[tuple[str, int, int]]:
     return _collected(parts)
 
 
-def crowded(warehouse: Warehouse) -> list[str]:
+def crowded(warehouse: Warehouse, twice: list[Row] | None = None) -> list[str]:
     """Dimensions to be given second keys as a whole, the most colliding first, so that the
     colliding members of the others can be listed."""
     keys = warehouse.source.keys
-    twice = dq_duplicate_keys(warehouse.table).where("duplicate_keys > 0").collect()
+    twice = shared_keys(warehouse) if twice is None else twice
     moved = {r.dimension: r.members - r.distinct_keys for r in twice}
     if shared := sorted({*moved} & {*keys.whole}):
         raise ValueError(f"members of {shared} share their second keys too")
@@ -62,22 +66,30 @@ def crowded(warehouse: Warehouse) -> list[str]:
     return found
 
 
+def _others(name: str, members: DataFrame, stored: Callable[[str], DataFrame]) -> DataFrame:
+    """Members whose key a stored one of other attributes has."""
+    columns = [c for c in members.columns if c not in NUMBERS]
+    known = stored(name).select(*(F.col(c).alias(f"{c}__stored") for c in columns))
+    both = members.join(known, F.col("id") == F.col("id__stored"))
+    other = [~F.col(c).eqNullSafe(F.col(f"{c}__stored")) for c in columns if c != "id"]
+    return both.where(reduce(lambda a, b: a | b, other))
+
+
 def with_stored(
     warehouse: Warehouse, stored: Callable[[str], DataFrame]
 ) -> list[tuple[str, int, int]]:
     """Members whose key a stored one of other attributes has.
 
-    Whole rows are compared only where keys meet.
+    Whole rows are compared only where keys meet. The members as written are compared first,
+    and numbers are computed only for the dimensions where some differ, which is rare.
     """
-    parts = []
-    for name in DIMENSIONS:
-        members = warehouse.numbered(name)
-        columns = [c for c in members.columns if c not in NUMBERS]
-        known = stored(name).select(*(F.col(c).alias(f"{c}__stored") for c in columns))
-        both = members.join(known, F.col("id") == F.col("id__stored"))
-        other = [~F.col(c).eqNullSafe(F.col(f"{c}__stored")) for c in columns if c != "id"]
-        parts.append(_listed(name, both.where(reduce(lambda a, b: a | b, other))))
-    return _collected(parts)
+    differ = [
+        _others(d, warehouse.table(d), stored).select(F.lit(d).alias("dimension")) for d in DIMENSIONS
+    ]
+    found = {r.dimension for r in reduce(DataFrame.unionByName, differ).distinct().collect()}
+    return _collected(
+        [_listed(d, _others(d, warehouse.numbered(d), stored)) for d in DIMENSIONS if d in found]
+    )
 
 
 def settled(
@@ -93,12 +105,17 @@ def settled(
     """
     for _ in range(ROUNDS):
         warehouse = make(keys)
-        if stored is None and (whole := crowded(warehouse)):
-            keys = keys.widened(whole)
-            continue
+        # All dimensions are read here; written one by one, they would leave the cluster idle.
+        warehouse.store(DIMENSIONS)
+        twice = None
+        if stored is None:
+            twice = shared_keys(warehouse)
+            if whole := crowded(warehouse, twice):
+                keys = keys.widened(whole)
+                continue
         # Those that are stored come first, so that they keep their keys.
         found = with_stored(warehouse, stored) if stored else []
-        found = found or among_members(warehouse)
+        found = found or among_members(warehouse, twice)
         if not found:
             return warehouse
         keys = keys.extended(found)

@@ -7,6 +7,7 @@ without a member.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from decimal import Decimal
 from functools import reduce
@@ -68,15 +69,20 @@ def orphans(attempt: Attempt) -> DataFrame:
 
 def violations(attempt: Attempt, expected: dict[str, int | Decimal] | None = None) -> list[Violation]:
     """Broken rules. ``expected`` has the rows and revenue that the loads have noted, if they have."""
-    found = [Violation("references to no member", r["where"], r["n"]) for r in orphans(attempt).collect()]
-    twice = dq_duplicate_keys(attempt.read).where("duplicate_keys > 0")
-    found += [Violation("keys of several members", r.dimension, r.duplicate_keys) for r in twice.collect()]
+    asked = (
+        orphans(attempt),
+        dq_duplicate_keys(attempt.read).where("duplicate_keys > 0"),
+        attempt.added(SUMS).groupBy("role").agg(F.sum("sales").alias("n")),
+    )
+    with ThreadPoolExecutor(len(asked)) as pool:
+        lost, twice, roles = pool.map(DataFrame.collect, asked)
+    found = [Violation("references to no member", r["where"], r["n"]) for r in lost]
+    found += [Violation("keys of several members", r.dimension, r.duplicate_keys) for r in twice]
     seen = attempt.observed["fact_sales"]
     written = {"rows": seen.get("rows") or 0, "revenue": seen.get("revenue") or Decimal(0)}
     for name, wanted in (expected or {}).items():
         if written[name] != wanted:
             found.append(Violation(f"{name} lost", "fact_sales", wanted - written[name]))
-    roles = attempt.added(SUMS).groupBy("role").agg(F.sum("sales").alias("n")).collect()
     found += [
         Violation("sums do not cover the sales", r.role, written["rows"] - r.n)
         for r in roles

@@ -379,3 +379,31 @@ def test_dense_ids_stay(spark, lake):
     by_key = {r.id: r.name for r in read("dim_products").collect()}
     named = sorted((r.source_id, by_name[r.product_id]) for r in dense("fact_sales").collect())
     assert named == sorted((r.source_id, by_key[r.product_id]) for r in read("fact_sales").collect())
+
+
+def test_sales_are_written_while_the_dimensions_are(spark, flat, tmp_path, monkeypatch):
+    import threading
+
+    from salesmart.plans.warehouse import Warehouse
+    from salesmart.sinks.snapshots import Attempt
+    from salesmart.sources.base import from_flat
+
+    sales = flat({"id": 1}, {"id": 2})
+    met = threading.Barrier(2, timeout=60)
+    write_sales, replace = normalise.write_sales, Attempt.replace
+
+    def sales_meet(*args):
+        met.wait()
+        write_sales(*args)
+
+    def one_meets(self, name, *args, **kwargs):
+        if name == "dim_customers":
+            met.wait()
+        replace(self, name, *args, **kwargs)
+
+    monkeypatch.setattr(normalise, "write_sales", sales_meet)
+    monkeypatch.setattr(Attempt, "replace", one_meets)
+    rounds = iter(range(9))
+    make = lambda keys: Warehouse(spark, from_flat(sales, keys=keys), f"{tmp_path}/w{next(rounds)}")
+    assert normalise.store_files(make, f"{tmp_path}/t").version == 1
+    assert reader(spark, f"{tmp_path}/t")("fact_sales").count() == 2

@@ -122,3 +122,35 @@ def test_a_dimension_with_more_collisions_than_can_be_listed_has_second_keys_as_
     assert found.table("dim_customers").select("id").distinct().count() == 12
     assert MARTS["sales_by_customer"](found.table).count() == 12
     assert collisions.from_note(collisions.noted(keys)) == keys
+
+
+def test_dimensions_are_written_before_their_keys_are_counted_and_counted_once(
+    spark, flat, tmp_path, monkeypatch
+):
+    import salesmart.plans.collisions as collisions
+    from salesmart.plans.warehouse import Warehouse
+    from salesmart.schema import DIMENSIONS
+    from salesmart.sources.base import from_flat
+
+    sales = flat(*({"id": i, "customer_age": i} for i in range(3)))
+    made, counted = [], []
+    count_keys = collisions.dq_duplicate_keys
+
+    def make(keys):
+        made.append(Warehouse(spark, from_flat(sales, keys=keys), f"{tmp_path}/w"))
+        return made[-1]
+
+    def counting(read):
+        # Written several at a time by ``store``, not one by one by those who count.
+        counted.append({*DIMENSIONS} <= {*made[-1]._written})
+        return count_keys(read)
+
+    monkeypatch.setattr(collisions, "dq_duplicate_keys", counting)
+    assert collisions.settled(make) is made[-1]
+    assert counted == [True]
+
+    def numbered(self, name):
+        raise AssertionError(f"{name}: numbers are computed though no stored member differs")
+
+    monkeypatch.setattr(Warehouse, "numbered", numbered)
+    assert collisions.with_stored(made[-1], made[-1].table) == []
