@@ -1,5 +1,6 @@
 import csv
 import shutil
+import time
 from datetime import date
 from decimal import Decimal
 
@@ -284,3 +285,38 @@ def test_the_feed_is_packed_and_loads_from_one_read_of_stored_rows(spark, flat,
     audit = load_csv(spark, f"{tmp_path}/feed", f"{tmp_path}/staging")
     assert audit.files == len(files) and audit.rows_read == audit.rows_loaded == 20
     assert sorted(r.id for r in staged_sales(spark, f"{tmp_path}/staging").collect()) == list(range(20))
+
+
+def test_the_rows_of_a_load_are_read_once_and_not_sorted_by_status(spark, folder, monkeypatch):
+    from salesmart.sinks.snapshots import Attempt
+
+    setting, plans, write_part = "spark.sql.maxConcurrentOutputFileWriters", [], Attempt._write
+
+    def written(self, name, frame, how):
+        if name == "rows":
+            plan = frame._jdf.queryExecution().executedPlan().toString()
+            plans.append((plan.count("FileScan text"), spark.conf.get(setting)))
+        return write_part(self, name, frame, how)
+
+    monkeypatch.setattr(Attempt, "_write", written)
+    before = spark.conf.get(setting)
+    texts = ("two\nlines", 'three\nmore "lines"\n', "one")
+    write(folder / "a.csv", *({"id": i, "product_description": t} for i, t in enumerate(texts)), {"sale_date": "soon"})
+    assert load(spark, folder) == LoadAudit(1, 4, 3, 1)
+    assert plans == [(1, "2")] and spark.conf.get(setting) == before
+    assert {r.product_description for r in staged(spark, folder).collect()} == set(texts)
+    assert not list((folder.parent / "staging").glob("pieces/*"))
+
+
+def test_a_load_leaves_no_shuffle_files(spark, folder):
+    def shuffles():
+        disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {f for f in disk.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f}
+
+    write(folder / "a.csv", *({"id": i, "product_description": "two\nlines"} for i in range(9)))
+    before = shuffles()
+    assert load(spark, folder) == LoadAudit(1, 9, 9, 0)
+    until = time.time() + 10
+    while (left := shuffles() - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
