@@ -252,3 +252,10 @@ def test_flat_rows_are_shaped_after_the_joins_that_shuffle_them(spark, testdata)
             spark.conf.set(name, value)
     widths = [int(n) for n in re.findall(r"\) Exchange\nInput \[(\d+)\]", text)]
     assert len(widths) >= 6 and max(widths) <= 14
+
+
+def test_flat_rows_are_stored_as_joined(spark, testdata, tmp_path):
+    w = Warehouse(spark, retail_source(spark, testdata), str(tmp_path))
+    kept = w.kept("flat")
+    assert rows(kept) == rows(w.plan("flat")) and kept.schema == w.plan("flat").schema
+    assert len(spark.read.parquet(f"{tmp_path}/flat").columns) < len(kept.columns) / 2
